@@ -76,7 +76,7 @@ _FULL = f"""{TX}, {WINDOWS}, enriched AS (
 ), {C.scored_sql('enriched')}"""
 
 @query("feat_rt_full", f"""WITH {_FULL} SELECT transaction_id, user_id, {r('amount_zscore', 5)} AS amount_zscore,
-    {r('amount_percentile', 4)} AS amount_percentile,
+    {r('amount_percentile', 5)} AS amount_percentile,
     {r('CASE WHEN minutes_since_last < 999999 THEN minutes_since_last / 1440 END', 5)} AS days_since_last,
     transactions_last_1h, transactions_last_24h, transactions_last_7d, transactions_last_30d,
     {r('user_avg_amount', 5)} AS user_avg_amount, {r('user_std_amount', 5)} AS user_std_amount,
@@ -92,7 +92,7 @@ def _rt_full(spark, sf):
             "user_avg_amount", "user_std_amount", "fraud_probability",
         ),
         digits=5,
-    ).withColumn("amount_percentile", F.round("amount_percentile", 4))
+    )
 
 
 @query("agg_user_stats", f"""WITH {TX}, {C.STATS} SELECT user_id, total_transactions,
@@ -351,21 +351,20 @@ def _distinct(spark, sf):
 
 @query("dataset_summary", f"""WITH {TX} SELECT COUNT(*) AS n_rows, COUNT(*) FILTER (WHERE is_fraud) AS fraud_rows,
     {r('COUNT(*) FILTER (WHERE is_fraud) / CAST(COUNT(*) AS DOUBLE)')} AS fraud_mean,
-    {r('AVG(amount)', 4)} AS amount_mean FROM tx""")
+    {r('AVG(amount)')} AS amount_mean FROM tx""")
 def _dataset(spark, sf):
-    out = comparable(summaries.dataset_summary(views.transactions(spark, sf)))
-    return out.withColumn("amount_mean", F.round("amount_mean", 4))
+    return comparable(summaries.dataset_summary(views.transactions(spark, sf)))
 
 
 @query("fraud_rate_by_segment", f"""WITH {TX} SELECT merchant_category, payment_method, CAST(hour(ts) AS INTEGER) AS hour_of_day,
     COUNT(*) AS n, COUNT(*) FILTER (WHERE is_fraud) AS fraud_count,
-    {r('COALESCE(SUM(amount) FILTER (WHERE is_fraud), 0)', 4)} AS fraud_amount,
+    {r('COALESCE(SUM(amount) FILTER (WHERE is_fraud), 0)')} AS fraud_amount,
     {r('COUNT(*) FILTER (WHERE is_fraud) / CAST(COUNT(*) AS DOUBLE)')} AS fraud_rate
     FROM tx GROUP BY merchant_category, payment_method, hour(ts)""")
 def _segments(spark, sf):
     tx = views.transactions(spark, sf).withColumn("hour_of_day", F.hour("ts"))
     out = summaries.fraud_rate_by_segment(tx, ["merchant_category", "payment_method", "hour_of_day"])
-    return comparable(out).withColumn("fraud_amount", F.round("fraud_amount", 4))
+    return comparable(out)
 
 
 @query("newest_n", f"""WITH {TX} SELECT transaction_id, user_id, ts FROM tx ORDER BY ts DESC, transaction_id DESC LIMIT 1000""")

@@ -7,7 +7,13 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_FORMATS = {"csv": "csv", "json": "json", "parquet": "parquet"}
+_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+_FORMATS = ("csv", "json", "parquet")
+# Text formats keep microseconds; the same options read the files back.
+TEXT_OPTIONS = {
+    "csv": {"header": "true", "timestampFormat": _MICROS},
+    "json": {"ignoreNullFields": "false", "timestampFormat": _MICROS},
+}
 
 
 def append_table(df: DataFrame, path: str, *, partition_by: str | None = None) -> None:
@@ -27,13 +33,10 @@ def write_batch(df: DataFrame, batch_id: int, path: str) -> None:
 
 def write_files(df: DataFrame, path: str, fmt: str | None = None) -> str:
     """Write CSV, JSON or Parquet; the path's extension picks the format."""
-    kind = _FORMATS[fmt or path.rsplit(".", 1)[-1].lower()]
-    writer = df.write.mode("overwrite")
-    if kind == "csv":
-        writer = writer.option("header", True).option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    elif kind == "json":
-        writer = writer.option("ignoreNullFields", False)
-    writer.format(kind).save(path)
+    kind = fmt or path.rsplit(".", 1)[-1].lower()
+    if kind not in _FORMATS:
+        raise ValueError(f"unsupported file format: {kind}")
+    df.write.mode("overwrite").format(kind).options(**TEXT_OPTIONS.get(kind, {})).save(path)
     return path
 
 
