@@ -117,12 +117,13 @@ def hash_parts(
 
     Per stratum, part sizes follow ``floor(n * cumulative share + 1/2)``. Rows are counted per
     hash range, the range containing a cut is ranked, and the cut key is applied as a
-    threshold. The rows themselves are never shuffled.
+    threshold. The rows themselves are never shuffled. ``stratum`` is a class (a handful of
+    values), so the cut tables have one row per class and cut and can be broadcast.
     """
     bounds, total = [], 0.0
     for share in shares[:-1]:
         total += share
-        bounds.append(total)
+        bounds.append(round(total, 12))
     keyed = df.select(stratum.alias("stratum"), F.col(id_col).alias("__id")).withColumn(
         "__h", hash32(F.col("__id"), seed)
     ).withColumn("__range", F.floor(F.col("__h") / _WIDTH))
@@ -143,12 +144,12 @@ def hash_parts(
         .select("stratum", "__range", F.col("c.cut").alias("cut"), (F.col("c.target") - F.col("before")).alias("nth"))
     )
     touched = cuts.select("stratum", "__range").distinct()
-    ranked = keyed.join(touched, ["stratum", "__range"]).withColumn(
+    ranked = keyed.join(F.broadcast(touched), ["stratum", "__range"]).withColumn(
         "nth", F.row_number().over(Window.partitionBy("stratum", "__range").orderBy("__h", "__id"))
     )
     # One threshold row per stratum and cut: strata are class labels, cuts are parts.
     thresholds = (
-        ranked.join(cuts, ["stratum", "__range", "nth"])
+        ranked.join(F.broadcast(cuts), ["stratum", "__range", "nth"])
         .groupBy("stratum")
         .agg(F.collect_list(F.struct(F.col("__h").alias("h"), F.col("__id").alias("id"))).alias("__cuts"))
         .withColumnRenamed("stratum", "__stratum")
@@ -159,15 +160,19 @@ def hash_parts(
     part = F.coalesce(
         missing + F.size(F.filter(F.col("__cuts"), lambda c: own > c)), F.lit(len(bounds))
     )
-    return df.withColumn("__stratum", stratum).join(thresholds, "__stratum", "left").withColumn(
+    return df.withColumn("__stratum", stratum).join(F.broadcast(thresholds), "__stratum", "left").withColumn(
         out, part.cast("int")
     ).drop("__stratum", "__cuts")
 
 
+def _class(label: str) -> Column:
+    return (F.col(label) == 1).cast("int")
+
+
 def _stratum(df: DataFrame, label: str, minimum: int) -> Column:
     """The label, or one common stratum when there are too few positives to stratify."""
     positives = df.agg(F.count_if(F.col(label) == 1).alias("n")).scalar()
-    return F.when(positives > minimum, F.col(label)).otherwise(F.lit(0))
+    return F.when(positives > minimum, _class(label)).otherwise(F.lit(0))
 
 
 def stratified_split(
@@ -185,4 +190,4 @@ def stratified_folds(
     df: DataFrame, k: int, *, label: str = "label", id_col: str = "transaction_id", seed: int = 42, out: str = "fold"
 ) -> DataFrame:
     """Add a fold number with equal class shares per fold."""
-    return hash_parts(df, [1 / k] * k, stratum=F.col(label), id_col=id_col, seed=seed, out=out)
+    return hash_parts(df, [1 / k] * k, stratum=_class(label), id_col=id_col, seed=seed, out=out)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # AQE does the runtime work: it coalesces shuffle partitions, splits skewed join
 # partitions and turns a join into a broadcast only after measuring the side.
@@ -49,7 +49,11 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark)}/riskloom/{purpose}-{uuid.uuid4().hex}"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make reliable ``DataFrame.checkpoint()`` usable."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_root(spark))
+def materialise(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a frame that several steps read to the shared folder once, and read it back.
+
+    This cuts the lineage, survives lost executors, and later steps prune columns again.
+    """
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
