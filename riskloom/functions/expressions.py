@@ -73,7 +73,7 @@ def haversine_km(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Colu
     a = F.pow(F.sin(half_lat), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(
         F.sin(half_lng), 2
     )
-    return F.asin(F.sqrt(F.least(a, F.lit(1.0)))) * (2 * 6371.0088)
+    return F.asin(F.sqrt(F.when(a > 1, 1.0).otherwise(a))) * (2 * 6371.0088)
 
 
 def scrubbed(value: Column) -> Column:

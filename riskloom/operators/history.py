@@ -70,7 +70,9 @@ def _bounded(column: Column, field) -> Column:
     if kind.typeName() != "decimal":
         return column.cast(kind)
     limit = float(10 ** (kind.precision - kind.scale)) - 10.0 ** -kind.scale
-    return F.greatest(F.least(column.cast("double"), F.lit(limit)), F.lit(-limit)).cast(kind)
+    value = column.cast("double")
+    held = F.when(value > limit, limit).when(value < -limit, -limit).otherwise(value)
+    return held.cast(kind)
 
 
 def typed_scored(risk: DataFrame) -> DataFrame:
