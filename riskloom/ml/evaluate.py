@@ -26,14 +26,25 @@ def _guarded(numerator: Column, denominator: Column) -> Column:
     return F.coalesce(ratio(numerator, denominator), F.lit(0.0))
 
 
-def confusion(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Confusion counts, rates with zero guards: one grouped aggregate."""
-    label, predicted = F.col("label") == 1, F.col("prediction") == 1
-    counts = predictions.groupBy(*by).agg(
-        F.count_if(~label & ~predicted).alias("true_negatives"),
-        F.count_if(~label & predicted).alias("false_positives"),
-        F.count_if(label & ~predicted).alias("false_negatives"),
-        F.count_if(label & predicted).alias("true_positives"),
+def _tally(predictions: DataFrame, by: Sequence[str], *also: str) -> DataFrame:
+    """Positives and negatives per prediction (and score): what every metric is made of."""
+    positive = F.col("label") == 1
+    return predictions.groupBy(*by, *also, "prediction").agg(
+        F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg")
+    )
+
+
+def _confusion(tally: DataFrame, by: Sequence[str]) -> DataFrame:
+    predicted = F.col("prediction") == 1
+
+    def total(column: str, condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col(column))), F.lit(0))
+
+    counts = tally.groupBy(*by).agg(
+        total("neg", ~predicted).alias("true_negatives"),
+        total("neg", predicted).alias("false_positives"),
+        total("pos", ~predicted).alias("false_negatives"),
+        total("pos", predicted).alias("true_positives"),
     )
     tn, fp, fn, tp = (F.col(c) for c in ("true_negatives", "false_positives", "false_negatives", "true_positives"))
     return counts.withColumns(
@@ -45,10 +56,19 @@ def confusion(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def confusion(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Confusion counts, and rates with zero guards."""
+    return _confusion(_tally(predictions, by), by)
+
+
 def threshold_metrics(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Accuracy, precision, recall and F1, with the confusion counts they come from."""
+    return _threshold_metrics(_tally(predictions, by), by)
+
+
+def _threshold_metrics(tally: DataFrame, by: Sequence[str]) -> DataFrame:
     tn, fp, fn, tp = (F.col(c) for c in ("true_negatives", "false_positives", "false_negatives", "true_positives"))
-    return confusion(predictions, by).withColumns(
+    return _confusion(tally, by).withColumns(
         {
             "accuracy": _guarded(tp + tn, tp + tn + fp + fn),
             "precision": _guarded(tp, tp + fp),
@@ -83,52 +103,54 @@ def class_report(predictions: DataFrame) -> DataFrame:
     )
 
 
-def _by_score(predictions: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Positives and negatives per distinct score, combined before any ordering."""
-    positive = F.col("label") == 1
-    return predictions.groupBy(*by, "score").agg(
-        F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg")
-    )
-
-
 def _block(score: Column) -> Column:
     return F.greatest(F.coalesce(F.floor(F.log2(score) * _BLOCKS), F.lit(_FLOOR)), F.lit(_FLOOR))
 
 
-def roc_auc(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Exact area under ROC as the rank statistic, ties counting half."""
+def _ranking(tally: DataFrame, by: Sequence[str]) -> DataFrame:
+    """ROC-AUC and average precision from one pass of running counts over ascending scores."""
+    keys = list(by)
+    if not keys:
+        tally, keys = tally.withColumn("__all", F.lit(1)), ["__all"]
+    per_score = tally.groupBy(*keys, "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     ranked = running(
-        _by_score(predictions, by), keys=list(by), order="score", block=_block(F.col("score")),
-        values={"below": ("sum", "neg")}, inclusive=False,
+        per_score, keys=keys, order="score", block=_block(F.col("score")),
+        values={"pos_below": ("sum", "pos"), "neg_below": ("sum", "neg")}, inclusive=False,
     )
-    wins = F.col("pos").cast("double") * (F.coalesce("below", F.lit(0)) + F.col("neg") / 2)
-    pairs = F.sum("pos").cast("double") * F.sum("neg")
-    return ranked.groupBy(*by).agg(F.try_divide(F.sum(wins), pairs).alias("roc_auc"))
+    totals = tally.groupBy(*keys).agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))
+    pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
+    neg_below = F.coalesce("neg_below", F.lit(0))
+    # Rows scored at least as high as this score: what a threshold here would flag.
+    tp = F.col("all_pos") - F.coalesce("pos_below", F.lit(0))
+    fp = F.col("all_neg") - neg_below
+    out = (
+        ranked.join(totals, keys)
+        .groupBy(*keys)
+        .agg(
+            F.try_divide(F.sum(pos * (neg_below + neg / 2)), F.sum(pos) * F.sum(neg)).alias("roc_auc"),
+            F.try_divide(F.sum(pos * tp / (tp + fp)), F.sum(pos)).alias("pr_auc"),
+        )
+    )
+    return out if by else out.drop("__all")
+
+
+def roc_auc(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Exact area under ROC as the rank statistic, ties counting half."""
+    return _ranking(_tally(predictions, by, "score"), by).drop("pr_auc")
 
 
 def average_precision(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Average precision: the step sum over descending scores, without interpolation."""
-    falling = _by_score(predictions, by).withColumn("__falling", -F.col("score"))
-    ranked = running(
-        falling, keys=list(by), order="__falling", block=-_block(F.col("score")),
-        values={"tp": ("sum", "pos"), "fp": ("sum", "neg")},
-    )
-    step = F.col("pos").cast("double") * F.col("tp") / (F.col("tp") + F.col("fp"))
-    return ranked.groupBy(*by).agg(
-        F.try_divide(F.sum(step), F.sum("pos").cast("double")).alias("pr_auc")
-    )
+    return _ranking(_tally(predictions, by, "score"), by).drop("roc_auc")
 
 
 def evaluate(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """All metrics, one row per evaluated model."""
+    """All metrics, one row per evaluated model, from one tally by score."""
     keys = list(by)
     if not keys:
         predictions, keys = predictions.withColumn("__all", F.lit(1)), ["__all"]
-    out = (
-        threshold_metrics(predictions, keys)
-        .join(roc_auc(predictions, keys), keys, "left")
-        .join(average_precision(predictions, keys), keys, "left")
-    )
+    tally = _tally(predictions, keys, "score")
+    out = _threshold_metrics(tally, keys).join(_ranking(tally, keys), keys, "left")
     return out if by else out.drop("__all")
 
 

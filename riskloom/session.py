@@ -16,6 +16,8 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Plans are built from many small expressions; recording a Python stack for each is slow.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 

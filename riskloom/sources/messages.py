@@ -52,22 +52,29 @@ def read_messages(
     return reader.format("text").load(source)
 
 
-def _valid(schema: T.StructType) -> Column:
-    """Parsed, and every required field filled."""
-    checks = [F.col(f"data.{name}").isNotNull() for name in schemas.required(schema)]
-    condition = F.col("data").isNotNull()
-    for check in checks:
-        condition = condition & check
-    return condition
+def _accepted(text: Column, schema: T.StructType) -> Column:
+    """The parsed message as a one-element array, empty unless every required field is filled.
+
+    Parsing sits inside one array expression, so each message is parsed once, however many
+    fields are checked and selected.
+    """
+
+    def filled(data: Column) -> Column:
+        condition = data.isNotNull()
+        for name in schemas.required(schema):
+            condition = condition & data[name].isNotNull()
+        return condition
+
+    return F.filter(F.array(F.from_json(text, schema)), filled)
 
 
 def decode_json(
     df: DataFrame, schema: T.StructType = schemas.TRANSACTION, *, keep_envelope: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """(good rows, quarantined raw values). Both are narrow: the frame is split, not shuffled."""
-    kept = []
+    envelope = []
     if keep_envelope:
-        kept = [
+        envelope = [
             F.col("key").cast("string").alias("kafka_key"),
             F.col("timestamp").alias("kafka_timestamp"),
             F.col("topic"),
@@ -75,11 +82,8 @@ def decode_json(
             F.col("offset"),
         ]
     text = F.col("value").cast("string")
-    parsed = df.select(*kept, text.alias("value"), F.from_json(text, schema).alias("data"))
-    envelope = list(ENVELOPE) if keep_envelope else []
-    valid = F.coalesce(_valid(schema), F.lit(False))
-    good = parsed.filter(valid).select(*envelope, "data.*")
-    bad = parsed.filter(~valid).select(*envelope, "value")
+    good = df.select(*envelope, F.inline(_accepted(text, schema)))
+    bad = df.filter(F.size(_accepted(text, schema)) == 0).select(*envelope, text.alias("value"))
     return good, bad
 
 
