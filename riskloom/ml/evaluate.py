@@ -124,7 +124,8 @@ def _ranking(tally: DataFrame, by: Sequence[str]) -> DataFrame:
     tp = F.col("all_pos") - F.coalesce("pos_below", F.lit(0))
     fp = F.col("all_neg") - neg_below
     out = (
-        ranked.join(totals, keys)
+        # One row per evaluated model.
+        ranked.join(F.broadcast(totals), keys)
         .groupBy(*keys)
         .agg(
             F.try_divide(F.sum(pos * (neg_below + neg / 2)), F.sum(pos) * F.sum(neg)).alias("roc_auc"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import expressions as X
 from riskloom.functions import fixed
+from riskloom.operators.skew import exact_quantile
 
 
 def parse_timestamp(df: DataFrame, col: str = "timestamp", out: str = "ts") -> DataFrame:
@@ -91,17 +92,13 @@ def fill_constants(df: DataFrame, fills: Mapping[str, float] = fixed.NULL_FILLS)
 def fill_statistics(df: DataFrame, means: Mapping[str, str], medians: Iterable[str] = ()) -> DataFrame:
     """Fill NULLs from whole-table statistics: ``means`` maps a column to the column averaged.
 
-    The statistics come in as one scalar subquery, not as a join.
+    The statistics come in as scalar subqueries, not as joins; medians are exact.
     """
-    medians = list(medians)
     stats = df.agg(
-        F.struct(
-            *[F.avg(source).alias(f"mean_{c}") for c, source in means.items()],
-            *[F.percentile_approx(c, 0.5, 1_000_000).alias(f"median_{c}") for c in medians],
-        ).alias("s")
+        F.struct(*[F.avg(source).alias(f"mean_{c}") for c, source in means.items()]).alias("s")
     ).scalar()
     filled = {c: F.coalesce(F.col(c), stats[f"mean_{c}"]) for c in means}
-    filled |= {c: F.coalesce(F.col(c), stats[f"median_{c}"].cast("double")) for c in medians}
+    filled |= {c: F.coalesce(F.col(c), exact_quantile(df, c).cast("double")) for c in medians}
     return df.withColumns(filled)
 
 

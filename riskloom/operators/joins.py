@@ -10,20 +10,31 @@ from riskloom.functions import expressions as X
 KEY = "transaction_id"
 
 
+def _keys(table: DataFrame, key: str) -> DataFrame:
+    """Distinct keys: repeated ones are folded map-side, before they can pile up in one task."""
+    return table.select(key).distinct()
+
+
 def drop_processed(df: DataFrame, processed: DataFrame, key: str = KEY) -> DataFrame:
     """Rows whose key is not in the processed set."""
-    return df.join(processed.select(key), key, "left_anti")
+    return df.join(_keys(processed, key), key, "left_anti")
 
 
 def split_by_parent(df: DataFrame, parent: DataFrame, key: str = KEY) -> tuple[DataFrame, DataFrame]:
-    """(rows with a parent, orphans)."""
-    keys = parent.select(key)
+    """(rows with a parent, orphans). For persisted batches; ``mark_parent`` needs one pass."""
+    keys = _keys(parent, key)
     return df.join(keys, key, "left_semi"), df.join(keys, key, "left_anti")
 
 
+def mark_parent(df: DataFrame, parent: DataFrame, key: str = KEY, out: str = "accepted") -> DataFrame:
+    """Flag rows that have a parent, in one join."""
+    known = _keys(parent, key).withColumn(out, F.lit(True))
+    return df.join(known, key, "left").withColumn(out, X.flag(F.col(out)))
+
+
 def keep_ids(df: DataFrame, ids: DataFrame, key: str = KEY) -> DataFrame:
     """Rows whose key is in an id table of any size."""
-    return df.join(ids.select(key), key, "left_semi")
+    return df.join(_keys(ids, key), key, "left_semi")
 
 
 def raw_with_processed(raw: DataFrame, processed: DataFrame, key: str = KEY) -> DataFrame:
@@ -37,11 +48,9 @@ def backlog(tx: DataFrame, processed: DataFrame, key: str = KEY) -> DataFrame:
 
 def batch_audit(batch: DataFrame, parent: DataFrame, key: str = KEY) -> DataFrame:
     """Original, valid, skipped and fraud counts of a batch in one pass over a marked join."""
-    parents = parent.select(key).distinct().withColumn("known", F.lit(True))
-    known = X.flag(F.col("known"))
+    known = F.col("known")
     return (
-        batch.select(key, "is_fraud")
-        .join(parents, key, "left")
+        mark_parent(batch.select(key, "is_fraud"), parent, key, "known")
         .agg(
             F.count("*").alias("original_count"),
             F.count_if(known).alias("valid_count"),

@@ -22,7 +22,7 @@ def check_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def check_foreign_key(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """How many child rows lack a parent. Children are counted per key before the join."""
     per_key = child.groupBy(key).agg(F.count("*").alias("n"))
-    orphans = per_key.join(parent.select(key), key, "left_anti")
+    orphans = per_key.join(parent.select(key).distinct(), key, "left_anti")
     return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orphans"))
 
 

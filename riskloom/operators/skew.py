@@ -107,3 +107,26 @@ def running(
     return own.join(carry, [*keys, "__block"]).select(
         *df.columns, *[merged(name, how).alias(name) for name, (how, _) in values.items()]
     )
+
+
+def magnitude_block(value: Column, per_octave: int = 64) -> Column:
+    """A block number that grows with the value: ``per_octave`` blocks per power of two, by sign.
+
+    A fixed function of the value, so every task and every retry agrees on it.
+    """
+    offset = 1100 * per_octave
+    size = F.floor(F.log2(F.abs(value)) * per_octave) + offset
+    return F.when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0))
+
+
+def exact_quantile(df: DataFrame, column: str, q: float = 0.5) -> Column:
+    """The smallest value that at least a share ``q`` of the rows does not exceed, as a scalar subquery.
+
+    Equal values are counted map-side; ranks come from running counts in blocks.
+    """
+    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
+    ranked = running(
+        counts, keys=[], order=column, block=magnitude_block(F.col(column)), values={"upto": ("sum", "n")}
+    )
+    total = counts.agg(F.sum("n").alias("n")).scalar()
+    return ranked.filter(F.col("upto") >= total * F.lit(q)).agg(F.min(column).alias("m")).scalar()

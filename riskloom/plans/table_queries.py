@@ -90,8 +90,7 @@ def _anti(spark, sf):
 def _semi(spark, sf):
     """Accepted rows and quarantined rows together make the input."""
     raw = views.orders(spark, sf).select("transaction_id", "user_id", "amount")
-    accepted, orphans = joins.split_by_parent(raw, views.order_lines(spark, sf))
-    return accepted.withColumn("accepted", F.lit(True)).unionByName(orphans.withColumn("accepted", F.lit(False)))
+    return joins.mark_parent(raw, views.order_lines(spark, sf))
 
 
 @query("join_raw_processed", f"""WITH {ORDERS} SELECT ord.transaction_id, ord.user_id, ord.amount, lines.line,

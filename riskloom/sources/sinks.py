@@ -47,6 +47,5 @@ def first_by_key(df: DataFrame, key: str, *order: str) -> DataFrame:
 
 
 def insert_if_absent(target: DataFrame, incoming: DataFrame, key: str, *order: str) -> DataFrame:
-    """Rows to add: deduplicated inside the batch, absent from the target."""
-    fresh = incoming.join(target.select(key), key, "left_anti")
-    return first_by_key(fresh, key, *order)
+    """Rows to add: deduplicated inside the batch (before anything is shuffled), absent from the target."""
+    return first_by_key(incoming, key, *order).join(target.select(key).distinct(), key, "left_anti")

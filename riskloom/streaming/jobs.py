@@ -19,7 +19,7 @@ from riskloom.functions import expressions as X
 from riskloom.functions import fixed
 from riskloom.operators import behaviour, features, history
 from riskloom.operators.joins import drop_processed, split_by_parent
-from riskloom.operators.skew import HotKeys
+from riskloom.operators.skew import find_hot_keys
 from riskloom.sources import messages
 from riskloom.sources.sinks import first_by_key, write_batch
 from riskloom.sources.tables import read_or_empty
@@ -175,7 +175,7 @@ def user_sessions(stream: DataFrame, *, gap: str = "6 hours", watermark: str = "
 _LEAD_IN = fixed.HORIZONS["30d"]
 
 
-def behaviour_of_batch(batch: DataFrame, past: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+def behaviour_of_batch(batch: DataFrame, past: DataFrame) -> DataFrame:
     """Behavioural features of a batch, given everything stored before it.
 
     Rolling windows see the batch plus 30 days of history of the batch's users. What reaches
@@ -190,7 +190,9 @@ def behaviour_of_batch(batch: DataFrame, past: DataFrame, hot: HotKeys | None =
         recent.withColumn("__new", F.lit(False))
     )
     rows = features.merchant_features(features.amount_features(features.temporal_features(both)))
-    windows = behaviour.user_windows(rows, horizons=("24h", "7d", "30d"), hot=hot).filter("__new")
+    windows = behaviour.user_windows(
+        rows, horizons=("24h", "7d", "30d"), hot=find_hot_keys(both)
+    ).filter("__new")
     before = older.groupBy("user_id", "merchant_category").agg(F.count("*").alias("older_visits"))
     hours = older.groupBy("user_id", F.hour("ts").alias("hour_of_day")).agg(F.count("*").alias("older_hours"))
     last = older.groupBy("user_id").agg(F.max("ts").alias("older_ts"))

@@ -204,3 +204,12 @@ def test_running_blocks(spark):
     for r in out:
         seen.append(r.v)
         assert (r.total, r.low, r.high) == (sum(seen), min(seen), max(seen))
+
+
+def test_exact_quantile(spark):
+    numbers = [-5.5, -0.25, 0.0, 0.0, 1e-9, 3.0, 3.0, 3.0, 700.0, 1e12, None]
+    df = spark.createDataFrame([(v,) for v in numbers], "v double")
+    known = sorted(v for v in numbers if v is not None)
+    for q in (0.1, 0.5, 0.75, 1.0):
+        want = next(v for i, v in enumerate(known, 1) if i >= q * len(known) - 1e-12)
+        assert df.limit(1).select(skew.exact_quantile(df, "v", q).alias("q")).first().q == want
