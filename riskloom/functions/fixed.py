@@ -86,6 +86,17 @@ TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
 # Rolling horizons in seconds.
 HORIZONS = {"1h": 3600, "24h": 86400, "7d": 604800, "30d": 2592000}
 
+# Columns of the training extract.
+TRAINING_COLUMNS = (
+    "transaction_id", "user_id", "amount", "merchant_category", "payment_method",
+    "hour_of_day", "day_of_week", "is_weekend", "is_night", "is_holiday",
+    "amount_zscore", "amount_percentile", "days_since_last",
+    "transactions_last_1h", "transactions_last_24h", "transactions_last_7d", "transactions_last_30d",
+    "user_avg_amount", "user_std_amount", "high_risk_merchant", "amount_round",
+    "geographic_risk", "velocity_risk", "device_risk", "ip_risk_score",
+    "device_fingerprint_risk", "is_fraud", "processed_at",
+)
+
 # Feature lists of the two training matrices.
 MATRIX_NUMERIC = (
     "amount", "hour_of_day", "day_of_week", "amount_zscore", "amount_percentile",

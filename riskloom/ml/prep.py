@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import StringIndexer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,16 +49,6 @@ def encode_category(df: DataFrame, column: str, codes: DataFrame | None = None)
     return joined.withColumn(f"{column}_code", F.coalesce(F.col(f"{column}_code"), top).cast("int"))
 
 
-def category_indexer(spec: MatrixSpec) -> StringIndexer:
-    """The same codes as a fitted stage, for models that travel."""
-    return StringIndexer(
-        inputCols=list(spec.category),
-        outputCols=[f"{c}_code" for c in spec.category],
-        stringOrderType="alphabetAsc",
-        handleInvalid="keep",
-    )
-
-
 def numeric_columns(df: DataFrame, spec: MatrixSpec) -> DataFrame:
     """Matrix null rules: numbers 0, flags false (as 0/1), categories 'unknown'; infinities 0."""
     out = {
@@ -70,13 +59,24 @@ def numeric_columns(df: DataFrame, spec: MatrixSpec) -> DataFrame:
     return df.withColumns(out)
 
 
-def matrix(df: DataFrame, spec: MatrixSpec, *, id_col: str = "transaction_id", label: str = "is_fraud") -> DataFrame:
-    """Numeric matrix as plain columns: id, features in order, label."""
+def matrix(
+    df: DataFrame,
+    spec: MatrixSpec,
+    *,
+    id_col: str = "transaction_id",
+    label: str = "is_fraud",
+    codes: Mapping[str, DataFrame] | None = None,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """Numeric matrix as plain columns: id, features in order, label.
+
+    Pass the ``codes`` of the training data to prepare later rows the same way.
+    """
     rows = numeric_columns(df.filter(F.col(label).isNotNull()), spec)
     for c in spec.category:
-        rows = encode_category(rows, c)
+        rows = encode_category(rows, c, (codes or {}).get(c))
     return rows.select(
-        id_col, *[F.col(c).cast("double").alias(c) for c in spec.names], F.col(label).cast("int").alias("label")
+        id_col, *keep, *[F.col(c).cast("double").alias(c) for c in spec.names], F.col(label).cast("int").alias("label")
     )
 
 

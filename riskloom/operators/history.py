@@ -31,6 +31,13 @@ def user_stats(tx: DataFrame) -> DataFrame:
     )
 
 
+def user_stats_asof(tx: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+    """Count, mean and deviation of the user's earlier transactions, on every row."""
+    return behaviour.user_windows(
+        tx, horizons=(), amounts=False, recency=False, frequency=False, as_of=True, hot=hot
+    )
+
+
 def with_user_totals(tx: DataFrame) -> DataFrame:
     """Whole-user aggregates on every row: aggregate, then join back (AQE splits a heavy user)."""
     return tx.join(user_stats(tx), "user_id")

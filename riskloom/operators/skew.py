@@ -13,8 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-# A key above this many rows leaves the plain window path.
-HOT_ROWS = 50_000
+# A key above this many rows leaves the plain window path: sliding frames cost rows x frame.
+HOT_ROWS = 10_000
 # At most this many keys are treated as hot, so the hot set can always be broadcast.
 # A key that is not among the heaviest MAX_HOT holds less than 1/MAX_HOT of all rows,
 # which is no more than an ordinary shuffle partition.

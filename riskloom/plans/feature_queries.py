@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from riskloom.functions import fixed
 from riskloom.operators import behaviour, detect, features, history, limits, summaries
 from riskloom.operators.skew import find_hot_keys
 from riskloom.plans import catalog as C
@@ -106,10 +107,7 @@ def _user_stats(spark, sf):
     {r('history_avg_amount', 5)} AS history_avg_amount, {r('history_std_amount', 5)} AS history_std_amount FROM win""")
 def _user_stats_asof(spark, sf):
     tx = views.transactions(spark, sf)
-    out = behaviour.user_windows(
-        tx.select("transaction_id", "user_id", "ts", "amount"), horizons=(), amounts=False, recency=False,
-        frequency=False, as_of=True, hot=find_hot_keys(tx),
-    )
+    out = history.user_stats_asof(tx.select("transaction_id", "user_id", "ts", "amount"), find_hot_keys(tx))
     return comparable(
         out.select("transaction_id", "history_transactions", "history_avg_amount", "history_std_amount"), digits=5
     )
@@ -379,18 +377,18 @@ def _sort(spark, sf):
     return comparable(limits.sort_by_time(tx))
 
 
-@query("train_extract", f"""WITH {RISK} SELECT transaction_id, user_id, {r('CAST(amount AS DECIMAL(12,2))')} AS amount, merchant_category,
-    hour_of_day, is_night, {r('CAST(amount_zscore AS DECIMAL(8,4))')} AS amount_zscore, is_fraud
-    FROM risk WHERE ts >= (SELECT MAX(ts) FROM risk) - INTERVAL 7 DAY""")
+_EXTRACT_SQL = SCORED_SQL.format(velocity=CONSTANT_VELOCITY).replace(' FROM risk', '')
+
+
+@query("train_extract", f"""WITH {RISK} SELECT * EXCLUDE ("timestamp", fraud_probability, model_version) FROM (
+    {_EXTRACT_SQL} FROM risk WHERE ts >= (SELECT MAX(ts) FROM risk) - INTERVAL 7 DAY)""")
 def _extract(spark, sf):
     tx = views.transactions(spark, sf)
     scored = history.score(tx, history.user_stats(tx))
     out = limits.training_extract(
-        scored,
-        ["transaction_id", "user_id", "amount", "merchant_category", "hour_of_day", "is_night", "amount_zscore", "is_fraud"],
-        ts="timestamp", seconds=7 * 86400, ref=summaries.latest_instant(tx),
+        scored, fixed.TRAINING_COLUMNS, ts="timestamp", seconds=7 * 86400, ref=summaries.latest_instant(tx)
     )
-    return comparable(out)
+    return comparable(out.drop("processed_at"))
 
 
 @query("guard_min_rows", f"""WITH {TX}, n AS (SELECT COUNT(*) AS c FROM tx WHERE is_fraud) SELECT 'fraud' AS data,

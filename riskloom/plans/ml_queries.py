@@ -385,6 +385,19 @@ def _tune(spark, sf):
 @query("train_job")
 def _job(spark, sf):
     path = scratch_dir(spark, "train")
-    jobs.train_job(scored(spark, sf), model_dir=f"{path}/models", registry=f"{path}/runs", grid=SEARCH, draws=2, folds=2)
+    feats = materialise(scored(spark, sf), "scored")
+    jobs.train_job(feats, model_dir=f"{path}/models", registry=f"{path}/runs", grid=SEARCH, draws=2, folds=2)
+    runs = spark.read.schema(schemas.TRAINING_RUN).parquet(f"{path}/runs")
+    return comparable(runs.select("model_name", "algorithm", "training_data_count", "training_fraud_count", "accuracy", "auc_roc", "status"))
+
+
+@query("train_job_behaviour")
+def _job_behaviour(spark, sf):
+    path = scratch_dir(spark, "train")
+    tx = views.transactions(spark, sf)
+    feats = materialise(behaviour.build_ml_features(tx, hot=find_hot_keys(tx)), "features")
+    jobs.train_behaviour_job(
+        feats, model_dir=f"{path}/models", registry=f"{path}/runs", grid={"maxIter": [3], "maxDepth": [2, 3]}, draws=1, folds=2
+    )
     runs = spark.read.schema(schemas.TRAINING_RUN).parquet(f"{path}/runs")
     return comparable(runs.select("model_name", "algorithm", "training_data_count", "training_fraud_count", "accuracy", "auc_roc", "status"))

@@ -147,6 +147,13 @@ def test_training_job(spark, sf):
     assert len(model.stages) == 2  # scaler and trees: the resampler is not part of the model
     assert meta["features"] == prep.SCORED_SPEC.names and len(meta["features"]) == 24
     assert spark.read.parquet(f"{path}/runs").first().status == "completed"
+    # Re-evaluation codes categories as in training, even when the recent rows lack some of them.
+    recent = feats.filter("merchant_category <> 'adult_entertainment'")
+    again = jobs.evaluate_stored(spark, done.path, recent, days=60).first()
+    whole = jobs.score_batch(model, tune.with_vector(prep.matrix(feats, prep.SCORED_SPEC), prep.SCORED_SPEC.names), "transaction_id")
+    kept = evaluate.evaluate(whole.join(recent.select("transaction_id"), "transaction_id")).first()
+    assert again.roc_auc == pytest.approx(kept.roc_auc, abs=1e-12) and again.true_positives == kept.true_positives
+    assert jobs.evaluate_stored(spark, done.path, feats.limit(5), days=60).first().status == "insufficient_data"
 
 
 def test_search_draws_are_reproducible():
