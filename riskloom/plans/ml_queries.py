@@ -94,8 +94,8 @@ _SCALE_SQL = ", ".join(
 
 
 def scaled(spark, sf):
-    rows = training_matrix(spark, sf).select("transaction_id", *_SCALED, "label")
-    return prep.scale(rows, _SCALED)
+    rows = prep.numeric_columns(scored(spark, sf), prep.SCORED_SPEC).withColumn("label", F.col("is_fraud").cast("int"))
+    return prep.scale(rows.select("transaction_id", *_SCALED, "label"), _SCALED)
 
 
 @query("scale_features", f"""WITH {_MATRIX}, sc AS (SELECT transaction_id, label, {_SCALE_SQL} FROM mat)
