@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from riskloom import schemas
 from riskloom.functions import expressions as X
 from riskloom.functions import fixed
 from riskloom.operators import behaviour, features, history
