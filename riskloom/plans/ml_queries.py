@@ -354,7 +354,13 @@ def _recent(spark, sf):
     return comparable(jobs.evaluate_recent(model, dated, _NAMES))
 
 
-@query("run_registry")
+@query("run_registry", f"""WITH {_METRICS_SQL}, size AS (SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE is_fraud) AS f FROM tx)
+    SELECT 'rule-' || met.model_id AS run_id, met.model_id AS model_name, n AS training_data_count, f AS training_fraud_count,
+    {r('CAST(f / CAST(n AS DOUBLE) AS DECIMAL(6,4))')} AS training_fraud_rate, {r('CAST(accuracy AS DECIMAL(8,6))')} AS accuracy,
+    {r('CAST(precision AS DECIMAL(8,6))')} AS precision_score, {r('CAST(recall AS DECIMAL(8,6))')} AS recall_score,
+    {r('CAST(f1_score AS DECIMAL(8,6))')} AS f1_score, {r('CAST(roc_auc AS DECIMAL(8,6))')} AS auc_roc,
+    {r('CAST(pr_auc AS DECIMAL(8,6))')} AS auc_pr, '{{"model": "' || met.model_id || '"}}' AS hyperparameters, 'completed' AS status
+    FROM met JOIN rk ON met.model_id = rk.model_id, size ORDER BY met.f1_score DESC, met.model_id DESC LIMIT 1""")
 def _registry(spark, sf):
     """Register the best rule model's evaluation and read the registry back."""
     metrics = evaluate.evaluate(predictions(spark, sf), ["model_id"])
@@ -369,7 +375,13 @@ def _registry(spark, sf):
         "auc_roc": best.roc_auc, "auc_pr": best.pr_auc, "hyperparameters": json.dumps({"model": best.model_id}),
         "training_start": datetime(2024, 1, 1), "training_end": datetime(2024, 1, 31), "status": "completed",
     })
-    return comparable(spark.read.schema(schemas.TRAINING_RUN).parquet(path))
+    runs = spark.read.schema(schemas.TRAINING_RUN).parquet(path)
+    return comparable(
+        runs.select(
+            "run_id", "model_name", "training_data_count", "training_fraud_count", "training_fraud_rate", "accuracy",
+            "precision_score", "recall_score", "f1_score", "auc_roc", "auc_pr", "hyperparameters", "status",
+        )
+    )
 
 
 @query("tune_gbt")

@@ -205,7 +205,7 @@ def _balanced(spark, sf):
     return comparable(sample)
 
 
-@query("sink_append")
+@query("sink_append", f"WITH {TX} SELECT CAST(ts AS DATE) AS day, COUNT(*) AS n FROM tx GROUP BY 1")
 def _append(spark, sf):
     """Two appends to one table, partitioned by day, then a count per day."""
     tx = views.transactions(spark, sf).withColumn("day", F.to_date("ts"))

@@ -22,6 +22,9 @@ BASE_CONF = {
 }
 
 
+_local_root: str | None = None
+
+
 def build_session(app: str = "riskloom", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -36,14 +39,15 @@ def shared_root(spark: SparkSession) -> str:
 
     Only a local session without that setting falls back to a temporary folder.
     """
+    global _local_root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="riskloom-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if _local_root is None:
+        _local_root = tempfile.mkdtemp(prefix="riskloom-")
+    return _local_root
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:

@@ -44,16 +44,25 @@ def drain(query: StreamingQuery) -> StreamingQuery:
     return query
 
 
-def to_table(path: str) -> Callable[[DataFrame, int], None]:
-    """Sink function: the batch as one partition of a table. Empty batches write nothing."""
+def per_batch(work: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """Sink function that persists a batch, so its plan runs once, and skips empty ones."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            write_batch(batch, batch_id, path)
+        batch = batch.persist()
+        try:
+            if not batch.isEmpty():
+                work(batch, batch_id)
+        finally:
+            batch.unpersist()
 
     return write
 
 
+def to_table(path: str) -> Callable[[DataFrame, int], None]:
+    """Sink function: the batch as one partition of a table."""
+    return per_batch(lambda batch, batch_id: write_batch(batch, batch_id, path))
+
+
 def transaction_stream(spark: SparkSession, source, *, max_files: int | None = None) -> DataFrame:
     """Decoded, contract-checked transactions from a message stream."""
     good, _ = messages.decode_json(messages.read_messages(spark, source, streaming=True, max_files=max_files))
@@ -66,24 +75,18 @@ def deduplicated(stream: DataFrame, *, watermark: str = "1 minute") -> DataFrame
 
 
 def write_scored_batch(parent: DataFrame | None, target: str, quarantine: str) -> Callable[[DataFrame, int], None]:
-    """Sink function for scored rows: one row per id, orphans to quarantine. Persists the batch once."""
+    """Sink function for scored rows: one row per id, orphans to quarantine."""
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            if batch.isEmpty():
-                return
-            unique = first_by_key(batch, "transaction_id", "timestamp", "amount")
-            if parent is None:
-                write_batch(unique, batch_id, target)
-                return
-            accepted, orphans = split_by_parent(unique, parent)
-            write_batch(accepted, batch_id, target)
-            write_batch(orphans, batch_id, quarantine)
-        finally:
-            batch.unpersist()
+    def work(batch: DataFrame, batch_id: int) -> None:
+        unique = first_by_key(batch, "transaction_id", "timestamp", "amount")
+        if parent is None:
+            write_batch(unique, batch_id, target)
+            return
+        accepted, orphans = split_by_parent(unique, parent)
+        write_batch(accepted, batch_id, target)
+        write_batch(orphans, batch_id, quarantine)
 
-    return write
+    return per_batch(work)
 
 
 def run_scoring_stream(
@@ -112,17 +115,12 @@ def run_quarantine_stream(
     """Split messages: decodable rows to the target, raw text of the others to quarantine."""
     raw = messages.read_messages(spark, source, streaming=True, max_files=max_files)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            if not batch.isEmpty():
-                good, bad = messages.decode_json(batch)
-                write_batch(messages.as_transactions(good), batch_id, target)
-                write_batch(bad, batch_id, quarantine)
-        finally:
-            batch.unpersist()
+    def work(batch: DataFrame, batch_id: int) -> None:
+        good, bad = messages.decode_json(batch)
+        write_batch(messages.as_transactions(good), batch_id, target)
+        write_batch(bad, batch_id, quarantine)
 
-    return start(raw, write, checkpoint, trigger=trigger)
+    return start(raw, per_batch(work), checkpoint, trigger=trigger)
 
 
 def run_profile_stream(
@@ -220,20 +218,13 @@ def run_behaviour_stream(
     """Behavioural features per micro-batch. ``store`` keeps the raw rows of earlier batches."""
     schema = T.StructType([*stream.schema.fields, T.StructField("batch_id", T.IntegerType())])
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            if batch.isEmpty():
-                return
-            spark = batch.sparkSession
-            # Only earlier batches count, so a replayed batch sees what it saw the first time.
-            past = read_or_empty(spark, store, schema).filter(F.col("batch_id") < batch_id)
-            write_batch(behaviour_of_batch(batch, past), batch_id, target)
-            write_batch(batch, batch_id, store)
-        finally:
-            batch.unpersist()
+    def work(batch: DataFrame, batch_id: int) -> None:
+        # Only earlier batches count, so a replayed batch sees what it saw the first time.
+        past = read_or_empty(batch.sparkSession, store, schema).filter(F.col("batch_id") < batch_id)
+        write_batch(behaviour_of_batch(batch, past), batch_id, target)
+        write_batch(batch, batch_id, store)
 
-    return start(stream, write, checkpoint, trigger=trigger)
+    return start(stream, per_batch(work), checkpoint, trigger=trigger)
 
 
 def stream_metrics(query: StreamingQuery) -> DataFrame:
