@@ -141,3 +141,35 @@ def test_missing_table_only(spark):
 def test_unknown_file_format(spark):
     with pytest.raises(ValueError):
         sinks.write_files(spark.range(1), "/nowhere/x.xml")
+
+
+def test_shared_root_follows_the_session(spark, monkeypatch):
+    from riskloom import session
+
+    class Conf:
+        value = "/shared/folder/"
+
+        def get(self, key, default=None):
+            return self.value if key == "spark.checkpoint.dir" else default
+
+    class Fake:
+        conf = Conf()
+        sparkContext = type("C", (), {"master": "yarn"})()
+
+    assert session.shared_root(Fake()) == "/shared/folder"
+    assert session.scratch_dir(Fake(), "x").startswith("/shared/folder/riskloom/x-")
+    Fake.conf.value = None
+    with pytest.raises(ValueError):
+        session.shared_root(Fake())  # a cluster never falls back to a machine-local folder
+    Fake.sparkContext.master = "local[2]"
+    monkeypatch.setattr(session, "_local_root", None)
+    assert session.shared_root(Fake()) == session.shared_root(Fake())
+
+
+def test_sink_skips_empty_batches_and_persists_once(spark):
+    path = scratch_dir(spark, "sink")
+    sink = jobs.to_table(path)
+    sink(rows(spark, ("a", "u", 1.0, 0)).filter("false"), 0)
+    sink(rows(spark, ("a", "u", 1.0, 0)), 1)
+    sink(rows(spark, ("a", "u", 1.0, 0)), 1)
+    assert spark.read.parquet(path).groupBy("batch_id").count().collect() == [(1, 1)]
