@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import bpe
+from riskloom.llm import bpe, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_byte_bpe": bpe.op9_byte_bpe,
+    "op10_token_counts": token_counts.op10_token_counts,
 }
 
 ORACLE: dict[str, str] = {}
