@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import bpe, token_counts
+from riskloom.llm import bpe, fingerprints, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_fingerprints": fingerprints.op4_fingerprints,
     "op9_byte_bpe": bpe.op9_byte_bpe,
     "op10_token_counts": token_counts.op10_token_counts,
 }
