@@ -6,15 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import bpe, fingerprints, token_counts, warc
+from riskloom.llm import bpe, fingerprints, mixing, sharding, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_index": warc.op1_warc_index,
     "op4_fingerprints": fingerprints.op4_fingerprints,
+    "op5_shard_table": sharding.op5_shard_table,
+    "op6_source_mix": mixing.op6_source_mix,
     "op9_byte_bpe": bpe.op9_byte_bpe,
     "op10_token_counts": token_counts.op10_token_counts,
 }
 
 ORACLE: dict[str, str] = {
     "op1_warc_index": warc.OP1_SQL,
+    "op5_shard_table": sharding.op5_sql(),
+    "op6_source_mix": mixing.OP6_SQL,
 }
