@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import bpe, fingerprints, mixing, sharding, token_counts, warc
+from riskloom.llm import bpe, fingerprints, mixing, quality_rules, sharding, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_index": warc.op1_warc_index,
+    "op3_quality_rules": quality_rules.op3_quality_rules,
     "op4_fingerprints": fingerprints.op4_fingerprints,
     "op5_shard_table": sharding.op5_shard_table,
     "op6_source_mix": mixing.op6_source_mix,
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op1_warc_index": warc.OP1_SQL,
+    "op3_quality_rules": quality_rules.op3_sql(),
     "op5_shard_table": sharding.op5_sql(),
     "op6_source_mix": mixing.OP6_SQL,
 }
