@@ -38,6 +38,7 @@ _START = {"pi": 0.8, "a": 0.9, "b": 0.5}
 RULES: dict[str, tuple[str, str]] = {
     "word_length": ("word_chars < 2.0 * n_words OR word_chars > 20.0 * n_words", "word_chars BETWEEN 2.5 * n_words AND 14.0 * n_words"),
     "symbols": ("n_symbols > 0.08 * n_words", "n_symbols < 0.02 * n_words"),
+    "symbol_share": ("n_symbols > 0.05 * word_chars", "n_symbols < 0.01 * word_chars"),
     "lines": ("n_dup_lines > 0.3 * n_lines", "n_dup_lines = 0"),
     "repeats": ("n_repeat_words > 0.25 * n_words", "n_repeat_words < 0.1 * n_words"),
     "capitals": ("n_upper > 0.3 * word_chars", "n_upper < 0.1 * word_chars"),
