@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import bpe, fingerprints, mixing, quality_rules, sharding, simhash, token_counts, warc
+from riskloom.llm import bpe, fingerprints, mixing, quality_rules, repeats, sharding, simhash, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_index": warc.op1_warc_index,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_shard_table": sharding.op5_shard_table,
     "op6_source_mix": mixing.op6_source_mix,
     "op7_simhash": simhash.op7_simhash,
+    "op8_suffix_dedup": repeats.op8_suffix_dedup,
     "op9_byte_bpe": bpe.op9_byte_bpe,
     "op10_token_counts": token_counts.op10_token_counts,
 }
