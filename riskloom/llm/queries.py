@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import bpe, fingerprints, mixing, quality_rules, repeats, sharding, simhash, token_counts, warc
+from riskloom.llm import bpe, fingerprints, mixing, perplexity, quality_rules, repeats, sharding, simhash, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_index": warc.op1_warc_index,
+    "op2_kneser_ney": perplexity.op2_kneser_ney,
     "op3_quality_rules": quality_rules.op3_quality_rules,
     "op4_fingerprints": fingerprints.op4_fingerprints,
     "op5_shard_table": sharding.op5_shard_table,
