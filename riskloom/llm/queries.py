@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from riskloom.llm import bpe, fingerprints, mixing, perplexity, quality_rules, repeats, sharding, simhash, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": repeats.op8_suffix_dedup,
     "op9_byte_bpe": bpe.op9_byte_bpe,
     "op10_token_counts": token_counts.op10_token_counts,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {
