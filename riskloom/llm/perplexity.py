@@ -181,10 +181,10 @@ def _discounts(table: DataFrame) -> DataFrame:
     """lang, d1, d2, d3 from the numbers of grams seen once to four times; one row per language."""
     n = {k: F.count_if(F.col("c") == k).cast("double").alias(f"n{k}") for k in range(1, 5)}
     counts = table.groupBy("lang").agg(*n.values())
-    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+    y = F.try_divide("n1", F.col("n1") + 2 * F.col("n2"))
 
     def rule(k: int) -> Column:
-        value = k - (k + 1) * y * F.col(f"n{k + 1}") / F.col(f"n{k}")
+        value = k - (k + 1) * y * F.try_divide(f"n{k + 1}", f"n{k}")
         usable = (F.col("n1") > 0) & (F.col(f"n{k}") > 0) & (value > 0)
         return F.when(usable, F.least(value, F.lit(float(k)))).otherwise(F.lit(k / 2))
 
@@ -211,8 +211,8 @@ def gram_probabilities(counts: DataFrame, order: int = ORDER) -> DataFrame:
             "t1": F.count_if(c == 1).over(context), "t2": F.count_if(c == 2).over(context), "t3": F.count_if(c >= 3).over(context),
         })
         weighed = seen.join(_discounts(tables[k]), "lang").withColumn("gram_lower", F.expr(f"substring(gram, 2, {k - 1})"))
-        own = F.greatest(c - _discount(c), F.lit(0.0)) / F.col("total")
-        left = (F.col("d1") * F.col("t1") + F.col("d2") * F.col("t2") + F.col("d3") * F.col("t3")) / F.col("total")
+        own = F.try_divide(F.greatest(c - _discount(c), F.lit(0.0)), "total")
+        left = F.try_divide(F.col("d1") * F.col("t1") + F.col("d2") * F.col("t2") + F.col("d3") * F.col("t3"), "total")
         p = F.when(F.col("total") > 0, own + left * F.col("p_lower")).otherwise(F.col("p_lower"))
         table = weighed.join(lower, ["lang", "gram_lower"]).select("lang", "gram", p.alias("p"))
         if k < order:
@@ -276,8 +276,9 @@ def classify(docs: DataFrame, trusted: DataFrame, order: int = ORDER, quantile:
     scores = materialise(
         rows.mapInArrow(_score(side, of_blocks, order), "doc_id bigint, lang string, n_chars bigint, log_p double, trusted boolean"), "scores"
     )
-    means = scores.filter(F.col("trusted")).groupBy("lang").agg((-F.sum("log_p") / F.sum("n_chars")).alias("mean"))
-    smooth = (-F.col("log_p") + PRIOR_CHARS * F.coalesce("mean", F.lit(0.0))) / (F.col("n_chars") + F.when(F.col("mean").isNull(), 0).otherwise(PRIOR_CHARS))
+    means = scores.filter(F.col("trusted")).groupBy("lang").agg(F.try_divide(-F.sum("log_p"), F.sum("n_chars")).alias("mean"))
+    prior = F.when(F.col("mean").isNull(), 0).otherwise(PRIOR_CHARS)
+    smooth = F.try_divide(-F.col("log_p") + prior * F.coalesce("mean", F.lit(0.0)), F.col("n_chars") + prior)
     judged = scores.join(means, "lang", "left").withColumn("log_perplexity", F.when(F.col("n_chars") > 0, smooth))
     # The quantile on a grid: counts per cell are exact whatever the order of rows.
     cells = judged.filter("trusted AND n_chars > 0").groupBy("lang", F.floor(F.col("log_perplexity") * _GRID).alias("cell")).agg(F.count("*").alias("n"))

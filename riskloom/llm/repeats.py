@@ -405,23 +405,24 @@ def whole_characters(text: bytes, spans: list[tuple[int, int]]) -> list[tuple[in
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """The documents with repeated passages cut out, in whole characters; a text that goes entirely takes its row along."""
-    rows = _typed(store.with_blocks(docs, *docs.columns))
-    sides = find_repeats(rows)
-    schema = docs.schema
+    # Neutral names, so that no column meets the block id's.
+    neutral = {c: c if c in ("doc_id", "text") else f"c{i}" for i, c in enumerate(docs.columns)}
+    renamed = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in neutral.items()])
+    rows = _typed(store.with_blocks(renamed, *neutral.values()))
+    sides, n_chars = find_repeats(rows), neutral.get("n_chars")
+    schema = rows.drop(store.BLOCK).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts, spans in sides.spans(batches):
             new = [kept(t, whole_characters(t, s)).decode("utf-8") for t, s in zip(texts, spans, strict=True)]
-            names = batch.schema.names
-            columns = {name: batch.column(i) for i, name in enumerate(names) if name != store.BLOCK}
-            old = columns["text"]
-            columns["text"] = pa.array([None if not o.is_valid else t for o, t in zip(old, new, strict=True)], pa.string())
-            if "n_chars" in columns:
-                columns["n_chars"] = pa.array([len(t) for t in new], pa.int64())
+            columns = {name: batch.column(i) for i, name in enumerate(batch.schema.names) if name != store.BLOCK}
+            columns["text"] = pa.array([t if o.is_valid else None for o, t in zip(columns["text"], new, strict=True)], pa.string())
+            if n_chars:
+                columns[n_chars] = pa.array([len(t) for t in new], pa.int64()).cast(columns[n_chars].type)
             stays = pa.array([bool(t) or not s for t, s in zip(new, spans, strict=True)])
             yield pa.RecordBatch.from_pydict(columns).filter(stays)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema).select(*[F.col(n).alias(c) for c, n in neutral.items()])
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -69,12 +69,12 @@ def table_frame(spark: SparkSession, shards: Sequence[str], slots: int = SLOTS)
 
 def place(rows: DataFrame, key: Column, shards: Sequence[str] = SHARDS, slots: int = SLOTS, *, out: str = "shard", spread: Column | None = None) -> DataFrame:
     """Rows with the number of their shard in ``out``."""
-    table = table_frame(rows.sparkSession, shards, slots).select(F.col("slot").alias("__slot"), F.col("shard").alias("__shard"))
-    placed = rows.withColumn("__key_slot", slot_of(key, slots, spread))
+    table = table_frame(rows.sparkSession, shards, slots)
+    names = [c for c in rows.columns if c != out]
+    # The row travels as one value, so its column names can't meet those of the table.
+    packed = rows.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), slot_of(key, slots, spread).alias("slot"))
     # The broadcast side has exactly ``slots`` rows.
-    return placed.join(F.broadcast(table), F.col("__key_slot") == F.col("__slot")).select(
-        *[F.col(f"`{c}`") for c in rows.columns if c != out], F.col("__shard").alias(out)
-    )
+    return packed.join(F.broadcast(table), "slot").select(*[F.col(f"row.`{c}`").alias(c) for c in names], F.col("shard").alias(out))
 
 
 def op5_shard_table(spark: SparkSession, sf_dir: str) -> DataFrame:
