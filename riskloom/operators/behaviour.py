@@ -1,29 +1,33 @@
-"""Rolling behaviour per user.
+"""Rolling behaviour per user: one exact way for every user, whatever their number of rows.
 
-Ordinary users go through window functions: one shuffle on ``user_id`` serves every
-window. Heavy users (see ``skew``) are first reduced to one row per user and second,
-which bounds a user by elapsed time instead of by rows, then processed in time chunks,
-and joined back to their rows. Both ways give the same values.
+Rows are first reduced to one per user and second, then cut into chunks of time. A task gets a chunk of a
+user together with the longest horizon before it, so it holds at most 45 days of seconds; windows are
+differences of running sums, and their largest and smallest values come from a table of powers of two.
+What lies before a chunk arrives as one carried row. Running counts go through day blocks (``skew.running``).
+All joins treat NULL as a value: rows without user, category or time are kept.
+
+A row without time has no window but its like, and precedes all rows of its user that have one. Amounts that
+are NaN or infinite make the averages and deviations of just the windows they lie in NaN or infinite.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions import expressions as X
 from riskloom.functions import fixed
 from riskloom.operators import features
-from riskloom.operators.skew import HotKeys, running, split_hot
+from riskloom.operators.skew import join_null_safe, running
 
 DAY = 86400
-# Heavy users: rolling values are computed per user and 15-day chunk, with the
-# longest horizon as lead-in: at most 45 days of seconds, whatever the row count.
 CHUNK_SECONDS = 15 * DAY
+# The second of rows without time: before all others, further away than any horizon.
+NO_TIME = -(1 << 40)
 
 _STATS = ("avg_24h", "avg_7d", "std_7d", "max_7d")
 _AMOUNT_COLUMNS = {
@@ -44,7 +48,6 @@ def user_windows(
     recency: bool = True,
     frequency: bool = True,
     as_of: bool = False,
-    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Add velocity, amount, recency, frequency and as-of history columns per user."""
     parts = {
@@ -54,13 +57,12 @@ def user_windows(
     if frequency and "hour_of_day" not in tx.columns:
         tx = tx.withColumn("hour_of_day", F.hour("ts"))
     wanted = [*tx.columns, *_added(**parts)]
-    if hot is None:
-        return _finish(_by_window(tx, **parts), parts).select(*wanted)
-    cold, heavy = split_hot(tx, hot)
-    out = _by_window(cold, **parts).unionByName(
-        _by_second(heavy, **parts), allowMissingColumns=False
-    )
-    return _finish(out, parts).select(*wanted)
+    rows = tx.withColumn("__sec", F.coalesce(X.epoch_second(F.col("ts")), F.lit(NO_TIME)))
+    if frequency:
+        rows = _frequencies(rows)
+    if parts["horizons"] or amounts or as_of or recency:
+        rows = _with_seconds(rows, **parts)
+    return _finish(rows, parts).select(*wanted)
 
 
 def _added(horizons, amounts, recency, frequency, as_of) -> list[str]:
@@ -76,13 +78,6 @@ def _added(horizons, amounts, recency, frequency, as_of) -> list[str]:
     return names
 
 
-def _raw(horizons, amounts, recency, frequency, as_of) -> list[str]:
-    raw = _added(horizons, amounts, recency, frequency, as_of)
-    return [n for n in raw if n not in ("amount_zscore", "minutes_since_last")] + (
-        ["__prev"] if recency else []
-    )
-
-
 def _finish(df: DataFrame, parts: dict) -> DataFrame:
     """Columns that are plain expressions over the window results."""
     out = {}
@@ -96,164 +91,237 @@ def _finish(df: DataFrame, parts: dict) -> DataFrame:
     return df.withColumns(out) if out else df
 
 
-def _by_window(tx, horizons, amounts, recency, frequency, as_of) -> DataFrame:
-    df = tx.withColumn("__sec", X.epoch_second(F.col("ts")))
-    by_second = Window.partitionBy("user_id").orderBy("__sec")
+def _frequencies(rows: DataFrame) -> DataFrame:
+    """Running counts per user and category, and per user and hour, up to and with the row's second."""
+    day = F.floor(F.col("__sec") / DAY)
+    for column, out in (("merchant_category", "user_merchant_frequency"), ("hour_of_day", "user_hour_frequency")):
+        keys = ["user_id", column]
+        visits = rows.groupBy(*keys, "__sec").agg(F.count("*").alias("__visits"))
+        counted = running(visits, keys=keys, order="__sec", block=day, values={out: ("sum", "__visits")})
+        rows = join_null_safe(rows, counted.drop("__visits"), [*keys, "__sec"])
+    return rows
 
-    def last(h: str):
-        return by_second.rangeBetween(-fixed.HORIZONS[h], 0)
 
-    out = {f"transactions_last_{h}": F.count("*").over(last(h)) - 1 for h in horizons}
-    if amounts:
-        out["user_avg_amount_24h"] = F.avg("amount").over(last("24h"))
-        out["user_avg_amount_7d"] = F.avg("amount").over(last("7d"))
-        out["user_std_amount_7d"] = F.stddev("amount").over(last("7d"))
-        out["user_max_amount_7d"] = F.max("amount").over(last("7d"))
-    if as_of:
-        before = by_second.rangeBetween(Window.unboundedPreceding, -1)
-        out["history_transactions"] = F.count("*").over(before)
-        out["history_avg_amount"] = F.avg("amount").over(before)
-        out["history_std_amount"] = F.stddev("amount").over(before)
-    if recency:
-        out["__prev"] = F.lag("__sec").over(
-            Window.partitionBy("user_id").orderBy("ts", "transaction_id")
-        )
-    if frequency:
-        seen = Window.partitionBy("user_id", "merchant_category").orderBy("__sec")
-        hour = Window.partitionBy("user_id", "hour_of_day").orderBy("__sec")
-        out["user_merchant_frequency"] = F.count("*").over(seen)
-        out["user_hour_frequency"] = F.count("*").over(hour)
-    return df.withColumns(out).drop("__sec")
-
-
-def _by_second(heavy, horizons, amounts, recency, frequency, as_of) -> DataFrame:
-    """Heavy users, reduced to one row per user and second before anything is ordered."""
-    rows = heavy.withColumn("__sec", X.epoch_second(F.col("ts")))
-    shifted = F.col("amount") - F.col("center")
-    seconds = rows.groupBy("user_id", "__sec").agg(
-        F.first("center").alias("center"),
+_MOMENTS = ("n", "na", "mean", "m2", "lo", "hi", "nan", "up", "down")
+_CARRIED = ("n", "na", "s1", "s2", "lo", "hi", "nan", "up", "down", "last")
+
+
+def _seconds(rows: DataFrame) -> DataFrame:
+    """One row per user and second: counts, mean and squared deviations of the finite amounts."""
+    amount = F.col("amount").cast("double")
+    infinite = F.abs(amount) == F.lit(float("inf"))
+    finite = F.when(~F.isnan(amount) & ~infinite, amount)
+    return rows.groupBy("user_id", "__sec").agg(
         F.count("*").alias("n"),
-        F.count("amount").alias("na"),
-        F.coalesce(F.sum(shifted), F.lit(0.0)).alias("s1"),
-        F.coalesce(F.sum(shifted * shifted), F.lit(0.0)).alias("s2"),
-        F.min("amount").cast("double").alias("lo"),
-        F.max("amount").cast("double").alias("hi"),
+        F.count(finite).alias("na"),
+        F.avg(finite).alias("mean"),
+        (F.var_pop(finite) * F.count(finite)).alias("m2"),
+        F.min(finite).alias("lo"),
+        F.max(finite).alias("hi"),
+        F.count_if(F.isnan(amount)).alias("nan"),
+        F.count_if(infinite & (amount > 0)).alias("up"),
+        F.count_if(infinite & (amount < 0)).alias("down"),
         F.min(F.struct("ts", "transaction_id")).alias("first_row"),
     )
-    day = F.floor(F.col("__sec") / DAY)
-    out = seconds
-    if as_of or recency:
-        earlier = {"prev_sec": ("max", "__sec")}
-        if as_of:
-            earlier |= {
-                "b_n": ("sum", "n"), "b_na": ("sum", "na"), "b_s1": ("sum", "s1"),
-                "b_s2": ("sum", "s2"), "b_lo": ("min", "lo"), "b_hi": ("max", "hi"),
-            }
-        out = running(out, keys=["user_id"], order="__sec", block=day, values=earlier, inclusive=False)
-    if as_of:
-        variance = (F.col("b_s2") - F.col("b_s1") * F.col("b_s1") / F.col("b_na")) / (F.col("b_na") - 1)
-        spread = F.when(F.col("b_lo") == F.col("b_hi"), 0.0).otherwise(
-            F.sqrt(F.greatest(variance, F.lit(0.0)))
-        )
-        out = out.withColumns(
-            {
-                "history_transactions": F.coalesce("b_n", F.lit(0)),
-                "history_avg_amount": F.when(
-                    F.col("b_na") > 0, F.col("center") + F.col("b_s1") / F.col("b_na")
-                ),
-                "history_std_amount": F.when(F.col("b_na") > 1, spread),
-            }
-        )
-    if frequency:
-        out = running(
-            out.withColumn("__hour", F.hour(F.timestamp_seconds("__sec"))),
-            keys=["user_id", "__hour"], order="__sec", block=day,
-            values={"user_hour_frequency": ("sum", "n")},
-        )
-    if horizons or amounts:
-        out = out.join(_rolling(seconds, horizons, amounts), ["user_id", "__sec"])
 
-    on = ["user_id", "__sec"]
-    if frequency:
-        on = [*on, "merchant_category"]
-        visits = running(
-            rows.groupBy(*on).agg(F.count("*").alias("visits")),
-            keys=["user_id", "merchant_category"], order="__sec", block=day,
-            values={"user_merchant_frequency": ("sum", "visits")},
-        ).drop("visits")
-        out = visits.join(out, ["user_id", "__sec"])
-    keep = [c for c in out.columns if c not in heavy.columns or c in on]
-    joined = rows.drop("center").join(out.select(*keep), on)
-    if recency:
-        first = (F.col("ts") == F.col("first_row.ts")) & (
-            F.col("transaction_id") == F.col("first_row.transaction_id")
-        )
-        joined = joined.withColumn("__prev", F.when(first, F.col("prev_sec")).otherwise(F.col("__sec")))
-    base = [c for c in heavy.columns if c != "center"]
-    return joined.select(*base, *_raw(horizons, amounts, recency, frequency, as_of))
+
+def _carries(seconds: DataFrame, chunk: Column) -> DataFrame:
+    """What precedes each chunk of a user; a user has one row per chunk of time here."""
+    na, mean = F.col("na"), F.coalesce("mean", F.lit(0.0))
+    totals = seconds.groupBy("user_id", chunk.alias("__chunk")).agg(
+        *[F.sum(c).alias(c) for c in ("n", "na", "nan", "up", "down")],
+        F.sum(na * mean).alias("s1"),
+        F.sum(F.coalesce("m2", F.lit(0.0)) + na * mean * mean).alias("s2"),
+        F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("__sec").alias("last"),
+    )
+    before = Window.partitionBy("user_id").orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    how = {"lo": F.min, "hi": F.max, "last": F.max}
+    return totals.select("user_id", "__chunk", *[how.get(c, F.sum)(c).over(before).alias(c) for c in _CARRIED])
 
 
-def _rolling(seconds: DataFrame, horizons: Sequence[str], amounts: bool) -> DataFrame:
-    """Range-window values per user and second, by time chunk with lead-in."""
+def _with_seconds(rows: DataFrame, horizons, amounts, recency, frequency, as_of) -> DataFrame:
+    """Add windows, history and the time before, computed per user and second."""
     spans = {h: fixed.HORIZONS[h] for h in horizons}
-    reach = max([*spans.values(), *([fixed.HORIZONS["7d"]] if amounts else [])])
+    reach = max([0, *spans.values(), *([fixed.HORIZONS["7d"]] if amounts else [])])
+    seconds = _seconds(rows)
     chunk = F.floor(F.col("__sec") / CHUNK_SECONDS)
-    last_chunk = F.floor((F.col("__sec") + reach) / CHUNK_SECONDS)
-    copies = seconds.select(
-        "user_id", "__sec", "center", "n", "na", "s1", "s2", "lo", "hi",
-        F.explode(F.sequence(chunk, last_chunk)).alias("__chunk"),
-    )
-    user_type = seconds.schema["user_id"].dataType.simpleString()
-    columns = [f"transactions_last_{h}" for h in horizons]
-    schema = f"user_id {user_type}, __sec bigint" + "".join(f", {c} bigint" for c in columns)
+    copies = seconds.withColumn("__chunk", F.explode(F.sequence(chunk, F.floor((F.col("__sec") + reach) / CHUNK_SECONDS))))
+    as_double = {c: F.col(c).cast("double") for c in {*_MOMENTS, *_CARRIED} - {"last"}}
+
+    def shaped(df: DataFrame, sec: Column, names: Sequence[str]) -> DataFrame:
+        columns = [as_double[c].alias(c) if c in names else F.lit(None).cast("double").alias(c) for c in _FIELDS]
+        last = F.col("last") if "last" in names else F.lit(None).cast("long")
+        return df.select("user_id", "__chunk", sec.alias("__sec"), *columns, last.alias("last"))
+
+    dealt = shaped(copies, F.col("__sec"), _MOMENTS)
+    if as_of or recency:
+        # A carried row has no second, so it comes first in its chunk.
+        dealt = dealt.union(shaped(_carries(seconds, chunk), F.lit(None).cast("long"), _CARRIED))
+    names = [f"transactions_last_{h}" for h in horizons]
+    kinds = {c: "bigint" for c in names}
     if amounts:
-        schema += "".join(f", {c} double" for c in _AMOUNT_COLUMNS.values())
-
-    def roll(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("__sec", ignore_index=True)
-        sec = pdf["__sec"].to_numpy()
-        own = sec // CHUNK_SECONDS == pdf["__chunk"].iat[0]
-
-        def window_sum(column: str, start: np.ndarray) -> np.ndarray:
-            total = np.concatenate([[0], np.cumsum(pdf[column].to_numpy())])
-            return total[1:] - total[start]
-
-        result = {"user_id": pdf["user_id"], "__sec": sec}
-        for h, span in spans.items():
-            result[f"transactions_last_{h}"] = window_sum("n", np.searchsorted(sec, sec - span)) - 1
-        if amounts:
-            center = pdf["center"].to_numpy()
-            clock = pd.to_datetime(sec, unit="s")
-            for h in ("24h", "7d"):
-                start = np.searchsorted(sec, sec - fixed.HORIZONS[h])
-                na, s1 = window_sum("na", start), window_sum("s1", start)
-                with np.errstate(invalid="ignore", divide="ignore"):
-                    mean = np.where(na > 0, s1 / na, np.nan)
-                result[f"user_avg_amount_{h}"] = center + mean
-            frame = f"{fixed.HORIZONS['7d']}s"
-            hi = pd.Series(pdf["hi"].to_numpy(), clock).rolling(frame, closed="both", min_periods=1).max()
-            lo = pd.Series(pdf["lo"].to_numpy(), clock).rolling(frame, closed="both", min_periods=1).min()
-            with np.errstate(invalid="ignore", divide="ignore"):
-                variance = (window_sum("s2", start) - s1 * mean) / (na - 1)
-                std = np.sqrt(np.maximum(variance, 0.0))
-            std = np.where(hi.to_numpy() == lo.to_numpy(), 0.0, std)
-            result["user_std_amount_7d"] = np.where(na > 1, std, np.nan)
-            result["user_max_amount_7d"] = hi.to_numpy()
-        return pd.DataFrame(result)[own]
-
-    return copies.groupBy("user_id", "__chunk").applyInPandas(roll, schema)
+        kinds |= {c: "double" for c in _AMOUNT_COLUMNS.values()}
+    if as_of:
+        kinds |= dict(zip(_HISTORY, ("bigint", "double", "double"), strict=True))
+    if recency:
+        kinds["__before"] = "bigint"
+    user_type = rows.schema["user_id"].dataType.simpleString()
+    schema = ", ".join([f"user_id {user_type}", "__sec bigint", *(f"{c} {t}" for c, t in kinds.items())])
+    ordered = dealt.repartition("user_id", "__chunk").sortWithinPartitions("user_id", "__chunk", F.asc_nulls_first("__sec"))
+    found = ordered.mapInArrow(_roller(spans, amounts, as_of, recency, kinds), schema)
+    if recency:
+        found = join_null_safe(found, seconds.select("user_id", "__sec", "first_row"), ["user_id", "__sec"])
+    joined = join_null_safe(rows, found, ["user_id", "__sec"])
+    if recency:
+        first = F.col("first_row.ts").eqNullSafe(F.col("ts")) & F.col("first_row.transaction_id").eqNullSafe(F.col("transaction_id"))
+        before = F.when(first, F.col("__before")).otherwise(F.col("__sec"))
+        joined = joined.withColumn("__prev", F.when(before != NO_TIME, before)).drop("first_row", "__before")
+    return joined
+
+
+_FIELDS = tuple(dict.fromkeys((*_MOMENTS, *(c for c in _CARRIED if c != "last"))))
+
+
+def _roller(spans: dict[str, int], amounts: bool, as_of: bool, recency: bool, kinds: dict[str, str]):
+    """Task over rows sorted by user, chunk and second; a chunk is computed once all its rows are there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = pa.concat_tables([rest, table]) if rest is not None else table
+            cuts = _group_cuts(table)
+            whole, rest = table.slice(0, cuts[-1]), table.slice(cuts[-1])
+            if whole.num_rows:
+                yield _roll_groups(whole, cuts, spans, amounts, as_of, recency, kinds)
+        if rest is not None and rest.num_rows:
+            yield _roll_groups(rest, [0], spans, amounts, as_of, recency, kinds)
+
+    return run
+
+
+def _group_cuts(table: pa.Table) -> list[int]:
+    """Where chunks begin; the last one may go on."""
+    users = table.column("user_id").combine_chunks().dictionary_encode()
+    users = users.combine_chunks() if isinstance(users, pa.ChunkedArray) else users
+    code = users.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+    chunk = table.column("__chunk").to_numpy()
+    return [0, *(np.flatnonzero((code[1:] != code[:-1]) | (chunk[1:] != chunk[:-1])) + 1).tolist()]
+
+
+def _roll_groups(table, cuts, spans, amounts, as_of, recency, kinds) -> pa.RecordBatch:
+    sec = table.column("__sec").fill_null(0).to_numpy()
+    carried = table.column("__sec").is_null().to_numpy()
+    chunk = table.column("__chunk").to_numpy()
+    last = table.column("last").fill_null(NO_TIME).to_numpy()
+    fields = {c: table.column(c).to_numpy() for c in _FIELDS}  # null as NaN
+    ends = [*cuts[1:], len(sec)] if cuts[-1] < len(sec) else cuts[1:]
+    own_rows, parts = [np.zeros(0, np.int64)], []
+    for start, end in zip(cuts, ends, strict=False):
+        body = start + int(carried[start])
+        if body == end:
+            continue
+        group = {c: v[body:end] for c, v in fields.items()}
+        carry = {c: v[start] for c, v in fields.items()} if body > start else None
+        own = int(np.searchsorted(sec[body:end], chunk[start] * CHUNK_SECONDS))
+        if own < end - body:
+            own_rows.append(np.arange(body + own, end))
+            parts.append(_roll(sec[body:end], group, own, carry, int(last[start]), spans, amounts, as_of, recency))
+    rows = np.concatenate(own_rows)
+    columns = [table.column("user_id").take(pa.array(rows)).combine_chunks(), pa.array(sec[rows])]
+    for name, kind in kinds.items():
+        values = np.concatenate([p[name][0] for p in parts]) if parts else np.zeros(0)
+        empty = np.concatenate([p[name][1] for p in parts]) if parts else np.zeros(0, bool)
+        columns.append(pa.array(values, pa.int64() if kind == "bigint" else pa.float64(), mask=empty, from_pandas=False))
+    columns[0] = columns[0].combine_chunks() if isinstance(columns[0], pa.ChunkedArray) else columns[0]
+    return pa.RecordBatch.from_arrays(columns, names=["user_id", "__sec", *kinds])
+
+
+def _upto(values: np.ndarray, before: float = 0.0) -> np.ndarray:
+    return np.concatenate(([before], before + np.cumsum(values)))
+
+
+def _extreme(values: np.ndarray, start: np.ndarray, fold) -> np.ndarray:
+    """fold over values[start[i]..i] for every i, from tables over spans of powers of two."""
+    n = len(values)
+    length = np.arange(n) + 1 - start
+    level = np.frexp(length)[1] - 1
+    out, table = np.empty(n), values
+    for k in range(int(level.max()) + 1):
+        at = np.flatnonzero(level == k)
+        out[at] = fold(table[start[at]], table[at + 1 - (1 << k)])
+        if len(table) > 1 << k:
+            table = fold(table[: -(1 << k)], table[1 << k :])
+    return out
+
+
+def _statistics(na, s1, s2, nan, up, down, lo, hi, center):
+    """(mean, deviation, largest value), each with its mask of nulls, from window sums around a center."""
+    total = na + nan + up + down
+    with np.errstate(invalid="ignore", divide="ignore"):
+        mean = np.where(na > 0, center + s1 / na, 0.0)
+        std = np.sqrt(np.maximum((s2 - s1 * s1 / na) / (na - 1), 0.0))
+    std = np.where(lo == hi, 0.0, std)
+    odd = nan + up + down > 0
+    mixed = (nan > 0) | ((up > 0) & (down > 0))
+    mean = np.where(odd, np.where(mixed, np.nan, np.where(up > 0, np.inf, -np.inf)), mean)
+    std = np.where(odd, np.nan, std)
+    largest = np.where(nan > 0, np.nan, np.where(up > 0, np.inf, np.where(na > 0, hi, -np.inf)))
+    return (mean, total == 0), (std, total < 2), (largest, total == 0)
+
+
+def _roll(sec, group, own, carry, last, spans, amounts, as_of, recency) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    m = len(sec)
+    none = np.zeros(m - own, bool)
+    n, na = group["n"], group["na"]
+    mean, m2 = np.nan_to_num(group["mean"]), np.nan_to_num(group["m2"])
+    low, high = np.where(na > 0, group["lo"], np.inf), np.where(na > 0, group["hi"], -np.inf)
+    out = {}
+    for h, span in spans.items():
+        start = np.searchsorted(sec, sec - span)
+        total = _upto(n)
+        out[f"transactions_last_{h}"] = (np.rint(total[1:] - total[start] - 1).astype(np.int64)[own:], none)
+    if amounts:
+        center = float((na * mean).sum() / na.sum()) if na.sum() else 0.0
+        away = np.where(na > 0, mean - center, 0.0)
+        sums = {"na": na, "s1": na * away, "s2": m2 + na * away * away, **{c: group[c] for c in ("nan", "up", "down")}}
+        for h in ("24h", "7d"):
+            start = np.searchsorted(sec, sec - fixed.HORIZONS[h])
+            window = {c: (t := _upto(v))[1:] - t[start] for c, v in sums.items()}
+            lo, hi = _extreme(low, start, np.minimum), _extreme(high, start, np.maximum)
+            average, deviation, largest = _statistics(**window, lo=lo, hi=hi, center=center)
+            out[_AMOUNT_COLUMNS[f"avg_{h}"]] = tuple(x[own:] for x in average)
+        out[_AMOUNT_COLUMNS["std_7d"]] = tuple(x[own:] for x in deviation)
+        out[_AMOUNT_COLUMNS["max_7d"]] = tuple(x[own:] for x in largest)
+    if as_of:
+        def before(name: str, values: np.ndarray) -> np.ndarray:
+            return _upto(values[own:], 0.0 if carry is None or np.isnan(carry[name]) else carry[name])[:-1]
+
+        def edge(name: str, values: np.ndarray, fold, start: float) -> np.ndarray:
+            first = start if carry is None or np.isnan(carry[name]) else carry[name]
+            return fold.accumulate(np.concatenate(([first], values[own:])))[:-1]
+
+        window = {"na": before("na", na), "s1": before("s1", na * mean), "s2": before("s2", m2 + na * mean * mean)}
+        window |= {c: before(c, group[c]) for c in ("nan", "up", "down")}
+        average, deviation, _ = _statistics(**window, lo=edge("lo", low, np.minimum, np.inf), hi=edge("hi", high, np.maximum, -np.inf), center=0.0)
+        out[_HISTORY[0]] = (np.rint(before("n", n)).astype(np.int64), none)
+        out[_HISTORY[1]], out[_HISTORY[2]] = average, deviation
+    if recency:
+        earlier = np.concatenate(([last], sec[own:-1]))
+        out["__before"] = (earlier, earlier == NO_TIME)
+    return out
 
 
 def behaviour_features(
-    df: DataFrame, *, horizons: Iterable[str] = ("24h", "7d", "30d"), hot: HotKeys | None = None
+    df: DataFrame, *, horizons: Iterable[str] = ("24h", "7d", "30d")
 ) -> DataFrame:
     """Velocity, rolling amount statistics, z-score and recency."""
-    return user_windows(df, horizons=horizons, frequency=False, hot=hot)
+    return user_windows(df, horizons=horizons, frequency=False)
 
 
-def frequency_features(df: DataFrame, *, hot: HotKeys | None = None) -> DataFrame:
+def frequency_features(df: DataFrame) -> DataFrame:
     """Running counts per user and merchant category, and per user and hour."""
-    return user_windows(df, horizons=(), amounts=False, recency=False, hot=hot)
+    return user_windows(df, horizons=(), amounts=False, recency=False)
 
 
 def ml_feature_table(df: DataFrame) -> DataFrame:
@@ -262,8 +330,8 @@ def ml_feature_table(df: DataFrame) -> DataFrame:
     return features.fill_constants(renamed).select(*fixed.ML_TABLE_COLUMNS)
 
 
-def build_ml_features(df: DataFrame, *, hot: HotKeys | None = None, velocity: int = 10) -> DataFrame:
-    """Every behavioural feature, in one shuffle for ordinary users."""
+def build_ml_features(df: DataFrame, *, velocity: int = 10) -> DataFrame:
+    """Every behavioural feature."""
     rows = features.merchant_features(features.amount_features(features.temporal_features(df)))
-    windows = user_windows(rows, horizons=("24h", "7d", "30d"), hot=hot)
+    windows = user_windows(rows, horizons=("24h", "7d", "30d"))
     return ml_feature_table(features.anomaly_features(windows, velocity=velocity))

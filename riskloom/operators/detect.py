@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from riskloom.functions import expressions as X
 from riskloom.functions import fixed
 from riskloom.operators import behaviour
-from riskloom.operators.skew import HotKeys
 
 
 def risk_alerts(scored: DataFrame, *, threshold: float = 0.25) -> DataFrame:
@@ -34,12 +33,12 @@ def risk_alerts(scored: DataFrame, *, threshold: float = 0.25) -> DataFrame:
 
 
 def detect_card_testing(
-    tx: DataFrame, *, small: float = 20.0, horizon: str = "24h", at_least: int = 2, hot: HotKeys | None = None
+    tx: DataFrame, *, small: float = 20.0, horizon: str = "24h", at_least: int = 2
 ) -> DataFrame:
     """Small amounts in quick succession. Only the small ones are shuffled."""
     counted = behaviour.user_windows(
         tx.filter(F.col("amount") <= small).select("transaction_id", "user_id", "ts", "amount"),
-        horizons=(horizon,), amounts=False, recency=False, frequency=False, hot=hot,
+        horizons=(horizon,), amounts=False, recency=False, frequency=False,
     )
     burst = F.col(f"transactions_last_{horizon}") + 1
     return counted.withColumn("small_amounts", burst).filter(burst >= at_least).drop(

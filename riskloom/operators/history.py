@@ -9,7 +9,6 @@ from riskloom import schemas
 from riskloom.functions import expressions as X
 from riskloom.functions import fixed
 from riskloom.operators import behaviour, features
-from riskloom.operators.skew import HotKeys
 
 
 def fraud_rows() -> Column:
@@ -31,10 +30,10 @@ def user_stats(tx: DataFrame) -> DataFrame:
     )
 
 
-def user_stats_asof(tx: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+def user_stats_asof(tx: DataFrame) -> DataFrame:
     """Count, mean and deviation of the user's earlier transactions, on every row."""
     return behaviour.user_windows(
-        tx, horizons=(), amounts=False, recency=False, frequency=False, as_of=True, hot=hot
+        tx, horizons=(), amounts=False, recency=False, frequency=False, as_of=True
     )
 
 
@@ -117,9 +116,9 @@ def as_of_history(windows: DataFrame) -> DataFrame:
     )
 
 
-def score_full(tx: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+def score_full(tx: DataFrame) -> DataFrame:
     """Score with computed velocity and recency, and a history that ends before each row."""
-    windows = behaviour.user_windows(tx, frequency=False, as_of=True, hot=hot)
+    windows = behaviour.user_windows(tx, frequency=False, as_of=True)
     return typed_scored(risk_columns(as_of_history(windows)))
 
 

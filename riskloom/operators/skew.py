@@ -2,67 +2,22 @@
 
 ``groupBy`` aggregates are safe as they are: Spark combines them map-side. Window
 functions are not, because a window pulls a whole key into one task. The helpers
-here find the few heavy keys and compute running values in blocks, exactly.
+here compute running values in blocks, exactly.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A key above this many rows leaves the plain window path: sliding frames cost rows x frame.
-HOT_ROWS = 10_000
-# At most this many keys are treated as hot, so the hot set can always be broadcast.
-# A key that is not among the heaviest MAX_HOT holds less than 1/MAX_HOT of all rows,
-# which is no more than an ordinary shuffle partition.
-MAX_HOT = 10_000
 
-
-@dataclass(frozen=True)
-class HotKeys:
-    """Heavy keys, each with a reference value near the middle of its amounts."""
-
-    key: str
-    rows: Sequence[Row]
-    schema: str
-
-    def frame(self, df: DataFrame) -> DataFrame:
-        return df.sparkSession.createDataFrame(list(self.rows), self.schema)
-
-
-def find_hot_keys(
-    df: DataFrame,
-    key: str = "user_id",
-    center: str = "amount",
-    *,
-    min_rows: int = HOT_ROWS,
-    max_keys: int = MAX_HOT,
-) -> HotKeys | None:
-    """Probe for heavy keys: one two-column aggregate, at most ``max_keys`` rows returned.
-
-    The answer only decides how work is split; results do not depend on it.
-    """
-    counts = df.groupBy(key).agg(
-        F.count("*").alias("key_rows"), F.coalesce(F.avg(center), F.lit(0.0)).cast("double").alias("center")
-    )
-    heavy = (
-        counts.filter((F.col("key_rows") > min_rows) & F.col(key).isNotNull())
-        .orderBy(F.desc("key_rows"), key)
-        .limit(max_keys)
-    )
-    rows = heavy.collect()
-    return HotKeys(key, rows, heavy.schema.simpleString()) if rows else None
-
-
-def split_hot(df: DataFrame, hot: HotKeys) -> tuple[DataFrame, DataFrame]:
-    """(ordinary rows, rows of heavy keys with their center); the hot set is bounded by MAX_HOT."""
-    keys = hot.frame(df)
-    cold = df.join(F.broadcast(keys.select(hot.key)), hot.key, "left_anti")
-    heavy = df.join(F.broadcast(keys.select(hot.key, "center")), hot.key)
-    return cold, heavy
+def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join in which NULL equals NULL; the left side's key columns stay."""
+    renamed = right.withColumnsRenamed({c: f"__r_{c}" for c in on})
+    same = [F.col(c).eqNullSafe(F.col(f"__r_{c}")) for c in on]
+    return left.join(renamed, same, "left").drop(*[f"__r_{c}" for c in on])
 
 
 def running(
@@ -104,7 +59,7 @@ def running(
             return F.coalesce(carried + own_part, carried, own_part)
         return F.least(carried, own_part) if how == "min" else F.greatest(carried, own_part)
 
-    return own.join(carry, [*keys, "__block"]).select(
+    return join_null_safe(own, carry, [*keys, "__block"]).select(
         *df.columns, *[merged(name, how).alias(name) for name, (how, _) in values.items()]
     )
 

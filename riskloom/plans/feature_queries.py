@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import fixed
 from riskloom.operators import behaviour, detect, features, history, limits, summaries
-from riskloom.operators.skew import find_hot_keys
 from riskloom.plans import catalog as C
 from riskloom.plans import views
 from riskloom.plans.catalog import comparable, query, r
@@ -84,7 +83,7 @@ _FULL = f"""{TX}, {WINDOWS}, enriched AS (
     {r('fraud_probability', 5)} AS fraud_probability FROM risk""")
 def _rt_full(spark, sf):
     tx = views.transactions(spark, sf)
-    windows = behaviour.user_windows(tx, frequency=False, as_of=True, hot=find_hot_keys(tx))
+    windows = behaviour.user_windows(tx, frequency=False, as_of=True)
     risk = history.risk_columns(history.as_of_history(windows))
     return comparable(
         risk.select(
@@ -107,7 +106,7 @@ def _user_stats(spark, sf):
     {r('history_avg_amount', 5)} AS history_avg_amount, {r('history_std_amount', 5)} AS history_std_amount FROM win""")
 def _user_stats_asof(spark, sf):
     tx = views.transactions(spark, sf)
-    out = history.user_stats_asof(tx.select("transaction_id", "user_id", "ts", "amount"), find_hot_keys(tx))
+    out = history.user_stats_asof(tx.select("transaction_id", "user_id", "ts", "amount"))
     return comparable(
         out.select("transaction_id", "history_transactions", "history_avg_amount", "history_std_amount"), digits=5
     )
@@ -169,7 +168,6 @@ def _velocity(spark, sf):
     tx = views.transactions(spark, sf)
     out = behaviour.user_windows(
         tx.select("transaction_id", "user_id", "ts", "amount"), amounts=False, recency=False, frequency=False,
-        hot=find_hot_keys(tx),
     )
     return out.drop("user_id", "ts", "amount")
 
@@ -185,7 +183,7 @@ def _amount_stats(spark, sf):
 def _behaviour(spark, sf):
     tx = views.transactions(spark, sf)
     return behaviour.behaviour_features(
-        tx.select("transaction_id", "user_id", "ts", "amount"), hot=find_hot_keys(tx)
+        tx.select("transaction_id", "user_id", "ts", "amount")
     )
 
 
@@ -214,7 +212,7 @@ def _user_totals(spark, sf):
 def _frequency(spark, sf):
     tx = views.transactions(spark, sf)
     rows = tx.select("transaction_id", "user_id", "ts", "amount", "merchant_category")
-    return behaviour.frequency_features(rows, hot=find_hot_keys(tx)).select(
+    return behaviour.frequency_features(rows).select(
         "transaction_id", "user_merchant_frequency", "user_hour_frequency"
     )
 
@@ -223,7 +221,7 @@ def _frequency(spark, sf):
     merchant_unusual, anomaly_score, velocity_unusual_5, anomaly_score_5 FROM ml""")
 def _anomaly(spark, sf):
     tx = views.transactions(spark, sf)
-    rows = behaviour.user_windows(features.temporal_features(tx), horizons=("24h",), hot=find_hot_keys(tx))
+    rows = behaviour.user_windows(features.temporal_features(tx), horizons=("24h",))
     default = features.anomaly_features(rows)
     kept = default.withColumns({"vu": F.col("velocity_unusual"), "score": F.col("anomaly_score")})
     lower = features.anomaly_features(kept, velocity=5)
@@ -242,7 +240,7 @@ def _anomaly(spark, sf):
     anomaly_score, amount_unusual, velocity_unusual, is_fraud FROM ml""")
 def ml_table(spark, sf):
     tx = views.transactions(spark, sf)
-    return comparable(behaviour.build_ml_features(tx, hot=find_hot_keys(tx)))
+    return comparable(behaviour.build_ml_features(tx))
 
 
 @query("impute_constant", f"""WITH {TX}, {WINDOWS}, gaps AS (SELECT transaction_id, CASE WHEN transactions_last_24h > 0
@@ -441,7 +439,7 @@ def _alerts(spark, sf):
     FROM s WHERE small_amounts >= 2""")
 def _card_testing(spark, sf):
     tx = views.transactions(spark, sf)
-    return comparable(detect.detect_card_testing(tx, hot=find_hot_keys(tx.filter(F.col("amount") <= 20))))
+    return comparable(detect.detect_card_testing(tx))
 
 
 @query("detect_new_device", f"""WITH {TX}, o AS (SELECT *, row_number() OVER (PARTITION BY user_id, device_id

@@ -12,7 +12,6 @@ from riskloom.ml import evaluate, jobs, prep, tune
 from riskloom.ml.neighbours import nearest_neighbours
 from riskloom.ml.resample import smote
 from riskloom.operators import behaviour, history, limits, summaries
-from riskloom.operators.skew import find_hot_keys
 from riskloom.plans import catalog as C
 from riskloom.plans import views
 from riskloom.plans.catalog import comparable, query, r
@@ -79,7 +78,7 @@ def _matrix_query(spark, sf):
     CAST(is_fraud AS INTEGER) AS label FROM ml""")
 def _matrix_behaviour(spark, sf):
     tx = views.transactions(spark, sf)
-    feats = behaviour.build_ml_features(tx, hot=find_hot_keys(tx))
+    feats = behaviour.build_ml_features(tx)
     return comparable(prep.matrix(feats, prep.BEHAVIOUR_SPEC)).select(
         "transaction_id", "amount", "amount_log", "amount_zscore", "merchant_risk_score", "transactions_last_24h",
         "minutes_since_last", "is_night", "amount_unusual", "anomaly_score", "merchant_category_code", "label",
@@ -407,7 +406,7 @@ def _job(spark, sf):
 def _job_behaviour(spark, sf):
     path = scratch_dir(spark, "train")
     tx = views.transactions(spark, sf)
-    feats = materialise(behaviour.build_ml_features(tx, hot=find_hot_keys(tx)), "features")
+    feats = materialise(behaviour.build_ml_features(tx), "features")
     jobs.train_behaviour_job(
         feats, model_dir=f"{path}/models", registry=f"{path}/runs", grid={"maxIter": [3], "maxDepth": [2, 3]}, draws=1, folds=2
     )

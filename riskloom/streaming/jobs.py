@@ -18,7 +18,6 @@ from riskloom.functions import expressions as X
 from riskloom.functions import fixed
 from riskloom.operators import behaviour, features, history
 from riskloom.operators.joins import drop_processed, split_by_parent
-from riskloom.operators.skew import find_hot_keys
 from riskloom.sources import messages
 from riskloom.sources.sinks import first_by_key, write_batch
 from riskloom.sources.tables import read_or_empty
@@ -188,7 +187,7 @@ def behaviour_of_batch(batch: DataFrame, past: DataFrame) -> DataFrame:
     )
     rows = features.merchant_features(features.amount_features(features.temporal_features(both)))
     windows = behaviour.user_windows(
-        rows, horizons=("24h", "7d", "30d"), hot=find_hot_keys(both)
+        rows, horizons=("24h", "7d", "30d")
     ).filter("__new")
     before = older.groupBy("user_id", "merchant_category").agg(F.count("*").alias("older_visits"))
     hours = older.groupBy("user_id", F.hour("ts").alias("hour_of_day")).agg(F.count("*").alias("older_hours"))

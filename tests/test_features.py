@@ -1,4 +1,4 @@
-"""Golden sample, edge rows, and the path for heavy users."""
+"""Golden sample, edge rows, and rolling windows against plain ones."""
 
 import datetime as dt
 import io
@@ -6,6 +6,7 @@ from contextlib import redirect_stdout
 
 import pytest
 from conftest import values
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from riskloom import schemas
@@ -84,12 +85,6 @@ def test_edge_rows(spark):
     assert got["fast10"][3] is False
 
 
-def hot_of(tx):
-    hot = skew.find_hot_keys(tx, min_rows=0)
-    assert hot is not None
-    return hot
-
-
 def assert_same(one, two, columns):
     left, right = values(one, *columns), values(two, *columns)
     assert left.keys() == right.keys()
@@ -97,34 +92,70 @@ def assert_same(one, two, columns):
         assert row == pytest.approx(right[key], abs=1e-6), (key, columns)
 
 
+def plain_windows(tx, horizons=("24h", "7d", "30d"), amounts=True, recency=True, frequency=True, as_of=False):
+    """The same values by window functions over whole users."""
+    df = tx.withColumn("sec", F.unix_timestamp("ts"))
+    user = Window.partitionBy("user_id").orderBy("sec")
+    last = {h: user.rangeBetween(-fixed.HORIZONS[h], 0) for h in ("1h", "24h", "7d", "30d") if h in fixed.HORIZONS}
+    out = {f"transactions_last_{h}": F.count("*").over(last[h]) - 1 for h in horizons}
+    if amounts:
+        out |= {"user_avg_amount_24h": F.avg("amount").over(last["24h"]), "user_avg_amount_7d": F.avg("amount").over(last["7d"]),
+                "user_std_amount_7d": F.stddev("amount").over(last["7d"]), "user_max_amount_7d": F.max("amount").over(last["7d"])}
+    if as_of:
+        before = user.rangeBetween(Window.unboundedPreceding, -1)
+        out |= {"history_transactions": F.count("*").over(before), "history_avg_amount": F.avg("amount").over(before),
+                "history_std_amount": F.stddev("amount").over(before)}
+    if frequency:
+        out["user_merchant_frequency"] = F.count("*").over(Window.partitionBy("user_id", "merchant_category").orderBy("sec"))
+        out["user_hour_frequency"] = F.count("*").over(Window.partitionBy("user_id", F.hour("ts")).orderBy("sec"))
+    if recency:
+        previous = F.lag("sec").over(Window.partitionBy("user_id").orderBy("ts", "transaction_id"))
+        out["minutes_since_last"] = F.coalesce((F.col("sec") - previous) / 60.0, F.lit(fixed.FIRST_TRANSACTION_MINUTES))
+    return df.withColumns(out), list(out)
+
+
 @pytest.mark.parametrize("source", ["edges", "events"])
-def test_heavy_user_path_equals_window_path(spark, sf, source):
+def test_windows_equal_plain_ones(spark, sf, source):
     tx = edges(spark) if source == "edges" else views.transactions(spark, sf)
-    plain = behaviour.user_windows(tx, as_of=True)
-    added = [c for c in plain.columns if c not in tx.columns]
-    assert "history_std_amount" in added and "user_merchant_frequency" in added
-    assert_same(plain, behaviour.user_windows(tx, as_of=True, hot=hot_of(tx)), added)
+    plain, added = plain_windows(tx, as_of=True)
+    assert_same(plain, behaviour.user_windows(tx, as_of=True), added)
 
 
-def test_only_some_users_hot(spark, sf):
-    tx = views.transactions(spark, sf)
-    hot = skew.find_hot_keys(tx, min_rows=0, max_keys=3)
-    assert len(hot.rows) == 3
-    assert_same(behaviour.build_ml_features(tx), behaviour.build_ml_features(tx, hot=hot), ["amount_zscore", "anomaly_score", "minutes_since_last"])
+def test_one_user_with_most_rows(spark, sf):
+    tx = views.transactions(spark, sf).withColumn("user_id", (F.col("user_id").cast("long") % 2).cast("string"))
+    plain, added = plain_windows(tx, as_of=True)
+    assert_same(plain, behaviour.user_windows(tx, as_of=True), added)
 
 
-def test_heavy_user_path_feature_subsets(spark, sf):
+def test_windows_of_feature_subsets(spark, sf):
     tx = views.transactions(spark, sf)
-    hot = hot_of(tx)
     for part in (
         {"horizons": (), "amounts": False, "recency": False},
         {"horizons": ("1h",), "amounts": False, "recency": False, "frequency": False},
         {"horizons": (), "amounts": False, "frequency": False},
         {"horizons": (), "recency": False, "frequency": False},
+        {"horizons": (), "amounts": False, "recency": False, "frequency": False, "as_of": True},
     ):
-        plain = behaviour.user_windows(tx, **part)
-        added = [c for c in plain.columns if c not in tx.columns]
-        assert_same(plain, behaviour.user_windows(tx, hot=hot, **part), added)
+        plain, added = plain_windows(tx, **part)
+        assert_same(plain, behaviour.user_windows(tx, **part), added)
+
+
+def test_windows_keep_rows_with_nulls_and_odd_amounts(spark):
+    start = dt.datetime(2024, 3, 1)
+    rows = []
+    for i in range(60):
+        amount = [5.0 + i, None, float("nan"), 7.5, float("inf")][0 if i < 30 else i % 5]
+        rows.append((f"t{i:02d}", None if i % 4 == 1 else "u", amount, start + dt.timedelta(hours=7 * i), None if i % 5 == 3 else "grocery", False))
+    tx = spark.createDataFrame(rows, edges(spark).schema)
+    plain, added = plain_windows(tx, as_of=True)
+    left, right = values(plain, *added), values(behaviour.user_windows(tx, as_of=True), *added)
+    assert left.keys() == right.keys() and len(right) == 60
+    for key, row in left.items():
+        assert row == pytest.approx(right[key], abs=1e-6, nan_ok=True), (key, added)
+    untimed = tx.unionByName(tx.limit(1).withColumns({"transaction_id": F.lit("late"), "ts": F.lit(None).cast("timestamp")}))
+    got = values(behaviour.user_windows(untimed, as_of=True), "transactions_last_24h", "minutes_since_last", "history_transactions", "user_merchant_frequency")
+    assert len(got) == 61 and got["late"] == (0, 999999.0, 0, 1)
+    assert got["t00"][2:] == (1, 2) and got["t00"][1] == 999999.0
 
 
 def plan_of(df):
@@ -134,11 +165,12 @@ def plan_of(df):
     return text.getvalue()
 
 
-def test_one_shuffle_for_all_windows(spark, sf):
-    plan = plan_of(behaviour.build_ml_features(views.transactions(spark, sf)))
-    tree = plan.split("\n\n")[0]
-    assert tree.count("Exchange") == 1
-    assert "Python" not in plan
+def test_no_window_over_a_whole_user(spark, sf):
+    """Windows are over blocks of time, or over one carried row per block."""
+    plan = plan_of(behaviour.build_ml_features(views.transactions(spark, sf), velocity=10))
+    for line in plan.splitlines():
+        if "windowspecdefinition(user_id" in line:
+            assert "__block" in line or "__chunk" in line
 
 
 def test_filter_and_columns_reach_the_scan(spark, sf):
@@ -191,7 +223,7 @@ def test_user_stats_of_nothing(spark):
     assert history.user_stats(empty).count() == 0
     row = summaries.tx_statistics(empty).first()
     assert row.total_transactions == 0 and row.fraud_percentage is None
-    assert skew.find_hot_keys(empty) is None
+    assert behaviour.user_windows(empty.withColumn("merchant_category", F.lit("a")), as_of=True).count() == 0
 
 
 def test_running_blocks(spark):
