@@ -32,8 +32,10 @@ CACHE_SCHEMA = "digest binary, version string, n_tokens bigint"
 # Characters whose classes agree in every Unicode version in use: texts of these alone may be cut into pre-tokens here.
 _PLAIN = regex.compile(r"[^\t\n\r\x20-\x7e\xa0-ɏ]")
 # Pre-tokens whose counts a worker remembers; emptied when full. Results don't depend on it.
-REMEMBERED = 500_000
-PIECES_AT_ONCE = 8192
+REMEMBERED = 150_000
+PIECES_AT_ONCE = 4096
+# Texts are counted together until they hold so many characters.
+PORTION_CHARS = 4_000_000
 _LOADED: dict[str, Counter] = {}
 
 
@@ -109,19 +111,27 @@ def _encode_misses(side: str, path: str, pattern: str):
             table = store.read_side(side, block, ["digest"])
             return set(table.column("digest").to_pylist()) if table is not None else set()
 
+        def counted(digests: list[bytes], texts: list[str]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(digests, pa.binary()), pa.array(counter.counts(texts), pa.int64())], names=["digest", "n_tokens"]
+            )
+
         cache = store.SideCache(wanted)
         for block, batch in store.by_block(batches):
             misses = cache.get(block)
-            digests, texts = [], []
-            for text in store.texts_of(batch):
+            digests, texts, held = [], [], 0
+            for value in batch.column(batch.schema.get_field_index("text")):
+                text = value.as_py() or ""
                 digest = hashlib.sha256(text.encode("utf-8")).digest()
                 if digest in misses:
                     misses.discard(digest)  # later copies of the block don't count again
                     digests.append(digest)
                     texts.append(text)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(digests, pa.binary()), pa.array(counter.counts(texts), pa.int64())], names=["digest", "n_tokens"]
-            )
+                    held += len(text)
+                    if held > PORTION_CHARS:
+                        yield counted(digests, texts)
+                        digests, texts, held = [], [], 0
+            yield counted(digests, texts)
 
     return run
 
