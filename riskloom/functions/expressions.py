@@ -90,3 +90,9 @@ def hash32(key: Column, seed: int | str = 42) -> Column:
     """Reproducible 32-bit hash of a key that other engines can recompute."""
     digest = F.md5(F.concat(key.cast("string"), F.lit(f":{seed}")).cast("binary"))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+
+
+def finite(column: Column) -> Column:
+    """The value, or NULL when it is NaN or infinite."""
+    value = column.cast("double")
+    return F.when(~F.isnan(value) & (F.abs(value) < F.lit(float("inf"))), column)

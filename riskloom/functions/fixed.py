@@ -84,6 +84,9 @@ INVESTIGATION_COST = 50.0
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
 
 # Rolling horizons in seconds.
+# Amounts are decimal(12, 2) in the tables.
+AMOUNT_LIMIT = 1e10
+
 HORIZONS = {"1h": 3600, "24h": 86400, "7d": 604800, "30d": 2592000}
 
 # Columns of the training extract.

@@ -9,6 +9,7 @@ from riskloom import schemas
 from riskloom.functions import expressions as X
 from riskloom.functions import fixed
 from riskloom.operators import behaviour, features
+from riskloom.operators.skew import join_null_safe
 
 
 def fraud_rows() -> Column:
@@ -16,14 +17,18 @@ def fraud_rows() -> Column:
 
 
 def user_stats(tx: DataFrame) -> DataFrame:
-    """One row per user. A plain aggregate: map-side combined, so heavy users cost nothing extra."""
+    """One row per user. A plain aggregate: map-side combined, so heavy users cost nothing extra.
+
+    Amounts that are NaN or infinite count as transactions but not in the amount statistics.
+    """
+    amount = X.finite(F.col("amount"))
     return (
         tx.groupBy("user_id")
         .agg(
             F.count("transaction_id").alias("total_transactions"),
-            F.avg("amount").alias("user_avg_amount"),
-            F.stddev("amount").alias("user_std_amount"),
-            F.percentile_approx("amount", 0.5).alias("median_amount"),
+            F.avg(amount).alias("user_avg_amount"),
+            F.stddev(amount).alias("user_std_amount"),
+            F.percentile_approx(amount, 0.5).alias("median_amount"),
             fraud_rows().alias("fraud_count"),
         )
         .withColumn("fraud_rate_pct", X.ratio(F.col("fraud_count"), F.col("total_transactions")) * 100)
@@ -39,7 +44,7 @@ def user_stats_asof(tx: DataFrame) -> DataFrame:
 
 def with_user_totals(tx: DataFrame) -> DataFrame:
     """Whole-user aggregates on every row: aggregate, then join back (AQE splits a heavy user)."""
-    return tx.join(user_stats(tx), "user_id")
+    return join_null_safe(tx, user_stats(tx), ["user_id"])
 
 
 def enrich(tx: DataFrame, stats: DataFrame) -> DataFrame:
@@ -70,15 +75,10 @@ def risk_columns(enriched: DataFrame) -> DataFrame:
     )
 
 
-def _bounded(column: Column, field) -> Column:
-    """Cast to the table's type; a value too large for it is held at the type's limit."""
+def _typed(column: Column, field) -> Column:
+    """Cast to the table's type; a value that the type can't hold (too large, NaN, infinite) is NULL."""
     kind = field.dataType
-    if kind.typeName() != "decimal":
-        return column.cast(kind)
-    limit = float(10 ** (kind.precision - kind.scale)) - 10.0 ** -kind.scale
-    value = column.cast("double")
-    held = F.when(value > limit, limit).when(value < -limit, -limit).otherwise(value)
-    return held.cast(kind)
+    return column.try_cast(kind) if kind.typeName() == "decimal" else column.cast(kind)
 
 
 def typed_scored(risk: DataFrame) -> DataFrame:
@@ -93,7 +93,7 @@ def typed_scored(risk: DataFrame) -> DataFrame:
     }
     return risk.select(
         *[
-            _bounded(F.col(f.name) if f.name in given else source[f.name], f).alias(f.name)
+            _typed(F.col(f.name) if f.name in given else source[f.name], f).alias(f.name)
             for f in schemas.SCORED.fields
         ]
     )

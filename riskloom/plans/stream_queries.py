@@ -73,7 +73,7 @@ def _features(spark, sf):
             quarantine=quarantine, checkpoint=checkpoint, max_files=per_trigger,
         )
     )
-    return comparable(read_table(spark, target).drop("processed_at", "batch_id"))
+    return comparable(read_table(spark, target).drop("processed_at", "run", "batch_id"))
 
 
 @query("stream_foreach_batch", f"WITH {TX} SELECT COUNT(*) AS n_rows, COUNT(DISTINCT transaction_id) AS ids, TRUE AS in_batches FROM tx")
@@ -155,7 +155,7 @@ def _sessions(spark, sf):
     """Closed sessions: the watermark has passed their end."""
     target, checkpoint, _ = folders(spark, "sessions")
     jobs.drain(jobs.start(jobs.user_sessions(stream_of(spark, sf)), jobs.to_table(target), checkpoint))
-    return comparable(read_table(spark, target).drop("batch_id"))
+    return comparable(read_table(spark, target).drop("run", "batch_id"))
 
 
 @query("stream_behavioural", f"""WITH {TX}, {WINDOWS} SELECT transaction_id, {r('amount_zscore')} AS amount_zscore,
@@ -194,6 +194,57 @@ def _quarantine(spark, sf):
     return good.unionByName(bad)
 
 
+@query("stream_exactly_once", f"""WITH {TX} SELECT 'scored' AS side, transaction_id, 1 AS n FROM tx
+    UNION ALL SELECT 'quarantine', transaction_id, 2 FROM tx WHERE payment_method = 'paypal'""")
+def _exactly_once(spark, sf):
+    """Every message twice, the second time in a later batch; broken copies of some between them; then all of it
+    again through a second checkpoint on the same target. Each id is stored once, each broken message each time."""
+    rows = messages_of(views.transactions(spark, sf))
+    source, _ = replay(spark, rows)
+    broken = rows.filter("payment_method = 'paypal'").withColumn("value", F.concat(F.col("transaction_id"), F.lit(":"), F.substring("value", 1, 40)))
+    broken.select("value").write.mode("append").text(source)
+    source, per_trigger = replay(spark, rows, path=source)
+    target, checkpoint, quarantine = folders(spark, "once")
+    nothing = views.transactions(spark, sf).limit(0)
+    for number in (1, 2):
+        jobs.drain(
+            jobs.run_scoring_stream(
+                spark, source, stats=history.user_stats(nothing), processed=nothing, target=target,
+                quarantine=quarantine, checkpoint=f"{checkpoint}-{number}", max_files=per_trigger,
+            )
+        )
+    bad = read_table(spark, f"{quarantine}/messages").select(F.lit("quarantine").alias("side"), F.split("value", ":")[0].alias("transaction_id"))
+    both = read_table(spark, target).select(F.lit("scored").alias("side"), "transaction_id").unionByName(bad)
+    return both.groupBy("side", "transaction_id").agg(F.count("*").cast("int").alias("n"))
+
+
+@query("stream_bad_amounts", f"""WITH {TX}, odd AS (SELECT *, CAST(transaction_id AS BIGINT) % 97 < 3 AS bad FROM tx),
+    good AS (SELECT * FROM odd WHERE NOT bad)
+    SELECT o.user_id, COUNT(*) AS n, COUNT(*) FILTER (WHERE NOT bad) AS stored, COUNT(*) FILTER (WHERE bad) AS rejected,
+    {r('MAX(g.m)', 4)} AS user_avg_amount FROM odd o LEFT JOIN (SELECT user_id, AVG(amount) AS m FROM good GROUP BY user_id) g USING (user_id)
+    GROUP BY o.user_id""")
+def _bad_amounts(spark, sf):
+    """NaN, infinite and too large amounts are rejected; they touch no other row of their user."""
+    rows = messages_of(views.transactions(spark, sf))
+    odd = F.element_at(F.array(F.lit('"amount":"NaN"'), F.lit('"amount":"Infinity"'), F.lit('"amount":5e12')), (F.col("transaction_id").cast("long") % 97 + 1).cast("int"))
+    value = F.when(F.col("transaction_id").cast("long") % 97 < 3, F.regexp_replace("value", F.lit(r'"amount":[0-9.E]+'), odd)).otherwise(F.col("value"))
+    source, per_trigger = replay(spark, rows.withColumn("value", value))
+    target, checkpoint, quarantine = folders(spark, "amounts")
+    good, _ = messages.decode_json(messages.read_messages(spark, source, streaming=False))
+    stats = history.user_stats(messages.as_transactions(good))
+    jobs.drain(
+        jobs.run_scoring_stream(
+            spark, source, stats=stats, processed=views.transactions(spark, sf).limit(0), target=target,
+            quarantine=quarantine, checkpoint=checkpoint, max_files=per_trigger,
+        )
+    )
+    stored = read_table(spark, target).select("user_id", F.lit(1).alias("stored"), F.lit(0).alias("rejected"))
+    user = F.regexp_extract("value", '"user_id":"([^"]*)"', 1)
+    bad = read_table(spark, f"{quarantine}/messages").select(user.alias("user_id"), F.lit(0).alias("stored"), F.lit(1).alias("rejected"))
+    counts = stored.unionByName(bad).groupBy("user_id").agg(F.count("*").alias("n"), F.sum("stored").alias("stored"), F.sum("rejected").alias("rejected"))
+    return comparable(counts.join(stats.select("user_id", "user_avg_amount"), "user_id", "left"), digits=4)
+
+
 @query("stream_metrics")
 def _metrics(spark, sf):
     target, checkpoint, _ = folders(spark, "metrics")

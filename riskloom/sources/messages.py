@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from riskloom import schemas
 from riskloom.config import StreamConfig
+from riskloom.functions import fixed
 
 ENVELOPE = ("kafka_key", "kafka_timestamp", "topic", "partition", "offset")
 
@@ -63,6 +64,10 @@ def _accepted(text: Column, schema: T.StructType) -> Column:
         condition = data.isNotNull()
         for name in schemas.required(schema):
             condition = condition & data[name].isNotNull()
+        if "amount" in schema.names:
+            # NaN, infinity and what the tables can't hold are no amounts.
+            amount = data["amount"].cast("double")
+            condition = condition & (data["amount"].isNull() | (~F.isnan(amount) & (F.abs(amount) < fixed.AMOUNT_LIMIT)))
         return condition
 
     return F.filter(F.array(F.from_json(text, schema)), filled)

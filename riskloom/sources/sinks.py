@@ -26,9 +26,12 @@ def append_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, st
     df.write.format("jdbc").mode("append").options(url=url, dbtable=table, **(properties or {})).save()
 
 
-def write_batch(df: DataFrame, batch_id: int, path: str) -> None:
-    """Micro-batch sink that can be replayed: a batch owns its partition and overwrites only that."""
-    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def write_batch(df: DataFrame, batch_id: int, path: str, run: str | None = None) -> None:
+    """Micro-batch sink that can be replayed: a batch owns its partition and overwrites only that.
+
+    Batch numbers start again with a new checkpoint, so a stream also names its run.
+    """
+    df.write.mode("overwrite").parquet(f"{path}/run={run}/batch_id={batch_id}" if run else f"{path}/batch_id={batch_id}")
 
 
 def write_files(df: DataFrame, path: str, fmt: str | None = None) -> str:

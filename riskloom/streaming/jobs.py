@@ -1,8 +1,8 @@
 """Structured Streaming jobs.
 
-Every sink writes one partition per micro-batch and overwrites only that, so a batch that
-is replayed after a failure leaves the same rows. Errors propagate; bad rows go to
-quarantine. ``trigger=None`` drains what is available and stops.
+Every sink writes one partition per run and micro-batch and overwrites only that, so a batch that
+is replayed after a failure leaves the same rows, and a new checkpoint on an old target leaves the
+rows of earlier runs. Errors propagate; bad rows go to quarantine. ``trigger=None`` drains what is available and stops.
 """
 
 from __future__ import annotations
@@ -57,9 +57,14 @@ def per_batch(work: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, in
     return write
 
 
+def run_of(batch: DataFrame) -> str:
+    """The query's id, which its checkpoint keeps over restarts."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def to_table(path: str) -> Callable[[DataFrame, int], None]:
     """Sink function: the batch as one partition of a table."""
-    return per_batch(lambda batch, batch_id: write_batch(batch, batch_id, path))
+    return per_batch(lambda batch, batch_id: write_batch(batch, batch_id, path, run_of(batch)))
 
 
 def transaction_stream(spark: SparkSession, source, *, max_files: int | None = None) -> DataFrame:
@@ -73,17 +78,35 @@ def deduplicated(stream: DataFrame, *, watermark: str = "1 minute") -> DataFrame
     return stream.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["transaction_id"])
 
 
-def write_scored_batch(parent: DataFrame | None, target: str, quarantine: str) -> Callable[[DataFrame, int], None]:
-    """Sink function for scored rows: one row per id, orphans to quarantine."""
+def stored_ids(spark: SparkSession, target: str, run: str, batch_id: int, key: str = "transaction_id") -> DataFrame:
+    """Ids in a target, without those of this batch and later ones of its run: a replay sees what it saw first."""
+    schema = T.StructType([T.StructField(key, T.StringType()), T.StructField("run", T.StringType()), T.StructField("batch_id", T.IntegerType())])
+    own = (F.col("run") == run) & (F.col("batch_id") >= batch_id)
+    return read_or_empty(spark, target, schema).filter(~own).select(key)
+
+
+def score_batch(
+    stats: DataFrame, processed: DataFrame, parent: DataFrame | None, target: str, quarantine: str
+) -> Callable[[DataFrame, int], None]:
+    """Sink function over raw messages: each good id is scored and stored once, the rest goes to quarantine.
+
+    Undecodable messages go to ``quarantine/messages``, rows without parent to ``quarantine/orphans``.
+    """
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        unique = first_by_key(batch, "transaction_id", "timestamp", "amount")
-        if parent is None:
-            write_batch(unique, batch_id, target)
-            return
-        accepted, orphans = split_by_parent(unique, parent)
-        write_batch(accepted, batch_id, target)
-        write_batch(orphans, batch_id, quarantine)
+        run = run_of(batch)
+        good, bad = messages.decode_json(batch)
+        write_batch(bad, batch_id, f"{quarantine}/messages", run)
+        unique = first_by_key(messages.as_transactions(good), "transaction_id", "ts", "amount")
+        fresh = drop_processed(drop_processed(unique, processed), stored_ids(batch.sparkSession, target, run, batch_id))
+        scored = history.score(fresh, stats).persist()
+        try:
+            accepted, orphans = (scored, None) if parent is None else split_by_parent(scored, parent)
+            write_batch(accepted, batch_id, target, run)
+            if orphans is not None:
+                write_batch(orphans, batch_id, f"{quarantine}/orphans", run)
+        finally:
+            scored.unpersist()
 
     return per_batch(work)
 
@@ -101,10 +124,9 @@ def run_scoring_stream(
     trigger: str | None = None,
     max_files: int | None = None,
 ) -> StreamingQuery:
-    """Messages -> not yet processed -> enriched and scored -> typed table."""
-    fresh = drop_processed(transaction_stream(spark, source, max_files=max_files), processed)
-    scored = history.score(fresh, stats)
-    return start(scored, write_scored_batch(parent, target, quarantine), checkpoint, trigger=trigger)
+    """Messages -> not yet processed, here or in an earlier batch -> enriched and scored -> typed table."""
+    raw = messages.read_messages(spark, source, streaming=True, max_files=max_files)
+    return start(raw, score_batch(stats, processed, parent, target, quarantine), checkpoint, trigger=trigger)
 
 
 def run_quarantine_stream(
@@ -116,8 +138,8 @@ def run_quarantine_stream(
 
     def work(batch: DataFrame, batch_id: int) -> None:
         good, bad = messages.decode_json(batch)
-        write_batch(messages.as_transactions(good), batch_id, target)
-        write_batch(bad, batch_id, quarantine)
+        write_batch(messages.as_transactions(good), batch_id, target, run_of(batch))
+        write_batch(bad, batch_id, quarantine, run_of(batch))
 
     return start(raw, per_batch(work), checkpoint, trigger=trigger)
 
@@ -135,7 +157,7 @@ def run_profile_stream(
 
 def latest_by_key(table: DataFrame, *keys: str) -> DataFrame:
     """Current rows of a table written in update mode: per key, the row of the newest batch."""
-    rest = [c for c in table.columns if c not in (*keys, "batch_id")]
+    rest = [c for c in table.columns if c not in (*keys, "run", "batch_id")]
     newest = F.max_by(F.struct(*rest), F.col("batch_id"))
     return table.groupBy(*keys).agg(newest.alias("r")).select(*keys, "r.*")
 
@@ -215,13 +237,15 @@ def run_behaviour_stream(
     stream: DataFrame, *, store: str, target: str, checkpoint: str, trigger: str | None = None
 ) -> StreamingQuery:
     """Behavioural features per micro-batch. ``store`` keeps the raw rows of earlier batches."""
-    schema = T.StructType([*stream.schema.fields, T.StructField("batch_id", T.IntegerType())])
+    added = [T.StructField("run", T.StringType()), T.StructField("batch_id", T.IntegerType())]
+    schema = T.StructType([*stream.schema.fields, *added])
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        # Only earlier batches count, so a replayed batch sees what it saw the first time.
-        past = read_or_empty(batch.sparkSession, store, schema).filter(F.col("batch_id") < batch_id)
-        write_batch(behaviour_of_batch(batch, past), batch_id, target)
-        write_batch(batch, batch_id, store)
+        run = run_of(batch)
+        # Own batches from this one on don't count, so a replayed batch sees what it saw the first time.
+        past = read_or_empty(batch.sparkSession, store, schema).filter((F.col("run") != run) | (F.col("batch_id") < batch_id))
+        write_batch(behaviour_of_batch(batch, past), batch_id, target, run)
+        write_batch(batch, batch_id, store, run)
 
     return start(stream, per_batch(work), checkpoint, trigger=trigger)
 

@@ -70,7 +70,7 @@ def test_orphans_and_duplicates_in_scoring(spark):
         )
     )
     assert [r.transaction_id for r in spark.read.parquet(target).collect()] == ["a"]
-    assert [r.transaction_id for r in spark.read.parquet(bad).collect()] == ["orphan"]
+    assert [r.transaction_id for r in spark.read.parquet(f"{bad}/orphans").collect()] == ["orphan"]
 
 
 def test_malformed_messages(spark):
