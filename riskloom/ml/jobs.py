@@ -59,16 +59,28 @@ def load_model(spark, path: str) -> tuple[PipelineModel, dict]:
 def register_run(spark, registry: str, row: Mapping) -> DataFrame:
     """Append one run; JSON payloads are kept as text."""
     values = {name: row.get(name) for name in schemas.TRAINING_RUN.names}
+    values["created_at"] = values["created_at"] or datetime.now(timezone.utc)
     loose = ", ".join(
         f"{f.name} {'double' if f.dataType.typeName() == 'decimal' else f.dataType.simpleString()}"
         for f in schemas.TRAINING_RUN.fields
     )
-    run = spark.createDataFrame([tuple(values.values())], loose)
-    typed = run.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.TRAINING_RUN.fields])
+    return append_runs(spark.createDataFrame([tuple(values.values())], loose), registry)
+
+
+def append_runs(runs: DataFrame, registry: str) -> DataFrame:
+    """Append runs in the registry's types; columns they lack are NULL."""
+    given = set(runs.columns)
+    typed = runs.select(
+        *[(F.col(f.name) if f.name in given else F.lit(None)).cast(f.dataType).alias(f.name) for f in schemas.TRAINING_RUN.fields]
+    )
     typed.write.mode("append").parquet(registry)
     return typed
 
 
+def read_runs(spark, registry: str) -> DataFrame:
+    return spark.read.schema(schemas.TRAINING_RUN).parquet(registry)
+
+
 def score_batch(model: PipelineModel, rows: DataFrame, *keep: str) -> DataFrame:
     """Prediction and probability for every row: a narrow, distributed transform."""
     return tune.as_predictions(model.transform(rows), *keep)

@@ -7,9 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom import schemas
 from riskloom.functions import expressions as X
 from riskloom.functions import fixed
 from riskloom.operators import behaviour
+from riskloom.sources.sinks import append_table
 
 
 def risk_alerts(scored: DataFrame, *, threshold: float = 0.25) -> DataFrame:
@@ -32,6 +34,12 @@ def risk_alerts(scored: DataFrame, *, threshold: float = 0.25) -> DataFrame:
     )
 
 
+def append_alerts(alerts: DataFrame, path: str) -> None:
+    """Append alerts to the alert table in its types, stamped with the time."""
+    stamped = alerts.withColumn("created_at", F.current_timestamp())
+    append_table(stamped.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.FRAUD_ALERT.fields]), path)
+
+
 def detect_card_testing(
     tx: DataFrame, *, small: float = 20.0, horizon: str = "24h", at_least: int = 2
 ) -> DataFrame:

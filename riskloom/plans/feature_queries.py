@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from riskloom import schemas
 from riskloom.functions import fixed
+from riskloom.ml import jobs
 from riskloom.operators import behaviour, detect, features, history, limits, summaries
 from riskloom.plans import catalog as C
 from riskloom.plans import views
 from riskloom.plans.catalog import comparable, query, r
+from riskloom.session import scratch_dir
 
 TX, RISK, WINDOWS = C.TX, C.RISK, C.WINDOWS
 
@@ -417,21 +420,28 @@ def _guard(spark, sf):
     return fraud.unionByName(limits.guard_min_rows(tx, 1000).withColumn("data", F.lit("all")))
 
 
+def _registered(spark, sf):
+    """The runs, written to a registry and read back."""
+    path, runs = scratch_dir(spark, "registry"), views.training_runs(spark, sf)
+    jobs.append_runs(runs.withColumn("algorithm", F.lit("rule")), path)
+    return jobs.read_runs(spark, path).select(*runs.columns)
+
+
 @query("latest_run", f"WITH {C.RUNS} SELECT {C.RUN_COLUMNS} FROM runs ORDER BY training_start DESC, run_id DESC LIMIT 1")
 def _latest_run(spark, sf):
-    return comparable(limits.latest_run(views.training_runs(spark, sf)))
+    return comparable(limits.latest_run(_registered(spark, sf)))
 
 
 @query("recent_models", f"""WITH {C.RUNS} SELECT {C.RUN_COLUMNS} FROM runs WHERE status = 'completed'
     ORDER BY training_start DESC, run_id DESC LIMIT 3""")
 def _recent_models(spark, sf):
-    return comparable(limits.recent_models(views.training_runs(spark, sf)))
+    return comparable(limits.recent_models(_registered(spark, sf)))
 
 
 @query("beyond_latest_n", f"""WITH {C.RUNS} SELECT {C.RUN_COLUMNS} FROM (SELECT *, row_number() OVER (
     ORDER BY created_at DESC, run_id DESC) AS rn FROM runs WHERE status = 'completed') WHERE rn > 5""")
 def _beyond(spark, sf):
-    return comparable(limits.beyond_latest_n(views.training_runs(spark, sf)))
+    return comparable(limits.beyond_latest_n(_registered(spark, sf)))
 
 
 _ALERT_REASON = """concat_ws(',', CASE WHEN high_risk_merchant THEN 'high_risk_merchant' END,
@@ -450,6 +460,18 @@ def _alerts(spark, sf):
     return comparable(detect.risk_alerts(risk))
 
 
+@query("alert_table", f"""WITH {RISK} SELECT transaction_id, user_id, 'score_threshold' AS alert_type,
+    {r('CAST(fraud_probability AS DECIMAL(6, 4))')} AS risk_score, {_ALERT_REASON} AS alert_reason, 'v1.0' AS model_version, TRUE AS stamped
+    FROM risk WHERE fraud_probability >= 0.25""")
+def _alert_table(spark, sf):
+    """Alerts appended to the typed alert table and read back."""
+    tx = views.transactions(spark, sf)
+    path = scratch_dir(spark, "alerts")
+    detect.append_alerts(detect.risk_alerts(history.risk_columns(history.enrich(tx, history.user_stats(tx)))), path)
+    table = spark.read.schema(schemas.FRAUD_ALERT).parquet(path)
+    return comparable(table.withColumn("stamped", F.col("created_at").isNotNull()).drop("created_at", "confidence"))
+
+
 @query("detect_card_testing", f"""WITH {TX}, s AS (SELECT transaction_id, user_id, ts, amount, COUNT(*) OVER (
     PARTITION BY user_id ORDER BY {C._SEC} RANGE BETWEEN 86400 PRECEDING AND CURRENT ROW) AS small_amounts
     FROM tx WHERE amount <= 20) SELECT transaction_id, user_id, ts, {r('amount')} AS amount, small_amounts

@@ -12,6 +12,7 @@ from riskloom.plans.feature_queries import CONSTANT_VELOCITY, SCORED_SQL
 from riskloom.plans.table_queries import DECODED, DECODED_SQL, messages_of
 from riskloom.session import scratch_dir
 from riskloom.sources import messages
+from riskloom.sources.sinks import write_batch
 from riskloom.sources.tables import read_table
 from riskloom.streaming import jobs
 
@@ -245,8 +246,22 @@ def _bad_amounts(spark, sf):
     return comparable(counts.join(stats.select("user_id", "user_avg_amount"), "user_id", "left"), digits=4)
 
 
-@query("stream_metrics")
+@query("stream_metrics", f"""WITH {TX} SELECT TRUE AS in_batches, COUNT(*) AS processed, COUNT(*) FILTER (WHERE payment_method = 'paypal') AS errors,
+    {r("100.0 * COUNT(*) FILTER (WHERE payment_method <> 'paypal') / COUNT(*)")} AS success_pct, TRUE AS rated FROM tx""")
 def _metrics(spark, sf):
-    target, checkpoint, _ = folders(spark, "metrics")
-    done = jobs.drain(jobs.start(stream_of(spark, sf), jobs.to_table(target), checkpoint))
-    return jobs.stream_metrics(done)
+    """Counters of a stream with broken messages, from the table its batches write."""
+    rows = messages_of(views.transactions(spark, sf))
+    broken = F.when(F.col("payment_method") == "paypal", F.substring("value", 1, 40)).otherwise(F.col("value"))
+    source, per_trigger = replay(spark, rows.withColumn("value", broken))
+    target, checkpoint, metrics = folders(spark, "metrics")
+    raw = messages.read_messages(spark, source, streaming=True, max_files=per_trigger)
+
+    def store(batch, batch_id):
+        good, _ = messages.decode_json(batch)
+        write_batch(good, batch_id, target, jobs.run_of(batch))
+
+    jobs.drain(jobs.start(raw, jobs.counted(store, metrics), checkpoint))
+    totals = jobs.stream_totals(read_table(spark, metrics))
+    return comparable(totals.select(
+        (F.col("batches") >= BATCHES).alias("in_batches"), "processed", "errors", "success_pct", (F.col("rows_per_second") > 0).alias("rated")
+    ))

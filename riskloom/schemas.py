@@ -88,6 +88,7 @@ TRAINING_RUN = _struct(
     ("hyperparameters", _S, True), ("feature_importance", _S, True),
     ("training_start", _TS, True), ("training_end", _TS, True),
     ("training_seconds", _D, True), ("model_path", _S, True), ("status", _S, True),
+    ("created_at", _TS, True),
 )
 
 FRAUD_ALERT = _struct(

@@ -73,6 +73,11 @@ def _accepted(text: Column, schema: T.StructType) -> Column:
     return F.filter(F.array(F.from_json(text, schema)), filled)
 
 
+def is_decodable(value: Column, schema: T.StructType = schemas.TRANSACTION) -> Column:
+    """Whether a raw message decodes to a row with every required field."""
+    return F.size(_accepted(value.cast("string"), schema)) > 0
+
+
 def decode_json(
     df: DataFrame, schema: T.StructType = schemas.TRANSACTION, *, keep_envelope: bool = False
 ) -> tuple[DataFrame, DataFrame]:

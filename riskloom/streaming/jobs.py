@@ -7,6 +7,7 @@ rows of earlier runs. Errors propagate; bad rows go to quarantine. ``trigger=Non
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -250,19 +251,27 @@ def run_behaviour_stream(
     return start(stream, per_batch(work), checkpoint, trigger=trigger)
 
 
-def stream_metrics(query: StreamingQuery) -> DataFrame:
-    """Progress per micro-batch: rows in, seconds, rate; one row per recent progress report."""
-    rows = []
-    for p in query.recentProgress:
-        seconds = float(p["durationMs"].get("triggerExecution", 0)) / 1000
-        rows.append((int(p["batchId"]), int(p["numInputRows"]), seconds))
-    failed = query.exception() is not None
-    frame = SparkSession.active().createDataFrame(rows, "batch_id bigint, input_rows bigint, seconds double")
-    return frame.groupBy("batch_id").agg(
-        F.sum("input_rows").alias("input_rows"), F.sum("seconds").alias("seconds")
-    ).withColumns(
-        {
-            "rows_per_second": X.ratio(F.col("input_rows"), F.col("seconds")),
-            "success": F.lit(not failed),
-        }
+def counted(work: Callable[[DataFrame, int], None], metrics: str) -> Callable[[DataFrame, int], None]:
+    """Sink function over raw messages that also writes each batch's rows, errors and seconds to a table."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        began = time.monotonic()
+        work(batch, batch_id)
+        seconds = time.monotonic() - began
+        counts = batch.agg(
+            F.count("*").alias("input_rows"), F.count_if(~messages.is_decodable(F.col("value"))).alias("errors"), F.lit(seconds).alias("seconds")
+        )
+        write_batch(counts, batch_id, metrics, run_of(batch))
+
+    return per_batch(write)
+
+
+def stream_totals(metrics: DataFrame) -> DataFrame:
+    """Totals over every batch ever written: rows, errors, success in percent, average rate."""
+    totals = metrics.agg(
+        F.count("*").alias("batches"), F.sum("input_rows").alias("processed"), F.sum("errors").alias("errors"), F.sum("seconds").alias("seconds")
     )
+    return totals.withColumns({
+        "success_pct": X.ratio(F.col("processed") - F.col("errors"), F.col("processed")) * 100,
+        "rows_per_second": X.ratio(F.col("processed"), F.col("seconds")),
+    })
