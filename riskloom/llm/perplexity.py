@@ -30,7 +30,7 @@ from riskloom.session import materialise
 
 ORDER = 4
 QUANTILE = 0.995
-MARGIN = 0.12
+MARGIN = 0.25
 PRIOR_CHARS = 100
 _BEFORE = "\x02"  # stands before a text's first character
 _GRID = 1000  # thresholds are found on a grid of log-perplexities
