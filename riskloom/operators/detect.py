@@ -11,6 +11,7 @@ from riskloom import schemas
 from riskloom.functions import expressions as X
 from riskloom.functions import fixed
 from riskloom.operators import behaviour
+from riskloom.operators.skew import join_null_safe
 from riskloom.sources.sinks import append_table
 
 
@@ -74,9 +75,9 @@ def detect_geo_outlier(tx: DataFrame, *, km: float = 500.0) -> DataFrame:
     distance = X.haversine_km(
         F.col("location_lat"), F.col("location_lng"), F.col("home_lat"), F.col("home_lng")
     )
+    places = tx.select("transaction_id", "user_id", "location_lat", "location_lng")
     return (
-        tx.select("transaction_id", "user_id", "location_lat", "location_lng")
-        .join(home, "user_id")
+        join_null_safe(places, home, ["user_id"])
         .withColumn("distance_km", distance)
         .filter(F.col("distance_km") > km)
         .select("transaction_id", "user_id", "distance_km")

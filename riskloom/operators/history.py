@@ -174,8 +174,19 @@ def profile_preferences(tx: DataFrame, *, top: int = 3) -> DataFrame:
         .drop("n_rows", "first_ts", "last_ts")
     )
     hours = tx.withColumn("hour_of_day", F.hour("ts"))
-    return (
-        base.join(_ranked(tx, "merchant_category", top, "preferred_merchants"), "user_id")
-        .join(_ranked(tx, "payment_method", top, "preferred_payment_methods"), "user_id")
-        .join(_ranked(hours, "hour_of_day", top, "typical_transaction_hours"), "user_id")
+    for rows, value, out in (
+        (tx, "merchant_category", "preferred_merchants"), (tx, "payment_method", "preferred_payment_methods"),
+        (hours, "hour_of_day", "typical_transaction_hours"),
+    ):
+        base = join_null_safe(base, _ranked(rows, value, top, out), ["user_id"])
+    return base
+
+
+def profile_table(tx: DataFrame) -> DataFrame:
+    """The typed profile table: roll-up, preferences, and the mean heuristic probability as risk score."""
+    risk = risk_columns(enrich(tx, user_stats(tx))).groupBy("user_id").agg(F.avg("fraud_probability").alias("risk_score"))
+    whole = join_null_safe(join_null_safe(user_profiles(tx), profile_preferences(tx), ["user_id"]), risk, ["user_id"])
+    given = set(whole.columns)
+    return whole.select(
+        *[_typed(F.col(f.name) if f.name in given else F.lit(None), f).alias(f.name) for f in schemas.USER_PROFILE.fields]
     )

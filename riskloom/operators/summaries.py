@@ -15,7 +15,7 @@ def _fraud() -> Column:
 
 
 def latest_instant(df: DataFrame, ts: str = "ts") -> Column:
-    """The newest timestamp, as a scalar subquery (a footer-only aggregate on Parquet-like sources)."""
+    """The newest timestamp, as a scalar subquery."""
     return df.agg(F.max(ts).alias("m")).scalar()
 
 

@@ -165,6 +165,27 @@ def _preferences(spark, sf):
     )
 
 
+@query("profile_table", f"""WITH {RISK}, hours AS (SELECT *, hour(ts) AS hour_of_day FROM tx),
+  {_ranked_sql('merchant_category', 'preferred_merchants')},
+  {_ranked_sql('hour_of_day', 'typical_transaction_hours')},
+  base AS (SELECT user_id, COUNT(*) AS total_transactions, {r('SUM(amount)', 2)} AS total_amount, MIN(ts) AS first_transaction,
+    MAX(ts) AS last_transaction, COUNT(*) FILTER (WHERE is_fraud) AS fraud_count,
+    {r('CAST(COUNT(*) FILTER (WHERE is_fraud) / CAST(COUNT(*) AS DOUBLE) AS DECIMAL(6, 4))')} AS fraud_rate FROM tx GROUP BY user_id),
+  score AS (SELECT user_id, {r('CAST(AVG(fraud_probability) AS DECIMAL(6, 4))')} AS risk_score FROM risk GROUP BY user_id)
+  SELECT * FROM base JOIN score USING (user_id) JOIN preferred_merchants USING (user_id) JOIN typical_transaction_hours USING (user_id)""")
+def _profile_table(spark, sf):
+    """The typed profile table, written and read back."""
+    path = scratch_dir(spark, "profiles")
+    history.profile_table(views.transactions(spark, sf)).write.parquet(path)
+    table = spark.read.schema(schemas.USER_PROFILE).parquet(path)
+    arrays = ("preferred_merchants", "typical_transaction_hours")
+    return comparable(
+        table.withColumns({c: F.concat_ws(",", F.col(c).cast("array<string>")) for c in arrays}).select(
+            "user_id", "total_transactions", "total_amount", "first_transaction", "last_transaction", "fraud_count", "fraud_rate", "risk_score", *arrays
+        )
+    )
+
+
 @query("win_velocity", f"""WITH {TX}, {WINDOWS} SELECT transaction_id, transactions_last_1h, transactions_last_24h,
     transactions_last_7d, transactions_last_30d FROM win""")
 def _velocity(spark, sf):

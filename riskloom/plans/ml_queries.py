@@ -146,6 +146,33 @@ def _knn(spark, sf):
     return comparable(nearest_neighbours(_points(spark, sf).filter("label = 1").select("id", "x"), 5))
 
 
+_SCALE_ALL_SQL = ", ".join(
+    f"({c} - AVG({c}) OVER ()) / CASE WHEN STDDEV_POP({c}) OVER () > 1e-9 THEN STDDEV_POP({c}) OVER () ELSE 1 END AS {c}" for c in _NAMES
+)
+_GAP_SQL = " + ".join(f"POW(a.{c} - b.{c}, 2)" for c in _NAMES)
+
+
+def _scaled_matrix(spark, sf):
+    return prep.scale(training_matrix(spark, sf), _NAMES)
+
+
+@query("scale_matrix", f"""WITH {_MATRIX}, sc AS (SELECT transaction_id, label, {_SCALE_ALL_SQL} FROM mat)
+    SELECT transaction_id, label, {', '.join(f'{r(c, 5)} AS {c}' for c in _NAMES)} FROM sc""")
+def _scale_matrix(spark, sf):
+    """Scaling of every column of the training matrix."""
+    return comparable(_scaled_matrix(spark, sf), digits=5)
+
+
+@query("knn_matrix", f"""WITH {_MATRIX}, sc AS (SELECT transaction_id AS id, label, {_SCALE_ALL_SQL} FROM mat),
+    m AS (SELECT * FROM sc WHERE label = 1), near AS (SELECT a.id, b.id AS nid, SQRT({_GAP_SQL}) AS d,
+      row_number() OVER (PARTITION BY a.id ORDER BY SQRT({_GAP_SQL}), b.id) AS rnk FROM m a JOIN m b ON a.id <> b.id)
+    SELECT id, CAST(rnk AS INTEGER) AS "rank", {r('d', 5)} AS d FROM near WHERE rnk <= 5""")
+def _knn_matrix(spark, sf):
+    """Neighbours of fraud rows on every column of the matrix, by the distributed search."""
+    rows = _scaled_matrix(spark, sf).filter("label = 1").select(F.col("transaction_id").alias("id"), F.array(*_NAMES).alias("x"))
+    return comparable(nearest_neighbours(materialise(rows, "scaled"), 5, block_rows=64).drop("nid"), digits=5)
+
+
 @query("smote_oversample", f"""WITH {_POINTS_SQL},
   size AS (SELECT CAST(FLOOR(CAST(0.3 AS DOUBLE) * COUNT(*) FILTER (WHERE label = 0) - COUNT(*) FILTER (WHERE label = 1)) AS BIGINT) AS missing,
     COUNT(*) FILTER (WHERE label = 1) AS n FROM sc),
