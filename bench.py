@@ -20,8 +20,9 @@ HEADLINE = (
     "win_velocity", "win_amount_stats", "win_frequency", "join_anti_processed", "join_raw_processed", "insert_if_absent",
     "decode_json_tx", "detect_new_device", "detect_geo_outlier", "detect_merchant_burst", "balanced_sample",
     "stratified_split", "train_matrix", "ab_compare", "smote_oversample", "stream_features", "stream_user_profiles",
+    "win_heavy_users", "knn_minority", "knn_matrix", "stream_behavioural",
 )
-LONG = ("smote_oversample", "stream_features", "stream_user_profiles")
+LONG = ("knn_minority", "knn_matrix", "stream_behavioural", "smote_oversample", "stream_features", "stream_user_profiles")
 
 
 def main() -> None:

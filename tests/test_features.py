@@ -14,6 +14,7 @@ from riskloom.functions import fixed
 from riskloom.operators import behaviour, features, history, skew
 from riskloom.plans import views
 
+# The three-row sample whose results are known.
 SAMPLE = [
     ("txn_001", "user_001", 50.0, "2024-01-15T10:30:00", "grocery", False),
     ("txn_002", "user_001", 1500.0, "2024-01-15T22:45:00", "electronics", True),
