@@ -6,14 +6,23 @@ reused as it stands. A bucket knows the smallest doc_id that has a position in i
 bucket of a smaller document marks its 50 bytes for removal.
 
 Only positions that can be in a shared bucket are refined. Of the 26 grams inside 50 bytes, the one with
-the smallest hash stands for them; equal strings have the same one. Pass 1 sends these grams (about one
-per 13 bytes) and learns which occur in several documents; pass 2 refines the positions behind
-those and sends each block's buckets with their smallest and largest document; pass 3 removes. What
-blocks send is combined per block first, so a passage in a third of all documents is a row per block.
+the smallest hash stands for them; equal strings have the same one. Successive positions with the same
+least gram form a run (13 positions on average), whose own bucket is again refined from the buckets of
+its first and last position.
+
+1. Blocks send their least grams and learn which occur in several documents.
+2. They send the runs of these. A run that a smaller document has is removed as a whole. For the others only
+   the smallest document of each run's bucket goes on, and only where the gram has other runs too:
+   nowhere else can a smaller document have just a part of it.
+3. These send the buckets of their single positions.
+4. The texts are scanned once more and cut.
+
+What blocks send is combined per block first, so a passage in a third of all documents is a row per block.
 Texts stay where they are; only identifiers move (see ``store``). Later copies of a whole text are
 taken out by digest at the start: all their bytes occur in the first copy.
 
-Identifiers are 64-bit hashes: with a billion candidate positions the chance of one false match is 3 %.
+Identifiers are 64-bit hashes: with a billion positions to refine, the chance of one false match is 3 %.
+Grams travel as 32 bits beside the number of their part; a false match there only adds work.
 
 Cases: a null text counts as empty; a text under 50 bytes is kept; a null doc_id counts as larger than all
 others, and such documents do not remove each other's bytes, nor do rows with equal ids; an empty table
@@ -37,7 +46,9 @@ from riskloom.session import materialise
 
 LENGTH = 50
 GRAM = LENGTH // 2
-_SEGMENT = 1 << 20
+_SEGMENT = 1 << 19
+# Rows of a block; a task holds some blocks' worth of identifiers.
+ROWS = 4096
 _NO_ID = np.iinfo(np.int64).max
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
@@ -130,13 +141,56 @@ def _segment(pieces: list[tuple[int, int, bytes]]) -> _Segment:
     return _Segment(ids, position, row, offset, run, least[run])
 
 
-def _candidates(segment: _Segment, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions whose least gram is shared (as indexes), and the identifiers of their 50 bytes."""
-    at = np.searchsorted(shared, segment.value)
-    hit = shared[np.minimum(at, len(shared) - 1)] == segment.value if len(shared) else np.zeros(len(segment.value), bool)
-    chosen = np.flatnonzero(np.repeat(hit, np.diff(np.append(segment.run, len(segment.position)))))
-    p = segment.position[chosen]
-    return chosen, _mix(segment.ids[p] * np.uint64(0xC2B2AE3D27D4EB4F) + segment.ids[p + GRAM])
+def _keys(grams: np.ndarray, parts: int) -> np.ndarray:
+    """A gram's part and 32 of its bits."""
+    return (_mix(grams) % np.uint64(parts)) << np.uint64(32) | grams & np.uint64(0xFFFFFFFF)
+
+
+def _buckets(segment: _Segment, p: np.ndarray) -> np.ndarray:
+    """Identifier of the 50 bytes from each position on, from those of its gram and the gram after it."""
+    return _mix(segment.ids[p] * np.uint64(0xC2B2AE3D27D4EB4F) + segment.ids[p + GRAM])
+
+
+@dataclass
+class _Runs:
+    """Runs of a segment whose gram occurs in several documents."""
+
+    number: np.ndarray
+    first: np.ndarray  # as indexes among the segment's positions
+    end: np.ndarray
+    gram: np.ndarray
+    bucket: np.ndarray
+    row: np.ndarray
+
+
+def _shared_runs(segment: _Segment, shared: np.ndarray, parts: int) -> _Runs:
+    number = np.flatnonzero(_member(_keys(segment.value, parts), shared))
+    first = segment.run[number]
+    end = np.append(segment.run[1:], len(segment.position))[number]
+    begin, last = _buckets(segment, segment.position[first]), _buckets(segment, segment.position[end - 1])
+    bucket = _mix(_mix(begin + (end - first).astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15) + last)
+    return _Runs(number, first, end, segment.value[number], bucket, segment.row[first])
+
+
+def _member(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    if not len(ordered):
+        return np.zeros(len(values), bool)
+    return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
+
+
+def _owners_of(values: np.ndarray, known: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Smallest document of each bucket, as far as it is known; else one larger than all."""
+    buckets, owners = known
+    if not len(buckets):
+        return np.full(len(values), _NO_ID)
+    at = np.minimum(np.searchsorted(buckets, values), len(buckets) - 1)
+    return np.where(buckets[at] == values, owners[at], _NO_ID)
+
+
+def _positions(runs: _Runs, chosen: np.ndarray) -> np.ndarray:
+    """All positions of the chosen runs, as indexes."""
+    sizes = (runs.end - runs.first)[chosen]
+    return np.arange(int(sizes.sum())) + np.repeat(runs.first[chosen] - (np.cumsum(sizes) - sizes), sizes)
 
 
 def _deal(parts: int, keys: np.ndarray, *values: np.ndarray) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -186,26 +240,37 @@ def _copies(side: str):
 
 def _shared(side: str):
     def load(block: int) -> np.ndarray:
-        table = store.read_side(side, block, ["grams"])
-        parts = [] if table is None else [_array(b, np.uint64) for b in table.column("grams").to_pylist()]
-        return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+        table = store.read_side(side, block, ["part", "grams"])
+        if table is None:
+            return np.zeros(0, np.uint64)
+        rows = zip(table.column("part").to_pylist(), table.column("grams").to_pylist(), strict=True)
+        return np.unique(np.concatenate([_array(blob, np.uint32).astype(np.uint64) | np.uint64(part << 32) for part, blob in rows]))
 
     return load
 
 
-def _owners(side: str):
+def _known(side: str, buckets: str = "buckets", owners: str = "owners"):
+    """Buckets of a block in order, with their smallest documents."""
+
     def load(block: int) -> tuple[np.ndarray, np.ndarray]:
-        table = store.read_side(side, block, ["buckets", "owners"])
+        table = store.read_side(side, block, [buckets, owners])
         if table is None:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        buckets = np.concatenate([_array(b, np.uint64) for b in table.column("buckets").to_pylist()])
-        owners = np.concatenate([_array(b, np.int64) for b in table.column("owners").to_pylist()])
-        buckets, index = np.unique(buckets, return_index=True)
-        return buckets, owners[index]
+        keys = np.concatenate([_array(b, np.uint64) for b in table.column(buckets).to_pylist()])
+        values = np.concatenate([_array(b, np.int64) for b in table.column(owners).to_pylist()])
+        keys, index = np.unique(keys, return_index=True)
+        return keys, values[index]
 
     return load
 
 
+def _edges(buckets: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Of rows sorted by bucket and document: those with a bucket's smallest, and its largest if it differs."""
+    change = buckets[1:] != buckets[:-1]
+    first, last = np.append(True, change)[: len(buckets)], np.append(change, True)[: len(buckets)]
+    return first | (last & (ids != ids[np.flatnonzero(first)][np.cumsum(first) - 1]))
+
+
 def _send_grams(copies: str, parts: int):
     """Pass 1: the least grams of each block, apart by whether the block has them in several documents."""
 
@@ -223,97 +288,159 @@ def _send_grams(copies: str, parts: int):
             last = np.append(first[1:], len(value)) - 1
             several = row[first] != row[last]
             for part, (grams, many) in _deal(parts, value[first], several):
-                yield pa.RecordBatch.from_pylist([{"part": part, "block": block, "once": grams[~many].tobytes(), "often": grams[many].tobytes()}])
+                grams = grams.astype(np.uint32)  # the low bits
+                yield pa.RecordBatch.from_pylist(
+                    [{"part": part, "block": block, "once": np.sort(grams[~many]).tobytes(), "often": np.sort(grams[many]).tobytes()}]
+                )
 
     return run
 
 
 def _match_grams(table: pa.Table) -> pa.Table:
     """Which grams of a part occur in several documents, for each block that sent them."""
-    blocks = table.column("block").to_pylist()
-    once = [_array(b, np.uint64) for b in table.column("once").to_pylist()]
-    often = [_array(b, np.uint64) for b in table.column("often").to_pylist()]
+    once = [_array(b, np.uint32) for b in table.column("once").to_pylist()]
+    often = [_array(b, np.uint32) for b in table.column("often").to_pylist()]
     values, counts = np.unique(np.concatenate([*once, *often, *often]), return_counts=True)
     shared = values[counts > 1]
-    grams = [np.concatenate((o, a[np.isin(a, shared, assume_unique=True)])).tobytes() for a, o in zip(once, often, strict=True)]
-    return pa.table({store.BLOCK: pa.array(blocks, pa.int64()), "grams": pa.array(grams, pa.binary())})
+    grams = [np.concatenate((o, a[_member(a, shared)])).tobytes() for a, o in zip(once, often, strict=True)]
+    return pa.table({store.BLOCK: table.column("block"), "part": table.column("part"), "grams": pa.array(grams, pa.binary())})
 
 
-def _send_buckets(copies: str, shared: str, parts: int):
-    """Pass 2: the 50-byte buckets behind shared grams with the block's smallest and largest document."""
+def _send_runs(copies: str, shared: str, parts: int):
+    """Pass 2: the buckets of runs of shared grams with the block's smallest and largest document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, grams = store.SideCache(_copies(copies)), store.SideCache(_shared(shared))
         for block, batch in store.by_block(batches):
-            held, of_block = _Block(batch, known.get(block)), grams.get(block)
+            of_block = grams.get(block)
             if not len(of_block):
                 continue
-            found = []
+            held = _Block(batch, known.get(block))
+            found = [(r.gram, r.bucket, held.ids[r.row]) for r in (_shared_runs(s, of_block, parts) for s in held.segments())]
+            if not found:
+                continue
+            gram, bucket, ids = (np.concatenate(x) for x in zip(*found, strict=True))
+            order = np.lexsort((ids, bucket))
+            gram, bucket, ids = gram[order], bucket[order], ids[order]
+            keep = _edges(bucket, ids)
+            for part, (some, buckets, owners) in _deal(parts, gram[keep], bucket[keep], ids[keep]):
+                yield pa.RecordBatch.from_pylist(
+                    [{"part": part, "block": block, "grams": some.tobytes(), "buckets": buckets.tobytes(), "owners": owners.tobytes()}]
+                )
+
+    return run
+
+
+def _flat(table: pa.Table, *names: str) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Number of the sending row, and the values of all rows in a row."""
+    columns = [[_array(b, np.int64 if name == "owners" else np.uint64) for b in table.column(name).to_pylist()] for name in names]
+    sender = np.repeat(np.arange(table.num_rows), [len(x) for x in columns[0]])
+    return sender, [np.concatenate(c) for c in columns]
+
+
+def _by_sender(table: pa.Table, sender: np.ndarray, *values: np.ndarray) -> list[pa.Array]:
+    """Values of each sending row, as binary columns."""
+    order = np.argsort(sender, kind="stable")
+    cuts = np.searchsorted(sender[order], np.arange(table.num_rows + 1))
+    each = [order[cuts[i] : cuts[i + 1]] for i in range(table.num_rows)]
+    return [pa.array([v[x].tobytes() for x in each], pa.binary()) for v in values]
+
+
+def _match_runs(table: pa.Table) -> pa.Table:
+    """For each block: runs that a smaller document has, and runs it has first but whose gram has other runs."""
+    sender, (gram, bucket, owner) = _flat(table, "grams", "buckets", "owners")
+    order = np.lexsort((owner, bucket, gram))
+    sender, gram, bucket, owner = sender[order], gram[order], bucket[order], owner[order]
+    new_gram = np.append(True, gram[1:] != gram[:-1])
+    new_bucket = new_gram | np.append(True, bucket[1:] != bucket[:-1])
+    least = owner[np.flatnonzero(new_bucket)][np.cumsum(new_bucket) - 1]
+    number = np.cumsum(new_gram) - 1
+    several = np.bincount(number[new_bucket])[number] > 1
+    told, asked = owner > least, (owner == least) & several
+    buckets, owners = _by_sender(table, sender[told], bucket[told], least[told])
+    (open_,) = _by_sender(table, sender[asked], bucket[asked])
+    return pa.table({store.BLOCK: table.column("block"), "buckets": buckets, "owners": owners, "open": open_})
+
+
+def _open_runs(side: str):
+    """Runs of a block whose positions are looked at one by one."""
+
+    def load(block: int) -> np.ndarray:
+        table = store.read_side(side, block, ["open"])
+        return np.zeros(0, np.uint64) if table is None else np.unique(np.concatenate([_array(b, np.uint64) for b in table.column("open").to_pylist()]))
+
+    return load
+
+
+def _open_positions(segment: _Segment, ids: np.ndarray, shared: np.ndarray, parts: int, known, open_: np.ndarray):
+    """(runs, those a smaller document has, positions of open runs as indexes)."""
+    runs = _shared_runs(segment, shared, parts)
+    whole = _owners_of(runs.bucket, known) < ids[runs.row]
+    return runs, whole, _positions(runs, np.flatnonzero(~whole & _member(runs.bucket, open_)))
+
+
+def _send_positions(copies: str, shared: str, runs: str, parts: int):
+    """Pass 3: the buckets of the positions of open runs with the block's smallest and largest document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        copied, grams = store.SideCache(_copies(copies)), store.SideCache(_shared(shared))
+        known, opened = store.SideCache(_known(runs)), store.SideCache(_open_runs(runs))
+        for block, batch in store.by_block(batches):
+            open_ = opened.get(block)
+            if not len(open_):
+                continue
+            held, found = _Block(batch, copied.get(block)), []
             for segment in held.segments():
-                chosen, buckets = _candidates(segment, of_block)
-                found.append((buckets, held.ids[segment.row[chosen]]))
+                _, _, at = _open_positions(segment, held.ids, grams.get(block), parts, known.get(block), open_)
+                found.append((_buckets(segment, segment.position[at]), held.ids[segment.row[at]]))
             if not found:
                 continue
-            buckets, ids = (np.concatenate(x) for x in zip(*found, strict=True))
-            order = np.lexsort((ids, buckets))
-            buckets, ids = buckets[order], ids[order]
-            edge = buckets[1:] != buckets[:-1]
-            first = np.append(True, edge)[: len(buckets)]
-            last = np.append(edge, True)[: len(buckets)]
-            # Only the smallest and the largest document of a bucket matter.
-            keep = first | (last & (ids != ids[np.flatnonzero(first)][np.cumsum(first) - 1]))
-            for part, (some, owners) in _deal(parts, buckets[keep], ids[keep]):
-                yield pa.RecordBatch.from_pylist([{"part": part, "block": block, "buckets": some.tobytes(), "owners": owners.tobytes()}])
+            bucket, ids = (np.concatenate(x) for x in zip(*found, strict=True))
+            order = np.lexsort((ids, bucket))
+            bucket, ids = bucket[order], ids[order]
+            keep = _edges(bucket, ids)
+            for part, (buckets, owners) in _deal(parts, bucket[keep], ids[keep]):
+                yield pa.RecordBatch.from_pylist([{"part": part, "block": block, "buckets": buckets.tobytes(), "owners": owners.tobytes()}])
 
     return run
 
 
-def _match_buckets(table: pa.Table) -> pa.Table:
+def _match_positions(table: pa.Table) -> pa.Table:
     """For each block, its buckets that a smaller document has, with the smallest one."""
-    blocks = table.column("block").to_pylist()
-    buckets = [_array(b, np.uint64) for b in table.column("buckets").to_pylist()]
-    owners = [_array(b, np.int64) for b in table.column("owners").to_pylist()]
-    sender = np.repeat(np.arange(len(blocks)), [len(b) for b in buckets])
-    key, owner = np.concatenate(buckets), np.concatenate(owners)
-    order = np.lexsort((owner, key))
-    key, owner, sender = key[order], owner[order], sender[order]
-    first = np.append(True, key[1:] != key[:-1])[: len(key)]
+    sender, (bucket, owner) = _flat(table, "buckets", "owners")
+    order = np.lexsort((owner, bucket))
+    sender, bucket, owner = sender[order], bucket[order], owner[order]
+    first = np.append(True, bucket[1:] != bucket[:-1])[: len(bucket)]
     least = owner[np.flatnonzero(first)][np.cumsum(first) - 1]
     told = owner > least
-    key, least, sender = key[told], least[told], sender[told]
-    order = np.argsort(sender, kind="stable")
-    cuts = np.searchsorted(sender[order], np.arange(len(blocks) + 1))
-    each = [order[cuts[i] : cuts[i + 1]] for i in range(len(blocks))]
-    return pa.table({
-        store.BLOCK: pa.array(blocks, pa.int64()),
-        "buckets": pa.array([key[x].tobytes() for x in each], pa.binary()),
-        "owners": pa.array([least[x].tobytes() for x in each], pa.binary()),
-    })
+    buckets, owners = _by_sender(table, sender[told], bucket[told], least[told])
+    return pa.table({store.BLOCK: table.column("block"), "buckets": buckets, "owners": owners})
 
 
 @dataclass(frozen=True)
 class Sides:
-    """What each block knows after two passes."""
+    """What each block knows after three passes."""
 
     copies: str
     shared: str
-    owners: str
+    runs: str
+    positions: str
+    parts: int
 
     def spans(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes], list[list[tuple[int, int]]]]]:
-        """Pass 3: batches with their texts in bytes and the runs to remove."""
-        known, grams, owned = store.SideCache(_copies(self.copies)), store.SideCache(_shared(self.shared)), store.SideCache(_owners(self.owners))
+        """Last pass: batches with their texts in bytes and the runs of bytes to remove."""
+        copied, grams = store.SideCache(_copies(self.copies)), store.SideCache(_shared(self.shared))
+        known, opened = store.SideCache(_known(self.runs)), store.SideCache(_open_runs(self.runs))
+        single = store.SideCache(_known(self.positions))
         for block, batch in store.by_block(batches):
-            held = _Block(batch, known.get(block))
-            of_block, (buckets, owners) = grams.get(block), owned.get(block)
-            places: dict[int, list[np.ndarray]] = {}
-            for segment in held.segments() if len(buckets) else ():
-                chosen, ids = _candidates(segment, of_block)
-                at = np.minimum(np.searchsorted(buckets, ids), len(buckets) - 1)
-                row = segment.row[chosen]
-                marked = (buckets[at] == ids) & (owners[at] < held.ids[row])
-                row, offset = row[marked], segment.offset[chosen[marked]]
-                cuts = np.flatnonzero(np.append(True, row[1:] != row[:-1])) if len(row) else []
-                for start, end in zip(cuts, np.append(cuts[1:], len(row)), strict=True):
+            held, places = _Block(batch, copied.get(block)), {}
+            for segment in held.segments() if len(known.get(block)[0]) or len(opened.get(block)) else ():
+                runs, whole, at = _open_positions(segment, held.ids, grams.get(block), self.parts, known.get(block), opened.get(block))
+                owner = _owners_of(_buckets(segment, segment.position[at]), single.get(block))
+                marked = np.sort(np.concatenate((_positions(runs, np.flatnonzero(whole)), at[owner < held.ids[segment.row[at]]])))
+                row, offset = segment.row[marked], segment.offset[marked]
+                cuts = np.append(np.flatnonzero(np.append(True, row[1:] != row[:-1])), len(row)) if len(row) else []
+                for start, end in zip(cuts[:-1], cuts[1:], strict=True):
                     places.setdefault(int(row[start]), []).append(offset[start:end])
             spans: list[list[tuple[int, int]]] = []
             for i, text in enumerate(held.texts):
@@ -336,7 +463,7 @@ def kept(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def find_repeats(rows: DataFrame) -> Sides:
-    """Passes 1 and 2 over doc_id, text and the block id."""
+    """Passes 1 to 3 over doc_id, text and the block id."""
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = materialise(
         rows.filter(F.octet_length("text") >= LENGTH).select(
@@ -351,12 +478,15 @@ def find_repeats(rows: DataFrame) -> Sides:
     parts = min(1 << 14, max(32, 2 * keyed.select(store.BLOCK).distinct().count()))
     source = rows.select("doc_id", "text", store.BLOCK)
     grams = source.mapInArrow(_send_grams(copies, parts), "part bigint, block bigint, once binary, often binary")
-    shared = store.write_side(grams.groupBy("part").applyInArrow(_match_grams, f"{store.BLOCK} bigint, grams binary"), "grams")
-    buckets = source.mapInArrow(_send_buckets(copies, shared, parts), "part bigint, block bigint, buckets binary, owners binary")
-    owners = store.write_side(
-        buckets.groupBy("part").applyInArrow(_match_buckets, f"{store.BLOCK} bigint, buckets binary, owners binary"), "buckets"
+    shared = store.write_side(grams.groupBy("part").applyInArrow(_match_grams, f"{store.BLOCK} bigint, part bigint, grams binary"), "grams")
+    runs = source.mapInArrow(_send_runs(copies, shared, parts), "part bigint, block bigint, grams binary, buckets binary, owners binary")
+    matched = runs.groupBy("part").applyInArrow(_match_runs, f"{store.BLOCK} bigint, buckets binary, owners binary, open binary")
+    of_runs = store.write_side(matched, "runs")
+    single = source.mapInArrow(_send_positions(copies, shared, of_runs, parts), "part bigint, block bigint, buckets binary, owners binary")
+    positions = store.write_side(
+        single.groupBy("part").applyInArrow(_match_positions, f"{store.BLOCK} bigint, buckets binary, owners binary"), "positions"
     )
-    return Sides(copies, shared, owners)
+    return Sides(copies, shared, of_runs, positions, parts)
 
 
 def _typed(docs: DataFrame) -> DataFrame:
@@ -365,7 +495,7 @@ def _typed(docs: DataFrame) -> DataFrame:
 
 def repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the removed runs of every document."""
-    rows = _typed(store.with_blocks(docs, "doc_id", "text"))
+    rows = _typed(store.with_blocks(docs, "doc_id", "text", rows=ROWS))
     sides = find_repeats(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -408,7 +538,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     # Neutral names, so that no column meets the block id's.
     neutral = {c: c if c in ("doc_id", "text") else f"c{i}" for i, c in enumerate(docs.columns)}
     renamed = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in neutral.items()])
-    rows = _typed(store.with_blocks(renamed, *neutral.values()))
+    rows = _typed(store.with_blocks(renamed, *neutral.values(), rows=ROWS))
     sides, n_chars = find_repeats(rows), neutral.get("n_chars")
     schema = rows.drop(store.BLOCK).schema
 

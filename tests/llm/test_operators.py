@@ -435,10 +435,7 @@ def test_repeats(spark, monkeypatch):
 
 def test_repeats_in_blocks(spark, sf, monkeypatch):
     """Blocks of a few rows of one table: what one block knows must reach the others."""
-    import riskloom.llm.store as store
-
-    with_blocks = store.with_blocks
-    monkeypatch.setattr(store, "with_blocks", lambda docs, *names: with_blocks(docs, *names, rows=7))
+    monkeypatch.setattr(repeats, "ROWS", 7)
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     got = collections.Counter(tuple(r)[:5] for r in repeats.repeats(docs).collect())
     assert got == _repeats([(r["doc_id"], (r["text"] or "").encode()) for r in docs.select("doc_id", "text").collect()])
