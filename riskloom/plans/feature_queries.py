@@ -239,14 +239,14 @@ _HEAVY = (
 
 
 @query("win_heavy_users", f"""WITH {_HEAVY}, {WINDOWS} SELECT transaction_id, transactions_last_1h, transactions_last_24h,
-    transactions_last_7d, transactions_last_30d, {r('user_avg_amount_24h')} AS user_avg_amount_24h,
-    {r('user_avg_amount_7d')} AS user_avg_amount_7d, {r('user_std_amount_7d')} AS user_std_amount_7d,
-    {r('user_max_amount_7d')} AS user_max_amount_7d, user_merchant_frequency, user_hour_frequency FROM win""")
+    transactions_last_7d, transactions_last_30d, {r('user_avg_amount_24h', 4)} AS user_avg_amount_24h,
+    {r('user_avg_amount_7d', 4)} AS user_avg_amount_7d, {r('user_std_amount_7d', 4)} AS user_std_amount_7d,
+    {r('user_max_amount_7d', 4)} AS user_max_amount_7d, user_merchant_frequency, user_hour_frequency FROM win""")
 def _heavy_users(spark, sf):
     """All windows when two users hold every row."""
     tx = views.transactions(spark, sf).withColumn("user_id", (F.col("user_id").cast("long") % 2).cast("string"))
     out = behaviour.user_windows(tx.select("transaction_id", "user_id", "ts", "amount", "merchant_category"), recency=False)
-    return comparable(out.drop("user_id", "ts", "amount", "merchant_category", "hour_of_day", "amount_zscore"))
+    return comparable(out.drop("user_id", "ts", "amount", "merchant_category", "hour_of_day", "amount_zscore"), digits=4)
 
 
 @query("win_frequency", f"WITH {TX}, {WINDOWS} SELECT transaction_id, user_merchant_frequency, user_hour_frequency FROM win")
