@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import store
-from riskloom.session import materialise
+from riskloom.session import scratch_dir
 
 WINDOW = 64
 POINTS = 16
@@ -207,6 +207,7 @@ def edited(text: str, successor: str) -> str:
 
 _COLUMNS = ("doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
             "near_edited double, near_next double")
+_PLACED_SQL = _COLUMNS + ", part bigint, first_text string, last_text string"
 _ROW = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
                   ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
 _PLACED = _ROW.append(pa.field("part", pa.int64())).append(pa.field("first_text", pa.string())).append(pa.field("last_text", pa.string()))
@@ -266,12 +267,12 @@ def compare_with_successors(docs: DataFrame) -> DataFrame:
 
     order = [F.desc_nulls_last("doc_id")]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    placed = materialise(
-        rows.repartitionByRange(*order).sortWithinPartitions(*order, F.desc_nulls_last("text")).mapInArrow(
-            run, _COLUMNS + ", part bigint, first_text string, last_text string"
-        ),
-        "fingerprints",
-    )
+    path = scratch_dir(spark, "fingerprints")
+    # The filters are sparse: zstd halves what they take on disk.
+    rows.repartitionByRange(*order).sortWithinPartitions(*order, F.desc_nulls_last("text")).mapInArrow(run, _PLACED_SQL).write.option(
+        "compression", "zstd"
+    ).parquet(path)
+    placed = spark.read.schema(_PLACED_SQL).parquet(path)
     ends = placed.filter(F.col("last_text").isNotNull())
     parts = sorted(row["part"] for row in ends.select("part").collect())  # one per partition
     if not parts:
