@@ -32,6 +32,8 @@ ORDER = 4
 QUANTILE = 0.995
 MARGIN = 0.25
 PRIOR_CHARS = 100
+# Tables with a row per language are broadcast up to so many languages.
+MAX_LANGUAGES = 10_000
 _BEFORE = "\x02"  # stands before a text's first character
 _GRID = 1000  # thresholds are found on a grid of log-perplexities
 _PORTION = 1 << 20
@@ -191,6 +193,11 @@ def _discounts(table: DataFrame) -> DataFrame:
     return counts.select("lang", *[rule(k).alias(f"d{k}") for k in (1, 2, 3)])
 
 
+def _per_language(table: DataFrame, languages: int) -> DataFrame:
+    """A table with one row per language, so that a frequent language needs no task of its own."""
+    return F.broadcast(table) if languages <= MAX_LANGUAGES else table
+
+
 def gram_probabilities(counts: DataFrame, order: int = ORDER) -> DataFrame:
     """lang, gram, log_p for grams with their count ``c`` in trusted text (0 for grams only met elsewhere).
 
@@ -198,6 +205,7 @@ def gram_probabilities(counts: DataFrame, order: int = ORDER) -> DataFrame:
     by a window over (language, context), which holds at most one row per character.
     """
     tables = {order: counts.select("lang", "gram", "c")}
+    languages = counts.select("lang").distinct().count()
     for k in range(order - 1, 0, -1):
         shorter = tables[k + 1].select("lang", F.expr(f"substring(gram, 2, {k})").alias("gram"), "c")
         tables[k] = materialise(shorter.groupBy("lang", "gram").agg(F.count_if(F.col("c") > 0).alias("c")), f"grams{k}")
@@ -210,7 +218,7 @@ def gram_probabilities(counts: DataFrame, order: int = ORDER) -> DataFrame:
             "total": F.sum("c").over(context),
             "t1": F.count_if(c == 1).over(context), "t2": F.count_if(c == 2).over(context), "t3": F.count_if(c >= 3).over(context),
         })
-        weighed = seen.join(_discounts(tables[k]), "lang").withColumn("gram_lower", F.expr(f"substring(gram, 2, {k - 1})"))
+        weighed = seen.join(_per_language(_discounts(tables[k]), languages), "lang").withColumn("gram_lower", F.expr(f"substring(gram, 2, {k - 1})"))
         own = F.try_divide(F.greatest(c - _discount(c), F.lit(0.0)), "total")
         left = F.try_divide(F.col("d1") * F.col("t1") + F.col("d2") * F.col("t2") + F.col("d3") * F.col("t3"), "total")
         p = F.when(F.col("total") > 0, own + left * F.col("p_lower")).otherwise(F.col("p_lower"))
@@ -276,17 +284,18 @@ def classify(docs: DataFrame, trusted: DataFrame, order: int = ORDER, quantile:
     scores = materialise(
         rows.mapInArrow(_score(side, of_blocks, order), "doc_id bigint, lang string, n_chars bigint, log_p double, trusted boolean"), "scores"
     )
+    languages = scores.select("lang").distinct().count()
     means = scores.filter(F.col("trusted")).groupBy("lang").agg(F.try_divide(-F.sum("log_p"), F.sum("n_chars")).alias("mean"))
     prior = F.when(F.col("mean").isNull(), 0).otherwise(PRIOR_CHARS)
     smooth = F.try_divide(-F.col("log_p") + prior * F.coalesce("mean", F.lit(0.0)), F.col("n_chars") + prior)
-    judged = scores.join(means, "lang", "left").withColumn("log_perplexity", F.when(F.col("n_chars") > 0, smooth))
+    judged = scores.join(_per_language(means, languages), "lang", "left").withColumn("log_perplexity", F.when(F.col("n_chars") > 0, smooth))
     # The quantile on a grid: counts per cell are exact whatever the order of rows.
     cells = judged.filter("trusted AND n_chars > 0").groupBy("lang", F.floor(F.col("log_perplexity") * _GRID).alias("cell")).agg(F.count("*").alias("n"))
     language = Window.partitionBy("lang")
     reached = cells.withColumns({"upto": F.sum("n").over(language.orderBy("cell")), "total": F.sum("n").over(language)})
     thresholds = reached.filter(F.col("upto") >= F.col("total") * quantile).groupBy("lang").agg(((F.min("cell") + 1) / _GRID + margin).alias("threshold"))
     kept = (F.col("n_chars") > 0) & F.coalesce(F.col("log_perplexity") <= F.col("threshold"), F.lit(True))
-    return judged.join(thresholds, "lang", "left").select("doc_id", "lang", "n_chars", "log_perplexity", "threshold", kept.alias("kept"))
+    return judged.join(_per_language(thresholds, languages), "lang", "left").select("doc_id", "lang", "n_chars", "log_perplexity", "threshold", kept.alias("kept"))
 
 
 def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
