@@ -7,7 +7,8 @@ probabilities from the unigrams up, and the probabilities of a block's grams are
 texts never move and no task holds the model (see ``store``).
 
 A document is rejected when its log-perplexity lies beyond its language's threshold: a quantile over the
-trusted documents of that language, plus a margin. Short documents vary more, so the mean of the
+trusted documents of that language, plus their standard deviation: the model has learnt from them, so that
+clean text that it has not seen lies somewhat higher. Short documents vary more, so the mean of the
 language counts as ``PRIOR_CHARS`` further characters of each document.
 
 Cases: a null text counts as empty; an empty text has no perplexity and is rejected; a null language is
@@ -30,7 +31,7 @@ from riskloom.session import materialise
 
 ORDER = 4
 QUANTILE = 0.995
-MARGIN = 0.25
+SPREADS = 1.0  # standard deviations of the language's trusted documents beyond the quantile
 PRIOR_CHARS = 100
 # Tables with a row per language are broadcast up to so many languages.
 MAX_LANGUAGES = 10_000
@@ -271,7 +272,7 @@ def _score(side: str, chances: str, order: int):
     return run
 
 
-def classify(docs: DataFrame, trusted: DataFrame, order: int = ORDER, quantile: float = QUANTILE, margin: float = MARGIN) -> DataFrame:
+def classify(docs: DataFrame, trusted: DataFrame, order: int = ORDER, quantile: float = QUANTILE, spreads: float = SPREADS) -> DataFrame:
     """doc_id, lang, n_chars, log_perplexity, threshold, kept; ``trusted`` has the doc_id of the text to learn from."""
     rows = store.with_blocks(docs, "doc_id", "text", "lang")
     rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), store.BLOCK)
@@ -289,11 +290,14 @@ def classify(docs: DataFrame, trusted: DataFrame, order: int = ORDER, quantile:
     prior = F.when(F.col("mean").isNull(), 0).otherwise(PRIOR_CHARS)
     smooth = F.try_divide(-F.col("log_p") + prior * F.coalesce("mean", F.lit(0.0)), F.col("n_chars") + prior)
     judged = scores.join(_per_language(means, languages), "lang", "left").withColumn("log_perplexity", F.when(F.col("n_chars") > 0, smooth))
-    # The quantile on a grid: counts per cell are exact whatever the order of rows.
+    # Quantile and spread on a grid: counts per cell are exact whatever the order of rows.
     cells = judged.filter("trusted AND n_chars > 0").groupBy("lang", F.floor(F.col("log_perplexity") * _GRID).alias("cell")).agg(F.count("*").alias("n"))
     language = Window.partitionBy("lang")
-    reached = cells.withColumns({"upto": F.sum("n").over(language.orderBy("cell")), "total": F.sum("n").over(language)})
-    thresholds = reached.filter(F.col("upto") >= F.col("total") * quantile).groupBy("lang").agg(((F.min("cell") + 1) / _GRID + margin).alias("threshold"))
+    first, second = (F.sum(x).over(language) for x in (F.col("n") * F.col("cell"), F.col("n") * F.col("cell") * F.col("cell")))
+    reached = cells.withColumns({"upto": F.sum("n").over(language.orderBy("cell")), "total": F.sum("n").over(language), "s1": first, "s2": second})
+    spread = F.sqrt(F.greatest(F.col("s2") / F.col("total") - (F.col("s1") / F.col("total")) ** 2, F.lit(0.0)))
+    beyond = reached.filter(F.col("upto") >= F.col("total") * quantile).withColumn("spread", spread)
+    thresholds = beyond.groupBy("lang").agg(((F.min("cell") + 1 + spreads * F.max("spread")) / _GRID).alias("threshold"))
     kept = (F.col("n_chars") > 0) & F.coalesce(F.col("log_perplexity") <= F.col("threshold"), F.lit(True))
     return judged.join(_per_language(thresholds, languages), "lang", "left").select("doc_id", "lang", "n_chars", "log_perplexity", "threshold", kept.alias("kept"))
 
