@@ -2,7 +2,8 @@
 
 Every sink writes one partition per run and micro-batch and overwrites only that, so a batch that
 is replayed after a failure leaves the same rows, and a new checkpoint on an old target leaves the
-rows of earlier runs. Errors propagate; bad rows go to quarantine. ``trigger=None`` drains what is available and stops.
+rows of earlier runs. Errors propagate. Bad rows go to quarantine in the
+scoring stream only: what ``transaction_stream`` can't decode is left out of the other streams. ``trigger=None`` drains what is available and stops.
 """
 
 from __future__ import annotations
