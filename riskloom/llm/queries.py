@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from riskloom.llm import bpe, fingerprints, merkle, mixing, perplexity, quality_rules, repeats, sharding, simhash, token_counts, warc
+from riskloom.llm import bpe, fingerprints, merkle, mixing, perplexity, quality_rules, repeats, sharding, simhash, spelling, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_index": warc.op1_warc_index,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": repeats.op8_suffix_dedup,
     "op9_byte_bpe": bpe.op9_byte_bpe,
     "op10_token_counts": token_counts.op10_token_counts,
+    "op11_spelling_variants": spelling.op11_spelling_variants,
     "op13_merkle_manifest": merkle.op13_merkle_manifest,
     "pipeline": corpus_pipeline.run,
 }
@@ -29,5 +30,6 @@ ORACLE: dict[str, str] = {
     "op3_quality_rules": quality_rules.op3_sql(),
     "op5_shard_table": sharding.op5_sql(),
     "op6_source_mix": mixing.OP6_SQL,
+    "op11_spelling_variants": spelling.op11_sql(),
     "op13_merkle_manifest": merkle.op13_sql(),
 }
