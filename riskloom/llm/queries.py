@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from riskloom.llm import bpe, fingerprints, merkle, mixing, perplexity, quality_rules, repeats, sharding, simhash, spelling, token_counts, warc
+from riskloom.llm import bpe, fingerprints, html_text, merkle, mixing, perplexity, quality_rules, repeats, sharding, simhash, spelling, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_index": warc.op1_warc_index,
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_byte_bpe": bpe.op9_byte_bpe,
     "op10_token_counts": token_counts.op10_token_counts,
     "op11_spelling_variants": spelling.op11_spelling_variants,
+    "op12_html_text": html_text.op12_html_text,
     "op13_merkle_manifest": merkle.op13_merkle_manifest,
     "pipeline": corpus_pipeline.run,
 }

@@ -91,3 +91,24 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+# Files of a packed side table, each with the rows of many blocks.
+PACKED_GROUPS = 512
+GROUP = "__group"
+
+
+def write_packed(df: DataFrame, purpose: str) -> str:
+    """Write rows by groups of blocks, sorted by block; ``read_packed`` opens only the row groups of its block."""
+    path = scratch_dir(df.sparkSession, purpose)
+    grouped = df.withColumn(GROUP, F.pmod(F.col(BLOCK), F.lit(PACKED_GROUPS)))
+    grouped.repartition(GROUP).sortWithinPartitions(GROUP, BLOCK).write.partitionBy(GROUP).option("parquet.block.size", 1 << 20).parquet(path)
+    return path
+
+
+def read_packed(path: str, block: int, columns: list[str]) -> pa.Table | None:
+    """The side rows of one block, None when it has none."""
+    system, root = filesystem(f"{path}/{GROUP}={block % PACKED_GROUPS}")
+    files = [f.path for f in system.get_file_info(fs.FileSelector(root, allow_not_found=True)) if f.path.endswith(".parquet")]
+    parts = [pq.read_table(file, columns=columns, filters=[(BLOCK, "=", block)], filesystem=system, partitioning=None) for file in sorted(files)]
+    return pa.concat_tables(parts) if parts else None
