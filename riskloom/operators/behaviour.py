@@ -1,10 +1,18 @@
 """Rolling behaviour per user: one exact way for every user, whatever their number of rows.
 
-Rows are first reduced to one per user and second, then cut into chunks of time. A task gets a chunk of a
-user together with the longest horizon before it, so it holds at most 45 days of seconds; windows are
-differences of running sums, and their largest and smallest values come from a table of powers of two.
-What lies before a chunk arrives as one carried row. Running counts go through day blocks (``skew.running``).
-All joins treat NULL as a value: rows without user, category or time are kept.
+Rows are dealt once, by user and four weeks, and all windows are Spark's own within such a chunk. None of them slides: a
+sliding frame costs as many steps per row as it has rows, which is the square of a heavy user's. Instead every row also
+appears as slim copies at the times when it leaves each horizon, and only running frames are used:
+
+* A count is what has come minus what has left.
+* Averages, deviations and largest values of the last day or seven days are put together from two running parts: the rows of the current
+  day (or week, counted from the epoch) up to now, and the copies that leave it from now on, which are the rest of the window.
+  Parts are merged by their moments, nothing is subtracted.
+* What lies before a chunk (counts, the last time, the history) arrives as one carried row per user and chunk, and one per
+  category and hour for the running counts; these come from one small aggregate.
+
+A task's group is a user's chunk at most, so a user with most rows of the table is as many groups as there are chunks of four weeks (Spark
+sorts and buffers a group with spilling); no probe, threshold or cap decides. NULL users, categories and times fall into groups of their own.
 
 A row without time has no window but its like, and precedes all rows of its user that have one. Amounts that
 are NaN or infinite make the averages and deviations of just the windows they lie in NaN or infinite.
@@ -12,32 +20,29 @@ are NaN or infinite make the averages and deviations of just the windows they li
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterable, Mapping
 
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from riskloom.functions import expressions as X
 from riskloom.functions import fixed
 from riskloom.operators import features
-from riskloom.operators.skew import join_null_safe, running
 
 DAY = 86400
-CHUNK_SECONDS = 15 * DAY
+WEEK = 7 * DAY
+# Rows are dealt by user and so many seconds; whole weeks.
+CHUNK = 4 * WEEK
 # The second of rows without time: before all others, further away than any horizon.
 NO_TIME = -(1 << 40)
+# Kinds of dealt rows: own rows, carried rows, and the copies that leave a horizon (from 1 on).
+OWN, CARRIED = 0, -1
 
-_STATS = ("avg_24h", "avg_7d", "std_7d", "max_7d")
-_AMOUNT_COLUMNS = {
-    "avg_24h": "user_avg_amount_24h",
-    "avg_7d": "user_avg_amount_7d",
-    "std_7d": "user_std_amount_7d",
-    "max_7d": "user_max_amount_7d",
-}
+_FREQUENCY = {"merchant_category": "user_merchant_frequency", "hour_of_day": "user_hour_frequency"}
+# Columns that windows read.
+_READ = ("user_id", "ts", "transaction_id")
+_AMOUNT_COLUMNS = ("user_avg_amount_24h", "user_avg_amount_7d", "user_std_amount_7d", "user_max_amount_7d")
 _HISTORY = ("history_transactions", "history_avg_amount", "history_std_amount")
-_FREQUENCY = ("user_merchant_frequency", "user_hour_frequency")
 
 
 def user_windows(
@@ -50,266 +55,218 @@ def user_windows(
     as_of: bool = False,
 ) -> DataFrame:
     """Add velocity, amount, recency, frequency and as-of history columns per user."""
-    parts = {
-        "horizons": tuple(horizons), "amounts": amounts, "recency": recency,
-        "frequency": frequency, "as_of": as_of,
-    }
+    horizons = tuple(horizons)
     if frequency and "hour_of_day" not in tx.columns:
         tx = tx.withColumn("hour_of_day", F.hour("ts"))
-    wanted = [*tx.columns, *_added(**parts)]
+    wanted = [*tx.columns, *_added(horizons, amounts, recency, frequency, as_of)]
     rows = tx.withColumn("__sec", F.coalesce(X.epoch_second(F.col("ts")), F.lit(NO_TIME)))
+    spans = {h: fixed.HORIZONS[h] for h in (*horizons, *(("24h", "7d") if amounts else ()))}
+    kinds = {h: kind for kind, h in enumerate(spans, 1)}
+    # Columns that no window reads travel as one; wide rows make Spark's generated code too long to be compiled.
+    read = [c for c in (*_READ, *(_FREQUENCY if frequency else ())) if c in tx.columns]
+    packed = [c for c in tx.columns if c not in read]
+    dealt = _copies(rows, spans, read, packed)
+    if horizons or recency or frequency or as_of:
+        dealt = dealt.unionByName(_carried(rows, {h: spans[h] for h in horizons}, recency, frequency, as_of), allowMissingColumns=True)
+    out = dealt.repartition("user_id", "__chunk")
+    own = F.when(F.col("__kind") == OWN, 1)
+    # Three groups of windows, each with one sort; rows and columns that no later window needs leave in between.
+    chunk = Window.partitionBy("user_id", "__chunk")
+    week = Window.partitionBy("user_id", "__chunk", "__week")
+    day = Window.partitionBy("user_id", "__chunk", "__week", "__day")
+    done = []
+    if recency:
+        # By row, not by second: of rows with one second the earlier one precedes.
+        earlier = chunk.orderBy("__week", "__day", "__order", "ts", "transaction_id").rowsBetween(Window.unboundedPreceding, -1)
+        out = out.withColumn("__prev", F.last(F.coalesce(own * F.col("__sec"), "__c.last"), ignorenulls=True).over(earlier))
+        done.append("__prev")
+    if horizons:
+        now = _upto(chunk, "__week", "__day", "__order")
+        found = {}
+        for h in horizons:
+            come = F.coalesce(own, f"__c.in_{h}", F.when(F.col("__kind") == kinds[h], -1), F.lit(0))
+            found[f"transactions_last_{h}"] = F.sum(come).over(now) - 1
+            done.append(f"transactions_last_{h}")
+        out = out.withColumns(found)
+    if amounts:
+        out = out.withColumns(_named("__7d", _parts(_amount(OWN), _upto(week, "__day", "__order"), _SPREAD)))
+        out = out.withColumns(_named("__24h", _parts(_amount(OWN), _upto(day, "__order"), _MEAN)))
+    if as_of:
+        out = out.withColumns(_named("__h", _history(chunk)))
+        out = out.withColumns(_history_columns()).drop(*[c for c in out.columns if c.startswith("__h_")])
+        done += _HISTORY
+    needed = [OWN, CARRIED] if frequency else [OWN]
+    if amounts:
+        out = out.filter(F.col("__kind").isin([*needed, kinds["24h"], kinds["7d"]]))
+        out = out.withColumns({"__order": -F.col("__order"), "__day": -F.col("__day")})
+        out = out.withColumns(_named("__24h_rest", _parts(_amount(kinds["24h"]), _upto(day, "__order"), _MEAN)))
+        out = out.withColumns(_named("__7d_rest", _parts(_amount(kinds["7d"]), _upto(week, "__day", "__order"), _SPREAD)))
+        out = out.withColumns(_amount_columns())
+        done += _AMOUNT_COLUMNS
+    base = ["user_id", "__chunk", "__kind", "__sec", "__amount", *(["__row"] if packed else []), *[c for c in read if c != "user_id"]]
     if frequency:
-        rows = _frequencies(rows)
-    if parts["horizons"] or amounts or as_of or recency:
-        rows = _with_seconds(rows, **parts)
-    return _finish(rows, parts).select(*wanted)
+        out = out.filter(F.col("__kind").isin(needed)).select(*base, *done, F.when(F.col("__kind") == OWN, F.col("__sec")).alias("__second"), "__c")
+        for column, name in _FREQUENCY.items():
+            # Carried rows have no second and come first.
+            visits = F.sum(F.coalesce(own, f"__c.{name}", F.lit(0))).over(_upto(Window.partitionBy("user_id", "__chunk", column), "__second"))
+            out = out.withColumn(name, visits)
+        done += _FREQUENCY.values()
+    out = out.filter(F.col("__kind") == OWN).select(*read, *[F.col(f"__row.`{c}`").alias(c) for c in packed], "__sec", "__amount", *done)
+    return _finish(out, amounts, recency).select(*wanted)
 
 
 def _added(horizons, amounts, recency, frequency, as_of) -> list[str]:
     names = [f"transactions_last_{h}" for h in horizons]
     if amounts:
-        names += [*_AMOUNT_COLUMNS.values(), "amount_zscore"]
+        names += [*_AMOUNT_COLUMNS, "amount_zscore"]
     if recency:
         names.append("minutes_since_last")
     if frequency:
-        names += _FREQUENCY
+        names += _FREQUENCY.values()
     if as_of:
         names += _HISTORY
     return names
 
 
-def _finish(df: DataFrame, parts: dict) -> DataFrame:
-    """Columns that are plain expressions over the window results."""
-    out = {}
-    if parts["amounts"]:
-        out["amount_zscore"] = X.zscore(
-            F.col("amount").cast("double"), F.col("user_avg_amount_7d"), F.col("user_std_amount_7d")
-        )
-    if parts["recency"]:
-        gap = (X.epoch_second(F.col("ts")) - F.col("__prev")).cast("double") / 60
-        out["minutes_since_last"] = F.coalesce(gap, F.lit(fixed.FIRST_TRANSACTION_MINUTES))
-    return df.withColumns(out) if out else df
+def _upto(block: WindowSpec, *order: str) -> WindowSpec:
+    """Up to and with the row's second."""
+    return block.orderBy(*order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def _frequencies(rows: DataFrame) -> DataFrame:
-    """Running counts per user and category, and per user and hour, up to and with the row's second."""
-    day = F.floor(F.col("__sec") / DAY)
-    for column, out in (("merchant_category", "user_merchant_frequency"), ("hour_of_day", "user_hour_frequency")):
-        keys = ["user_id", column]
-        visits = rows.groupBy(*keys, "__sec").agg(F.count("*").alias("__visits"))
-        counted = running(visits, keys=keys, order="__sec", block=day, values={out: ("sum", "__visits")})
-        rows = join_null_safe(rows, counted.drop("__visits"), [*keys, "__sec"])
-    return rows
-
-
-_MOMENTS = ("n", "na", "mean", "m2", "lo", "hi", "nan", "up", "down")
-_CARRIED = ("n", "na", "s1", "s2", "lo", "hi", "nan", "up", "down", "last")
-
-
-def _seconds(rows: DataFrame) -> DataFrame:
-    """One row per user and second: counts, mean and squared deviations of the finite amounts."""
-    amount = F.col("amount").cast("double")
-    infinite = F.abs(amount) == F.lit(float("inf"))
-    finite = F.when(~F.isnan(amount) & ~infinite, amount)
-    return rows.groupBy("user_id", "__sec").agg(
-        F.count("*").alias("n"),
-        F.count(finite).alias("na"),
-        F.avg(finite).alias("mean"),
-        (F.var_pop(finite) * F.count(finite)).alias("m2"),
-        F.min(finite).alias("lo"),
-        F.max(finite).alias("hi"),
-        F.count_if(F.isnan(amount)).alias("nan"),
-        F.count_if(infinite & (amount > 0)).alias("up"),
-        F.count_if(infinite & (amount < 0)).alias("down"),
-        F.min(F.struct("ts", "transaction_id")).alias("first_row"),
-    )
+def _times(spans: Mapping[str, int]) -> Column:
+    """The row itself, and its copies at the seconds when it is as old as a horizon."""
+    late = [(OWN, 0), *enumerate(spans.values(), 1)]
+    return F.explode(F.array(*[F.struct(F.lit(kind).alias("kind"), (F.col("__sec") + span).alias("at")) for kind, span in late]))
 
 
-def _carries(seconds: DataFrame, chunk: Column) -> DataFrame:
-    """What precedes each chunk of a user; a user has one row per chunk of time here."""
-    na, mean = F.col("na"), F.coalesce("mean", F.lit(0.0))
-    totals = seconds.groupBy("user_id", chunk.alias("__chunk")).agg(
-        *[F.sum(c).alias(c) for c in ("n", "na", "nan", "up", "down")],
-        F.sum(na * mean).alias("s1"),
-        F.sum(F.coalesce("m2", F.lit(0.0)) + na * mean * mean).alias("s2"),
-        F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("__sec").alias("last"),
+def _copies(rows: DataFrame, spans: Mapping[str, int], read: list[str], packed: list[str]) -> DataFrame:
+    """Own rows, and copies that carry the amount alone."""
+    timed = rows.select("*", _times(spans).alias("__time"))
+    own = F.col("__time.kind") == OWN
+    kept = [F.col(c) if c == "user_id" else F.when(own, F.col(c)).alias(c) for c in (*read, "__sec")]
+    if packed:
+        kept.append(F.when(own, F.struct(*packed)).alias("__row"))
+    at = F.col("__time.at")
+    return timed.select(
+        *kept, F.col("__time.kind").alias("__kind"), F.floor(at / CHUNK).alias("__chunk"), F.floor(at / WEEK).alias("__week"), F.floor(at / DAY).alias("__day"),
+        # A copy stands just after its second: rows of that second are still with it.
+        F.when(own, 2 * at).otherwise(2 * at + 1).alias("__order"), F.col("amount").cast("double").alias("__amount"),
     )
-    before = Window.partitionBy("user_id").orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    how = {"lo": F.min, "hi": F.max, "last": F.max}
-    return totals.select("user_id", "__chunk", *[how.get(c, F.sum)(c).over(before).alias(c) for c in _CARRIED])
-
-
-def _with_seconds(rows: DataFrame, horizons, amounts, recency, frequency, as_of) -> DataFrame:
-    """Add windows, history and the time before, computed per user and second."""
-    spans = {h: fixed.HORIZONS[h] for h in horizons}
-    reach = max([0, *spans.values(), *([fixed.HORIZONS["7d"]] if amounts else [])])
-    seconds = _seconds(rows)
-    chunk = F.floor(F.col("__sec") / CHUNK_SECONDS)
-    copies = seconds.withColumn("__chunk", F.explode(F.sequence(chunk, F.floor((F.col("__sec") + reach) / CHUNK_SECONDS))))
-    as_double = {c: F.col(c).cast("double") for c in {*_MOMENTS, *_CARRIED} - {"last"}}
-
-    def shaped(df: DataFrame, sec: Column, names: Sequence[str]) -> DataFrame:
-        columns = [as_double[c].alias(c) if c in names else F.lit(None).cast("double").alias(c) for c in _FIELDS]
-        last = F.col("last") if "last" in names else F.lit(None).cast("long")
-        return df.select("user_id", "__chunk", sec.alias("__sec"), *columns, last.alias("last"))
-
-    dealt = shaped(copies, F.col("__sec"), _MOMENTS)
-    if as_of or recency:
-        # A carried row has no second, so it comes first in its chunk.
-        dealt = dealt.union(shaped(_carries(seconds, chunk), F.lit(None).cast("long"), _CARRIED))
-    names = [f"transactions_last_{h}" for h in horizons]
-    kinds = {c: "bigint" for c in names}
-    if amounts:
-        kinds |= {c: "double" for c in _AMOUNT_COLUMNS.values()}
-    if as_of:
-        kinds |= dict(zip(_HISTORY, ("bigint", "double", "double"), strict=True))
-    if recency:
-        kinds["__before"] = "bigint"
-    user_type = rows.schema["user_id"].dataType.simpleString()
-    schema = ", ".join([f"user_id {user_type}", "__sec bigint", *(f"{c} {t}" for c, t in kinds.items())])
-    ordered = dealt.repartition("user_id", "__chunk").sortWithinPartitions("user_id", "__chunk", F.asc_nulls_first("__sec"))
-    found = ordered.mapInArrow(_roller(spans, amounts, as_of, recency, kinds), schema)
-    if recency:
-        found = join_null_safe(found, seconds.select("user_id", "__sec", "first_row"), ["user_id", "__sec"])
-    joined = join_null_safe(rows, found, ["user_id", "__sec"])
-    if recency:
-        first = F.col("first_row.ts").eqNullSafe(F.col("ts")) & F.col("first_row.transaction_id").eqNullSafe(F.col("transaction_id"))
-        before = F.when(first, F.col("__before")).otherwise(F.col("__sec"))
-        joined = joined.withColumn("__prev", F.when(before != NO_TIME, before)).drop("first_row", "__before")
-    return joined
-
-
-_FIELDS = tuple(dict.fromkeys((*_MOMENTS, *(c for c in _CARRIED if c != "last"))))
-
-
-def _roller(spans: dict[str, int], amounts: bool, as_of: bool, recency: bool, kinds: dict[str, str]):
-    """Task over rows sorted by user, chunk and second; a chunk is computed once all its rows are there."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            table = pa.concat_tables([rest, table]) if rest is not None else table
-            cuts = _group_cuts(table)
-            whole, rest = table.slice(0, cuts[-1]), table.slice(cuts[-1])
-            if whole.num_rows:
-                yield _roll_groups(whole, cuts, spans, amounts, as_of, recency, kinds)
-        if rest is not None and rest.num_rows:
-            yield _roll_groups(rest, [0], spans, amounts, as_of, recency, kinds)
-
-    return run
-
-
-def _group_cuts(table: pa.Table) -> list[int]:
-    """Where chunks begin; the last one may go on."""
-    users = table.column("user_id").combine_chunks().dictionary_encode()
-    users = users.combine_chunks() if isinstance(users, pa.ChunkedArray) else users
-    code = users.indices.fill_null(-1).to_numpy(zero_copy_only=False)
-    chunk = table.column("__chunk").to_numpy()
-    return [0, *(np.flatnonzero((code[1:] != code[:-1]) | (chunk[1:] != chunk[:-1])) + 1).tolist()]
-
-
-def _roll_groups(table, cuts, spans, amounts, as_of, recency, kinds) -> pa.RecordBatch:
-    sec = table.column("__sec").fill_null(0).to_numpy()
-    carried = table.column("__sec").is_null().to_numpy()
-    chunk = table.column("__chunk").to_numpy()
-    last = table.column("last").fill_null(NO_TIME).to_numpy()
-    fields = {c: table.column(c).to_numpy() for c in _FIELDS}  # null as NaN
-    ends = [*cuts[1:], len(sec)] if cuts[-1] < len(sec) else cuts[1:]
-    own_rows, parts = [np.zeros(0, np.int64)], []
-    for start, end in zip(cuts, ends, strict=False):
-        body = start + int(carried[start])
-        if body == end:
-            continue
-        group = {c: v[body:end] for c, v in fields.items()}
-        carry = {c: v[start] for c, v in fields.items()} if body > start else None
-        own = int(np.searchsorted(sec[body:end], chunk[start] * CHUNK_SECONDS))
-        if own < end - body:
-            own_rows.append(np.arange(body + own, end))
-            parts.append(_roll(sec[body:end], group, own, carry, int(last[start]), spans, amounts, as_of, recency))
-    rows = np.concatenate(own_rows)
-    columns = [table.column("user_id").take(pa.array(rows)).combine_chunks(), pa.array(sec[rows])]
-    for name, kind in kinds.items():
-        values = np.concatenate([p[name][0] for p in parts]) if parts else np.zeros(0)
-        empty = np.concatenate([p[name][1] for p in parts]) if parts else np.zeros(0, bool)
-        columns.append(pa.array(values, pa.int64() if kind == "bigint" else pa.float64(), mask=empty, from_pandas=False))
-    columns[0] = columns[0].combine_chunks() if isinstance(columns[0], pa.ChunkedArray) else columns[0]
-    return pa.RecordBatch.from_arrays(columns, names=["user_id", "__sec", *kinds])
-
-
-def _upto(values: np.ndarray, before: float = 0.0) -> np.ndarray:
-    return np.concatenate(([before], before + np.cumsum(values)))
-
-
-def _extreme(values: np.ndarray, start: np.ndarray, fold) -> np.ndarray:
-    """fold over values[start[i]..i] for every i, from tables over spans of powers of two."""
-    n = len(values)
-    length = np.arange(n) + 1 - start
-    level = np.frexp(length)[1] - 1
-    out, table = np.empty(n), values
-    for k in range(int(level.max()) + 1):
-        at = np.flatnonzero(level == k)
-        out[at] = fold(table[start[at]], table[at + 1 - (1 << k)])
-        if len(table) > 1 << k:
-            table = fold(table[: -(1 << k)], table[1 << k :])
-    return out
-
-
-def _statistics(na, s1, s2, nan, up, down, lo, hi, center):
-    """(mean, deviation, largest value), each with its mask of nulls, from window sums around a center."""
-    total = na + nan + up + down
-    with np.errstate(invalid="ignore", divide="ignore"):
-        mean = np.where(na > 0, center + s1 / na, 0.0)
-        std = np.sqrt(np.maximum((s2 - s1 * s1 / na) / (na - 1), 0.0))
-    std = np.where(lo == hi, 0.0, std)
-    odd = nan + up + down > 0
-    mixed = (nan > 0) | ((up > 0) & (down > 0))
-    mean = np.where(odd, np.where(mixed, np.nan, np.where(up > 0, np.inf, -np.inf)), mean)
-    std = np.where(odd, np.nan, std)
-    largest = np.where(nan > 0, np.nan, np.where(up > 0, np.inf, np.where(na > 0, hi, -np.inf)))
-    return (mean, total == 0), (std, total < 2), (largest, total == 0)
-
-
-def _roll(sec, group, own, carry, last, spans, amounts, as_of, recency) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    m = len(sec)
-    none = np.zeros(m - own, bool)
-    n, na = group["n"], group["na"]
-    mean, m2 = np.nan_to_num(group["mean"]), np.nan_to_num(group["m2"])
-    low, high = np.where(na > 0, group["lo"], np.inf), np.where(na > 0, group["hi"], -np.inf)
+
+
+def _amount(kind: int) -> Column:
+    return F.when(F.col("__kind") == kind, F.col("__amount"))
+
+
+_MEAN, _SPREAD = ("n", "mean"), ("n", "mean", "var", "low", "high")
+
+
+def _named(prefix: str, columns: Mapping[str, Column]) -> dict[str, Column]:
+    return {f"{prefix}_{k}": v for k, v in columns.items()}
+
+
+def _parts(amount: Column, window: WindowSpec, names: Iterable[str]) -> dict[str, Column]:
+    made = {"n": F.count, "mean": F.avg, "var": F.var_pop, "low": F.min, "high": F.max}
+    return {k: made[k](amount).over(window) for k in names}
+
+
+def _merged(n: Column, mean: Column, m2: Column, k: Column, other: Column, m2_other: Column) -> tuple[Column, Column, Column]:
+    """Count, mean and squared deviations of two parts together; an empty part has a NULL mean."""
+    count = n + k
+    average = (F.coalesce(n * mean, F.lit(0.0)) + F.coalesce(k * other, F.lit(0.0))) / F.when(count > 0, count)
+    between = F.coalesce((mean - other) * (mean - other) * n * k / F.when(count > 0, count), F.lit(0.0))
+    return count, average, F.coalesce(m2, F.lit(0.0)) + F.coalesce(m2_other, F.lit(0.0)) + between
+
+
+def _deviation(n: Column, m2: Column, low: Column, high: Column) -> Column:
+    """Sample deviation; exactly 0 for equal values."""
+    same = (low == high) & ~F.isnan(high) & (F.abs(high) != F.lit(float("inf")))
+    return F.when(n > 1, F.when(same, F.lit(0.0)).otherwise(F.sqrt(F.greatest(m2, F.lit(0.0)) / F.when(n > 1, n - 1))))
+
+
+def _history(chunk: WindowSpec) -> dict[str, Column]:
+    """Running parts of the chunk before the row's second, and what the chunk's carried row says."""
+    past = chunk.orderBy("__order").rangeBetween(Window.unboundedPreceding, -1)
+    out = _parts(_amount(OWN), past, _SPREAD)
+    out["rows"] = F.coalesce(F.sum(F.when(F.col("__kind") == OWN, 1)).over(past), F.lit(0))
+    return out | {f"c_{c}": F.max(f"__c.{c}").over(past) for c in ("rows", "n", "s1", "s2", "low", "high")}
+
+
+def _history_columns() -> dict[str, Column]:
+    def h(name: str) -> Column:
+        return F.col(f"__h_{name}")
+
+    carried = F.coalesce(h("c_n"), F.lit(0))
+    before = h("c_s1") / F.when(carried > 0, carried)
+    m2 = F.greatest(h("c_s2") - h("c_s1") * before, F.lit(0.0))
+    n, mean, m2 = _merged(h("n"), h("mean"), h("n") * h("var"), carried, before, m2)
+    std = _deviation(n, m2, F.least(h("low"), h("c_low")), F.greatest(h("high"), h("c_high")))
+    return dict(zip(_HISTORY, (h("rows") + F.coalesce(h("c_rows"), F.lit(0)), mean, std), strict=True))
+
+
+def _amount_columns() -> dict[str, Column]:
+    def c(name: str) -> Column:
+        return F.col(f"__{name}")
+
+    day = _merged(c("24h_n"), c("24h_mean"), F.lit(0.0), c("24h_rest_n"), c("24h_rest_mean"), F.lit(0.0))
+    n, mean, m2 = _merged(c("7d_n"), c("7d_mean"), c("7d_n") * c("7d_var"), c("7d_rest_n"), c("7d_rest_mean"), c("7d_rest_n") * c("7d_rest_var"))
+    largest = F.greatest("__7d_high", "__7d_rest_high")
+    std = _deviation(n, m2, F.least("__7d_low", "__7d_rest_low"), largest)
+    return dict(zip(_AMOUNT_COLUMNS, (day[1], mean, std, largest), strict=True))
+
+
+def _finish(df: DataFrame, amounts: bool, recency: bool) -> DataFrame:
+    """Columns that are plain expressions over the window results."""
     out = {}
-    for h, span in spans.items():
-        start = np.searchsorted(sec, sec - span)
-        total = _upto(n)
-        out[f"transactions_last_{h}"] = (np.rint(total[1:] - total[start] - 1).astype(np.int64)[own:], none)
     if amounts:
-        center = float((na * mean).sum() / na.sum()) if na.sum() else 0.0
-        away = np.where(na > 0, mean - center, 0.0)
-        sums = {"na": na, "s1": na * away, "s2": m2 + na * away * away, **{c: group[c] for c in ("nan", "up", "down")}}
-        for h in ("24h", "7d"):
-            start = np.searchsorted(sec, sec - fixed.HORIZONS[h])
-            window = {c: (t := _upto(v))[1:] - t[start] for c, v in sums.items()}
-            lo, hi = _extreme(low, start, np.minimum), _extreme(high, start, np.maximum)
-            average, deviation, largest = _statistics(**window, lo=lo, hi=hi, center=center)
-            out[_AMOUNT_COLUMNS[f"avg_{h}"]] = tuple(x[own:] for x in average)
-        out[_AMOUNT_COLUMNS["std_7d"]] = tuple(x[own:] for x in deviation)
-        out[_AMOUNT_COLUMNS["max_7d"]] = tuple(x[own:] for x in largest)
-    if as_of:
-        def before(name: str, values: np.ndarray) -> np.ndarray:
-            return _upto(values[own:], 0.0 if carry is None or np.isnan(carry[name]) else carry[name])[:-1]
-
-        def edge(name: str, values: np.ndarray, fold, start: float) -> np.ndarray:
-            first = start if carry is None or np.isnan(carry[name]) else carry[name]
-            return fold.accumulate(np.concatenate(([first], values[own:])))[:-1]
-
-        window = {"na": before("na", na), "s1": before("s1", na * mean), "s2": before("s2", m2 + na * mean * mean)}
-        window |= {c: before(c, group[c]) for c in ("nan", "up", "down")}
-        average, deviation, _ = _statistics(**window, lo=edge("lo", low, np.minimum, np.inf), hi=edge("hi", high, np.maximum, -np.inf), center=0.0)
-        out[_HISTORY[0]] = (np.rint(before("n", n)).astype(np.int64), none)
-        out[_HISTORY[1]], out[_HISTORY[2]] = average, deviation
+        out["amount_zscore"] = X.zscore(F.col("__amount"), F.col("user_avg_amount_7d"), F.col("user_std_amount_7d"))
     if recency:
-        earlier = np.concatenate(([last], sec[own:-1]))
-        out["__before"] = (earlier, earlier == NO_TIME)
-    return out
+        gap = (F.col("__sec") - F.when(F.col("__prev") != NO_TIME, F.col("__prev"))).cast("double") / 60
+        out["minutes_since_last"] = F.coalesce(F.when(F.col("ts").isNotNull(), gap), F.lit(fixed.FIRST_TRANSACTION_MINUTES))
+    return df.withColumns(out) if out else df
+
+
+def _carried(rows: DataFrame, spans: Mapping[str, int], recency: bool, frequency: bool, as_of: bool) -> DataFrame:
+    """What precedes each chunk of a user, as rows that stand before the chunk's first second."""
+    at = F.col("__time.at")
+    groups = list(_FREQUENCY) if frequency else []
+    own = F.col("__time.kind") == OWN
+    amount = F.when(own, F.col("amount").cast("double"))
+    sums = {"n": F.count("*"), "last": F.max(F.when(own, F.col("__sec")))}
+    if as_of:
+        mean, count = F.avg(amount), F.count(amount)
+        sums |= {"na": count, "s1": F.sum(amount), "s2": count * (F.var_pop(amount) + mean * mean), "low": F.min(amount), "high": F.max(amount)}
+    timed = rows.select("user_id", "amount", "__sec", *groups, _times(spans).alias("__time"))
+    keys = [F.when(own, F.col(c)).alias(c) for c in groups]
+    small = timed.groupBy("user_id", F.floor(at / CHUNK).alias("__chunk"), F.col("__time.kind").alias("kind"), *keys)
+    # One row per user, chunk, category and hour from here on.
+    small = small.agg(*[v.alias(k) for k, v in sums.items()]).repartition("user_id")
+    by_chunk = Window.partitionBy("user_id").orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    fields: list[str] = [*(f"in_{h}" for h in spans), *(["last"] if recency else []), *(("rows", "n", "s1", "s2", "low", "high") if as_of else ())]
+    parts = []
+    if fields:
+        came = F.coalesce(F.sum(F.when(F.col("kind") == OWN, F.col("n"))), F.lit(0))
+        left = {h: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("n"))), F.lit(0)) for kind, h in enumerate(spans, 1)}
+        sums_of = {"rows": came, "last": F.max("last"), **{f"in_{h}": came - v for h, v in left.items()}}
+        if as_of:
+            sums_of |= {"n": F.sum("na"), "s1": F.sum("s1"), "s2": F.sum("s2"), "low": F.min("low"), "high": F.max("high")}
+        totals = small.groupBy("user_id", "__chunk").agg(*[v.alias(k) for k, v in sums_of.items()])
+        how = {"last": F.max, "low": F.min, "high": F.max}
+        before = {c: how.get(c, F.sum)(c).over(by_chunk) for c in fields}
+        parts.append(totals.select("user_id", "__chunk", F.col("rows").alias("came"), *[v.alias(k) for k, v in before.items()]).filter("came > 0"))
+    for column in groups:
+        name = _FREQUENCY[column]
+        visits = small.filter(F.col("kind") == OWN).groupBy("user_id", column, "__chunk").agg(F.sum("n").alias("n"))
+        by_key = Window.partitionBy("user_id", column).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+        # The first chunk of a key has nothing to carry.
+        parts.append(visits.select("user_id", "__chunk", column, F.sum("n").over(by_key).alias(name)).filter(F.col(name).isNotNull()))
+        fields.append(name)
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    first = F.col("__chunk") * CHUNK
+    added = {"__kind": F.lit(CARRIED), "__week": F.floor(first / WEEK) - 1, "__day": F.floor(first / DAY) - 1, "__order": 2 * first - 1}
+    return out.select("user_id", "__chunk", *groups, F.struct(*fields).alias("__c")).withColumns(added)
 
 
 def behaviour_features(

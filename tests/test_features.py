@@ -171,7 +171,7 @@ def test_no_window_over_a_whole_user(spark, sf):
     plan = plan_of(behaviour.build_ml_features(views.transactions(spark, sf), velocity=10))
     for line in plan.splitlines():
         if "windowspecdefinition(user_id" in line:
-            assert "__block" in line or "__chunk" in line
+            assert "__chunk" in line
 
 
 def test_filter_and_columns_reach_the_scan(spark, sf):
