@@ -42,6 +42,20 @@ def with_blocks(docs: DataFrame, *columns: str, rows: int = BLOCK_ROWS) -> DataF
         return materialise(docs.select(*names), "documents").select(*names, block)
 
 
+ROW = "__row"
+
+
+def placed(docs: DataFrame) -> DataFrame:
+    """All columns as ``doc``, plus block and row number, which together name a row; a frame that is no file scan is written first."""
+    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    block = F.xxhash64("_metadata.file_path", F.expr(f"_metadata.row_index div {BLOCK_ROWS}")).alias(BLOCK)
+    row = F.col("_metadata.row_index").alias(ROW)
+    try:
+        return docs.select(doc, block, row)
+    except AnalysisException:
+        return materialise(docs, "documents").select(doc, block, row)
+
+
 def write_side(df: DataFrame, purpose: str) -> str:
     """Write rows by block; the folder is read by ``read_side`` inside tasks."""
     path = scratch_dir(df.sparkSession, purpose)

@@ -3,7 +3,6 @@
 import base64
 import collections
 import hashlib
-import math
 
 import corpus_pipeline
 import numpy as np
@@ -11,8 +10,7 @@ import public_tokenizers as public
 import pytest
 import tiktoken
 from llm.fixtures import empty, frame, rows
-from llm.test_operators import _simhash
-from pyspark.sql import functions as F
+from llm.test_resemblance import _components, _set
 
 from riskloom.llm import mixing, perplexity, repeats
 from riskloom.session import materialise
@@ -46,22 +44,12 @@ def test_classifier(spark, sf, kept):
 
 
 def test_near_copies(kept):
-    docs = [(r["doc_id"], _simhash(r["text"])) for r in kept[1].collect()]
-    fps = np.array([f for _, f in docs], np.uint64)
-    near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= corpus_pipeline.STAGE_RADIUS
-    label = np.arange(len(docs))
-    for _ in range(len(docs)):
-        new = np.array([label[near[i]].min() for i in range(len(docs))])
-        if (new == label).all():
-            break
-        label = new
-    first = {}
-    for (i, _), k in zip(docs, label.tolist()):
-        first[k] = min(first.get(k, math.inf), i)
-    expected = set(first.values())
-    assert {r["doc_id"] for r in kept[2].collect()} == expected
-    assert table(kept[2]) == table(kept[1].filter(F.col("doc_id").isin(list(expected))))
-    assert kept[2].select("text").distinct().count() == kept[2].count()
+    """Brute force of the stage's rule on what the classifier kept: five words, Jaccard 0.8 or more, one row of each group."""
+    docs = sorted(kept[1].collect(), key=lambda r: r["doc_id"])
+    label, pairs = _components([r["text"] for r in docs])
+    assert pairs
+    stay = {docs[i]["doc_id"] for i in label}
+    assert table(kept[2]) == collections.Counter(tuple(r) for r in docs if r["doc_id"] in stay)
 
 
 def test_repeats(kept):
@@ -119,6 +107,13 @@ def test_odd_rows(spark, sf):
             else:
                 assert out.schema.simpleString() == data.schema.simpleString(), name
                 data = out
-    unjudged = corpus_pipeline.near_copies(spark, frame(spark), sf).collect()
-    assert sum(r["doc_id"] is None for r in unjudged) == sum(r[0] is None for r in rows())
-    assert len([r for r in unjudged if r["doc_id"] == 11]) <= 1
+    # Rows without id and rows with one id are judged by their texts.
+    odd = rows()
+    got = collections.Counter((r["doc_id"], r["text"]) for r in corpus_pipeline.near_copies(spark, frame(spark), sf).collect())
+    label, _ = _components([r[1] for r in odd])
+    assert sum(got.values()) == len(set(label))
+    for group in set(label):
+        members = [r[:2] for r, k in zip(odd, label) if k == group]
+        least = min((r[0] for r in members if r[0] is not None), default=None)
+        assert sum(got[m] for m in set(members)) == 1 and any(got[m] for m in members if m[0] == least)
+    assert got[12, odd[12][1]] == got[12, odd[13][1]] == 1 and odd[12][1] != odd[13][1] and _set(odd[12][1])
