@@ -81,21 +81,19 @@ def matrix(
 
 
 def scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Zero mean, unit population deviation; constant columns only lose their mean.
+    """Zero mean, unit population deviation; constant columns are 0.
 
-    All statistics come from one aggregate, used as a scalar subquery.
+    All statistics come from one aggregate, used as a scalar subquery. A column is constant when its least and
+    largest value are equal: its deviation may be rounding noise that depends on the partitioning.
     """
-    stats = df.agg(
-        F.struct(
-            *[F.avg(c).alias(f"m_{c}") for c in columns], *[F.stddev_pop(c).alias(f"s_{c}") for c in columns]
-        ).alias("s")
-    ).scalar()
-    return df.withColumns(
-        {
-            c: (F.col(c) - stats[f"m_{c}"]) / F.when(stats[f"s_{c}"] > 0, stats[f"s_{c}"]).otherwise(1.0)
-            for c in columns
-        }
-    )
+    made = {"m": F.avg, "s": F.stddev_pop, "lo": F.min, "hi": F.max}
+    stats = df.agg(F.struct(*[f(c).alias(f"{k}_{c}") for k, f in made.items() for c in columns]).alias("s")).scalar()
+
+    def scaled(c: str) -> Column:
+        varies = (F.col(c) - stats[f"m_{c}"]) / stats[f"s_{c}"]
+        return F.when(stats[f"hi_{c}"] > stats[f"lo_{c}"], varies).otherwise((F.col(c) - stats[f"lo_{c}"]).cast("double"))
+
+    return df.withColumns({c: scaled(c) for c in columns})
 
 
 # Ranks by hash are found through this many hash ranges; only the range that contains

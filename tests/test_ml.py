@@ -160,3 +160,12 @@ def test_search_draws_are_reproducible():
     one = [{p.name: v for p, v in d.items()} for d in tune.draw_params(tune.ResampledTrees(), tune.GRID, 5, 42)]
     two = [{p.name: v for p, v in d.items()} for d in tune.draw_params(tune.ResampledTrees(), tune.GRID, 5, 42)]
     assert one == two and len({str(d) for d in one}) > 1
+
+
+def test_constant_columns_scale_to_zero(spark):
+    from riskloom.ml import prep
+
+    rows = spark.range(100_000, numPartitions=8).selectExpr("0.1D AS a", "0.2D AS b", "CAST(id AS double) AS c", "CAST(NULL AS double) AS d")
+    got = prep.scale(rows, ["a", "b", "c", "d"]).agg(F.min("a"), F.max("a"), F.min("b"), F.max("b"), F.avg("c"), F.stddev_pop("c"), F.count("d")).first()
+    assert tuple(got)[:4] == (0.0, 0.0, 0.0, 0.0) and got[6] == 0
+    assert abs(got[4]) < 1e-9 and abs(got[5] - 1) < 1e-9
