@@ -90,10 +90,11 @@ def scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     stats = df.agg(F.struct(*[f(c).alias(f"{k}_{c}") for k, f in made.items() for c in columns]).alias("s")).scalar()
 
     def scaled(c: str) -> Column:
-        varies = (F.col(c) - stats[f"m_{c}"]) / stats[f"s_{c}"]
-        return F.when(stats[f"hi_{c}"] > stats[f"lo_{c}"], varies).otherwise((F.col(c) - stats[f"lo_{c}"]).cast("double"))
+        m, s, lo, hi = (F.col("__stats")[f"{k}_{c}"] for k in made)
+        return F.when(hi > lo, (F.col(c) - m) / s).otherwise((F.col(c) - lo).cast("double"))
 
-    return df.withColumns({c: scaled(c) for c in columns})
+    # One reference to the subquery: Spark plans it anew for each.
+    return df.withColumn("__stats", stats).withColumns({c: scaled(c) for c in columns}).drop("__stats")
 
 
 # Ranks by hash are found through this many hash ranges; only the range that contains
