@@ -15,12 +15,6 @@ from riskloom.functions import fixed
 from riskloom.functions.expressions import ratio
 from riskloom.operators.skew import running
 
-# Ranking blocks: 4096 per power of two of the score, floored at 2^-30. Blocks are a
-# fixed function of the score, so every task and every retry agrees on them, and at
-# most 30 * 4096 + 1 block totals exist.
-_BLOCKS = 4096
-_FLOOR = -30 * _BLOCKS
-
 
 def _guarded(numerator: Column, denominator: Column) -> Column:
     return F.coalesce(ratio(numerator, denominator), F.lit(0.0))
@@ -103,10 +97,6 @@ def class_report(predictions: DataFrame) -> DataFrame:
     )
 
 
-def _block(score: Column) -> Column:
-    return F.greatest(F.coalesce(F.floor(F.log2(score) * _BLOCKS), F.lit(_FLOOR)), F.lit(_FLOOR))
-
-
 def _ranking(tally: DataFrame, by: Sequence[str]) -> DataFrame:
     """ROC-AUC and average precision from one pass of running counts over ascending scores."""
     keys = list(by)
@@ -114,7 +104,7 @@ def _ranking(tally: DataFrame, by: Sequence[str]) -> DataFrame:
         tally, keys = tally.withColumn("__all", F.lit(1)), ["__all"]
     per_score = tally.groupBy(*keys, "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     ranked = running(
-        per_score, keys=keys, order="score", block=_block(F.col("score")),
+        per_score, keys=keys, order="score",
         values={"pos_below": ("sum", "pos"), "neg_below": ("sum", "neg")}, inclusive=False,
     )
     totals = tally.groupBy(*keys).agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import fixed
 from riskloom.functions.expressions import hash32, scrubbed
+from riskloom.operators.skew import dense_codes
 
 
 @dataclass(frozen=True)
@@ -32,12 +33,10 @@ BEHAVIOUR_SPEC = MatrixSpec(fixed.MATRIX2_NUMERIC, fixed.MATRIX2_BOOLEAN, fixed.
 def category_codes(df: DataFrame, column: str) -> DataFrame:
     """Alphabetical codes of a category: one row per distinct value, NULL read as 'unknown'.
 
-    Ordering runs over the distinct values only, never over the rows.
+    Ordering runs over the distinct values only, never over the rows, and in no task over all of them.
     """
     value = F.coalesce(F.col(column), F.lit("unknown"))
-    return df.select(value.alias(column)).distinct().withColumn(
-        f"{column}_code", F.row_number().over(Window.orderBy(column)) - 1
-    )
+    return dense_codes(df.select(value.alias(column)), column, f"{column}_code")
 
 
 def encode_category(df: DataFrame, column: str, codes: DataFrame | None = None) -> DataFrame:

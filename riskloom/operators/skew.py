@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.session import materialise
+
 
 def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Left join in which NULL equals NULL; the left side's key columns stay."""
@@ -20,19 +22,27 @@ def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> Data
     return left.join(renamed, same, "left").drop(*[f"__r_{c}" for c in on])
 
 
+def by_range(df: DataFrame, *columns: str, out: str = "__block") -> DataFrame:
+    """The rows, written, with the number of their range: it grows with the columns.
+
+    Spark's range partitioner draws the bounds from a sample of the rows, so values crowded into a narrow interval are split like
+    any others. Only rows that are equal in all columns can't be split: fold them first. NULL comes first.
+    """
+    return materialise(df.repartitionByRange(*columns).withColumn(out, F.spark_partition_id()), "ranges")
+
+
 def running(
     df: DataFrame,
     *,
     keys: Sequence[str],
     order: str,
-    block: Column,
     values: Mapping[str, tuple[str, str]],
     inclusive: bool = True,
 ) -> DataFrame:
     """Exact running aggregates without pulling a key into one task.
 
-    ``values`` maps an output name to ``(sum|min|max, column)``. ``block`` must grow with
-    ``order``. Blocks are scanned in parallel; only one row per block is carried over.
+    ``values`` maps an output name to ``(sum|min|max, column)``. Rows are dealt by sampled ranges of keys and
+    ``order`` and each range is scanned in its task; only one row per key and range is carried over.
     """
     fold = {"sum": F.sum, "min": F.min, "max": F.max}
     in_block = Window.partitionBy(*keys, "__block").orderBy(order)
@@ -40,7 +50,7 @@ def running(
     frame = in_block.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     earlier = over_blocks.rowsBetween(Window.unboundedPreceding, -1)
 
-    blocked = df.withColumn("__block", block)
+    blocked = by_range(df, *keys, order)
     totals = blocked.groupBy(*keys, "__block").agg(
         *[fold[how](column).alias(f"__t_{name}") for name, (how, column) in values.items()]
     )
@@ -64,24 +74,27 @@ def running(
     )
 
 
-def magnitude_block(value: Column, per_octave: int = 64) -> Column:
-    """A block number that grows with the value: ``per_octave`` blocks per power of two, by sign.
-
-    A fixed function of the value, so every task and every retry agrees on it.
-    """
-    offset = 1100 * per_octave
-    size = F.floor(F.log2(F.abs(value)) * per_octave) + offset
-    return F.when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0))
-
-
 def exact_quantile(df: DataFrame, column: str, q: float = 0.5) -> Column:
     """The smallest value that at least a share ``q`` of the rows does not exceed, as a scalar subquery.
 
-    Equal values are counted map-side; ranks come from running counts in blocks.
+    Equal values are counted map-side; ranks come from running counts over sampled ranges.
     """
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
-    ranked = running(
-        counts, keys=[], order=column, block=magnitude_block(F.col(column)), values={"upto": ("sum", "n")}
-    )
-    total = counts.agg(F.sum("n").alias("n")).scalar()
+    ranked = running(counts, keys=[], order=column, values={"upto": ("sum", "n")})
+    total = ranked.agg(F.max("upto").alias("n")).scalar()
     return ranked.filter(F.col("upto") >= total * F.lit(q)).agg(F.min(column).alias("m")).scalar()
+
+
+def dense_codes(values: DataFrame, column: str, out: str) -> DataFrame:
+    """Distinct values numbered from 0 in their order: ranges are numbered in parallel, then shifted.
+
+    The driver sees one count per range, whatever the number of values.
+    """
+    dealt = by_range(values.select(column).distinct(), column)
+    own = F.row_number().over(Window.partitionBy("__block").orderBy(column)) - 1
+    shifts, total = [], 0
+    for block, n in sorted(dealt.groupBy("__block").count().collect()):
+        shifts.append((block, total))
+        total += n
+    before = values.sparkSession.createDataFrame(shifts, "__block int, __before bigint")
+    return dealt.withColumn(out, own).join(before, "__block").select(column, (F.col(out) + F.col("__before")).alias(out))

@@ -150,6 +150,32 @@ def _not_null(spark, sf):
     return quality.check_not_null(rows, ["transaction_id", "user_id", "amount", "processed_at"])
 
 
+# Narrower than the scored table's own types, so that rows break each rule.
+_CONTRACT = "transaction_id string not null, user_id string not null, amount decimal(5,2) not null, user_std_amount double not null, merchant_category string, hour_of_day tinyint"
+_LIMITS = {"lengths": {"user_id": 2, "payment_method": 10}, "bounds": {"amount": (5, 400), "hour_of_day": (6, None)}, "allowed": {"payment_method": ["credit_card", "paypal"]}}
+
+
+@query("check_contract", f"""WITH {C.RISK}, v AS (SELECT *, TRY_CAST(amount AS DECIMAL(5,2)) AS held FROM risk)
+    SELECT column_name, rule, n AS violations FROM (SELECT unnest([
+      {{'column_name': 'transaction_id', 'rule': 'required', 'n': COUNT(*) FILTER (WHERE transaction_id IS NULL)}},
+      {{'column_name': 'user_id', 'rule': 'required', 'n': COUNT(*) FILTER (WHERE user_id IS NULL)}},
+      {{'column_name': 'amount', 'rule': 'required', 'n': COUNT(*) FILTER (WHERE amount IS NULL)}},
+      {{'column_name': 'amount', 'rule': 'type', 'n': COUNT(*) FILTER (WHERE amount IS NOT NULL AND held IS NULL)}},
+      {{'column_name': 'amount', 'rule': 'scale', 'n': COUNT(*) FILTER (WHERE CAST(held AS DOUBLE) <> amount)}},
+      {{'column_name': 'user_std_amount', 'rule': 'required', 'n': COUNT(*) FILTER (WHERE user_std_amount IS NULL)}},
+      {{'column_name': 'hour_of_day', 'rule': 'type', 'n': COUNT(*) FILTER (WHERE hour_of_day NOT BETWEEN -128 AND 127)}},
+      {{'column_name': 'user_id', 'rule': 'length', 'n': COUNT(*) FILTER (WHERE length(user_id) > 2)}},
+      {{'column_name': 'payment_method', 'rule': 'length', 'n': COUNT(*) FILTER (WHERE length(payment_method) > 10)}},
+      {{'column_name': 'amount', 'rule': 'range', 'n': COUNT(*) FILTER (WHERE amount < 5 OR amount > 400)}},
+      {{'column_name': 'hour_of_day', 'rule': 'range', 'n': COUNT(*) FILTER (WHERE hour_of_day < 6)}},
+      {{'column_name': 'payment_method', 'rule': 'allowed', 'n': COUNT(*) FILTER (WHERE payment_method NOT IN ('credit_card', 'paypal'))}}
+    ], recursive := true) FROM v)""")
+def _contract(spark, sf):
+    tx = views.transactions(spark, sf)
+    risk = history.risk_columns(history.enrich(tx, history.user_stats(tx)))
+    return quality.check_contract(risk, _CONTRACT, **_LIMITS)
+
+
 @query("check_unique", f"""WITH {ORDERS} SELECT transaction_id, line, COUNT(*) AS n FROM lines
     GROUP BY transaction_id, line HAVING COUNT(*) > 1""")
 def _unique(spark, sf):

@@ -227,10 +227,10 @@ def test_user_stats_of_nothing(spark):
     assert behaviour.user_windows(empty.withColumn("merchant_category", F.lit("a")), as_of=True).count() == 0
 
 
-def test_running_blocks(spark):
+def test_running_ranges(spark, many_ranges):
     rows = spark.createDataFrame([("k", i, (i * 7) % 5 + 1) for i in range(100)], "key string, pos int, v int")
     out = skew.running(
-        rows, keys=["key"], order="pos", block=F.floor(F.col("pos") / 9),
+        rows, keys=["key"], order="pos",
         values={"total": ("sum", "v"), "low": ("min", "v"), "high": ("max", "v")}, inclusive=True,
     ).orderBy("pos").collect()
     seen = []
@@ -239,6 +239,66 @@ def test_running_blocks(spark):
         assert (r.total, r.low, r.high) == (sum(seen), min(seen), max(seen))
 
 
+@pytest.fixture
+def many_ranges(spark):
+    """Small test frames stay in as many ranges as large ones would have."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_crowded_values_are_split(spark, many_ranges):
+    """All values in [0.9999, 1) and a third of the rows on one of them: several ranges, none with most values, exact ranks."""
+    from riskloom.ml import evaluate
+
+    scores = [0.9999 + (i * 7919 % 3000) * 3e-8 for i in range(3000)]
+    data = [(s, int(i % 3 == 0)) for i, s in enumerate(scores)] + [(scores[5], i % 2) for i in range(1500)]
+    df = spark.createDataFrame(data, "score double, label int").withColumn("prediction", F.lit(1))
+    sizes = [r["count"] for r in skew.by_range(df.select("score").distinct(), "score").groupBy("__block").count().collect()]
+    assert len(sizes) >= 6 and max(sizes) < 1000
+    assert df.limit(1).select(skew.exact_quantile(df, "score").alias("q")).first().q == sorted(s for s, _ in data)[len(data) // 2 - 1]
+    pos, neg = [s for s, y in data if y], [s for s, y in data if not y]
+    ordered, below, better, i, j = sorted(neg), 0, 0.0, 0, 0
+    for s in sorted(pos):
+        while i < len(ordered) and ordered[i] < s:
+            i += 1
+        j = max(i, j)
+        while j < len(ordered) and ordered[j] == s:
+            j += 1
+        better += i + (j - i) / 2
+    assert abs(evaluate.roc_auc(df).first().roc_auc - better / (len(pos) * len(neg))) < 1e-12
+
+
+def test_dense_codes(spark, many_ranges):
+    from riskloom.ml import prep
+
+    names = [f"n{i * 7919 % 2000:05d}" for i in range(2000)] * 2 + ["Z", "\u00e9", ""]
+    df = spark.createDataFrame([(n,) for n in [*names, None]], "c string")
+    codes = prep.category_codes(df, "c")
+    known = sorted({*names, "unknown"}, key=lambda n: n.encode())
+    assert {r.c: r.c_code for r in codes.collect()} == {n: i for i, n in enumerate(known)}
+    assert "SinglePartition" not in codes._jdf.queryExecution().toString()
+    assert prep.category_codes(df.limit(0), "c").count() == 0
+
+
+def test_contract_rules(spark):
+    from riskloom import schemas
+    from riskloom.operators import quality
+
+    df = spark.createDataFrame(
+        [("a", 1.25, "2024-01-01", 5, "x"), (None, 1.255, "no day", 300, "y"), ("abc", 1e12, None, None, None), ("b", float("nan"), "2024-01-01", 7, "x")],
+        "id string, amount double, day string, n int, kind string",
+    )
+    schema = "id string not null, amount decimal(12,2), day date, n tinyint, kind string not null, extra int"
+    out = quality.check_contract(df, schema, lengths={"id": 2}, bounds={"amount": (0, 100), "n": (6, None)}, allowed={"kind": ["x"]})
+    assert {(r.column_name, r.rule): r.violations for r in out.collect()} == {
+        ("id", "required"): 1, ("kind", "required"): 1, ("extra", "present"): 4, ("amount", "type"): 2, ("amount", "scale"): 1, ("day", "type"): 1,
+        ("n", "type"): 1, ("id", "length"): 1, ("amount", "range"): 2, ("n", "range"): 1, ("kind", "allowed"): 1,
+    }
+    empty = quality.check_contract(df.limit(0), schemas.TRANSACTION_TABLE)
+    assert {r.violations for r in empty.collect()} == {0}
+
+
 def test_exact_quantile(spark):
     numbers = [-5.5, -0.25, 0.0, 0.0, 1e-9, 3.0, 3.0, 3.0, 700.0, 1e12, None]
     df = spark.createDataFrame([(v,) for v in numbers], "v double")
