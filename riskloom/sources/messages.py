@@ -97,6 +97,14 @@ def decode_json(
     return good, bad
 
 
+def judged(df: DataFrame, schema: T.StructType = schemas.TRANSACTION) -> DataFrame:
+    """Every message once: its columns and ``accepted``, or NULLs and the raw text as ``value``. One parse, no shuffle."""
+    text = F.col("value").cast("string")
+    rows = df.select(text.alias("value"), F.inline_outer(_accepted(text, schema)))
+    accepted = F.col(schemas.required(schema)[0]).isNotNull()
+    return rows.withColumn("accepted", accepted).withColumn("value", F.when(~accepted, F.col("value")))
+
+
 def as_transactions(decoded: DataFrame) -> DataFrame:
     """Decoded messages under the operator column names (``ts`` as timestamp)."""
     if isinstance(decoded.schema["timestamp"].dataType, T.StringType):

@@ -2,8 +2,11 @@
 
 Every sink writes one partition per run and micro-batch and overwrites only that, so a batch that
 is replayed after a failure leaves the same rows, and a new checkpoint on an old target leaves the
-rows of earlier runs. Errors propagate. Bad rows go to quarantine in the
-scoring stream only: what ``transaction_stream`` can't decode is left out of the other streams. ``trigger=None`` drains what is available and stops.
+rows of earlier runs. Errors propagate. ``trigger=None`` drains what is available and stops.
+
+Bad messages: the scoring stream has its own quarantine. All others read ``landed_stream``: ``land`` decodes a source
+once into a table that keeps each message, accepted or not. ``transaction_stream``, which reads a source directly,
+leaves out what it can't decode.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from riskloom import schemas
 from riskloom.functions import expressions as X
 from riskloom.functions import fixed
 from riskloom.operators import behaviour, features, history
@@ -75,6 +79,44 @@ def transaction_stream(spark: SparkSession, source, *, max_files: int | None = N
     return messages.as_transactions(good)
 
 
+_LAND_CHECKPOINT = "_checkpoint"
+
+
+def land(
+    spark: SparkSession, source, table: str, *, trigger: str | None = None, max_files: int | None = None
+) -> StreamingQuery:
+    """Decode a source once for every stream behind it: good rows and raw bad messages side by side, by ``accepted``.
+
+    The sink's log makes a batch visible as a whole or not at all, and each message once. That log belongs to one
+    checkpoint, which therefore lies inside the table.
+    """
+    raw = messages.read_messages(spark, source, streaming=True, max_files=max_files)
+    writer = (
+        messages.judged(raw).writeStream.format("parquet").partitionBy("accepted")
+        .option("path", table).option("checkpointLocation", f"{table}/{_LAND_CHECKPOINT}")
+    )
+    writer = writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
+    return writer.start()
+
+
+def _landed_schema() -> T.StructType:
+    fields = [T.StructField(f.name, f.dataType) for f in schemas.TRANSACTION.fields]
+    return T.StructType([T.StructField("value", T.StringType()), *fields, T.StructField("accepted", T.BooleanType())])
+
+
+def landed_stream(spark: SparkSession, table: str, *, max_files: int | None = None) -> DataFrame:
+    """The good rows of a landed table, as they come in."""
+    reader = spark.readStream.schema(_landed_schema())
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return messages.as_transactions(reader.parquet(table).filter("accepted").drop("value", "accepted"))
+
+
+def landed_quarantine(spark: SparkSession, table: str) -> DataFrame:
+    """The raw text of every message that could not be decoded."""
+    return spark.read.schema(_landed_schema()).parquet(table).filter("not accepted").select("value")
+
+
 def deduplicated(stream: DataFrame, *, watermark: str = "1 minute") -> DataFrame:
     """Drop repeated ids; the watermark bounds how long ids are remembered."""
     return stream.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["transaction_id"])

@@ -85,6 +85,33 @@ def test_malformed_messages(spark):
     assert bad.count() == 4
 
 
+def test_landed_table_keeps_every_message(spark):
+    """Broken messages reach no stream and are not lost: profile, window, session and behaviour read one decoded table."""
+    source, table = scratch_dir(spark, "land"), scratch_dir(spark, "land-table")
+    broken = ['{"transaction_id":"x","user_id":"u","amo', "", "null", '{"transaction_id":"y","amount":1}']
+    for i, part in enumerate([[("a", "u", 1.0, 0), ("b", "v", 2.0, 30)], [("c", "u", 4.0, 900)], [("d", "u", 8.0, 2000)]]):
+        put(spark, source, rows(spark, *part))
+        spark.createDataFrame([(broken[i],)], "value string").coalesce(1).write.mode("append").text(source)
+        jobs.drain(jobs.land(spark, source, table))
+    assert sorted(r.value for r in jobs.landed_quarantine(spark, table).collect()) == sorted(broken[:3])
+    assert spark.read.parquet(table).filter("accepted and value is null").count() == 4
+
+    def run(name, work):
+        target, check = scratch_dir(spark, name), scratch_dir(spark, f"{name}-check")
+        jobs.drain(work(jobs.landed_stream(spark, table, max_files=2), target, check))
+        return tables.read_table(spark, target)
+
+    profiles = run("land-profile", lambda s, t, c: jobs.run_profile_stream(s, target=t, checkpoint=c))
+    assert {r.user_id: r.total_transactions for r in jobs.latest_by_key(profiles, "user_id").collect()} == {"u": 3, "v": 1}
+    windows = run("land-window", lambda s, t, c: jobs.start(jobs.windowed_volume(s), jobs.to_table(t), c, mode="update"))
+    assert jobs.latest_by_key(windows, "window_start", "payment_method").agg(F.sum("n")).first()[0] == 4
+    sessions = run("land-session", lambda s, t, c: jobs.start(jobs.user_sessions(s), jobs.to_table(t), c))
+    assert sessions.count() == 3  # the last one is still open
+    store = scratch_dir(spark, "land-store")
+    behaviour = run("land-behaviour", lambda s, t, c: jobs.run_behaviour_stream(s, store=store, target=t, checkpoint=c))
+    assert sorted(r.transaction_id for r in behaviour.collect()) == ["a", "b", "c", "d"]
+
+
 def test_failing_batch_raises(spark):
     source, check = scratch_dir(spark, "fail"), scratch_dir(spark, "fail-check")
     put(spark, source, rows(spark, ("a", "u", 1.0, 0)))
