@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +18,7 @@ from riskloom import schemas
 from riskloom.functions.expressions import ratio
 from riskloom.ml import evaluate, tune
 from riskloom.ml.prep import BEHAVIOUR_SPEC, SCORED_SPEC, MatrixSpec, category_codes, matrix, stratified_split
-from riskloom.operators.limits import guard_min_rows
+from riskloom.operators.limits import guard_min_rows, recent_models
 from riskloom.operators.summaries import amount_by_label, filter_recent
 from riskloom.session import materialise
 
@@ -195,6 +197,33 @@ def compare(predictions: DataFrame, tx: DataFrame, model: str = "model_id") -> D
     return evaluate.business_impact(metrics, F.coalesce(fraud_mean, F.lit(0.0)))
 
 
+def score_stored(spark, run, feats: DataFrame, spec: MatrixSpec = SCORED_SPEC) -> DataFrame:
+    """Rows scored by a registered run's model, coded as in its training, written; with the milliseconds a row took."""
+    model, meta = load_model(spark, run.model_path)
+    rows = matrix(feats, spec, codes=load_codes(spark, run.model_path, spec))
+    began = time.monotonic()
+    scored = materialise(score_batch(model, tune.with_vector(rows, meta["features"]), "transaction_id"), "scored")
+    spent = (time.monotonic() - began) * 1000
+    per_row = F.lit(spent) / scored.agg(F.count("*").alias("n")).scalar()
+    return scored.withColumns({"model_id": F.lit(run.run_id), "ms_per_row": per_row})
+
+
+def compare_stored(
+    spark, registry: str, feats: DataFrame, tx: DataFrame, spec: MatrixSpec = SCORED_SPEC, *, k: int = 3
+) -> DataFrame:
+    """The k newest completed runs of a registry, loaded and compared on the same rows.
+
+    The driver loops over k models and sees their registry rows; all scores stay in written tables. No run, no row.
+    """
+    scored = [score_stored(spark, run, feats, spec) for run in recent_models(read_runs(spark, registry), k).collect()]
+    if not scored:
+        nothing = spark.createDataFrame([], "label int, score double, prediction int, model_id string, ms_per_row double")
+        scored = [nothing]
+    together = reduce(DataFrame.unionByName, scored)
+    speed = together.groupBy("model_id").agg(F.max("ms_per_row").alias("ms_per_row"))
+    return compare(together, tx).join(speed, "model_id")
+
+
 def significance(pairs: DataFrame, first: Column, second: Column, label: Column) -> DataFrame:
     """Paired test of two models (McNemar with continuity correction) and a two-proportion z."""
     hit_a, hit_b = first == label, second == label

@@ -410,6 +410,43 @@ def _registry(spark, sf):
     )
 
 
+@query("ab_compare_stored", f"""WITH {TX}, size AS (SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE is_fraud) AS f FROM tx)
+    SELECT name AS model_id, n AS n_rows, f AS positives, TRUE AS as_fitted, TRUE AS adds_up, TRUE AS timed
+    FROM size, (VALUES ('trees-2'), ('trees-4')) AS v(name)""")
+def _compare_stored(spark, sf):
+    """Two models trained, stored and registered, then loaded from the registry and compared on all rows.
+
+    Their values have no twin; what must hold has: counts, rates that follow from the counts, and the confusion of
+    the models as they were before they were stored.
+    """
+    tx = views.transactions(spark, sf)
+    feats = materialise(scored(spark, sf), "scored")
+    codes = {c: materialise(prep.category_codes(feats, c), "codes") for c in prep.SCORED_SPEC.category}
+    rows = tune.with_vector(jobs.split_matrix(feats, codes=codes), _NAMES)
+    root, fitted = scratch_dir(spark, "stored"), None
+    for day, trees in enumerate((2, 4), 1):
+        name = f"trees-{trees}"
+        model = tune.ResampledTrees(**{**TREES, "maxIter": trees}).fit(rows.filter("split = 'train'"))
+        path = jobs.save_model(model, {"features": _NAMES}, f"{root}/{name}", codes)
+        jobs.register_run(spark, f"{root}/runs", {
+            "run_id": name, "model_name": name, "algorithm": "boosted trees", "training_start": datetime(2024, 1, day),
+            "model_path": path, "status": "completed",
+        })
+        own = jobs.score_batch(model, rows).withColumn("model_id", F.lit(name))
+        fitted = own if fitted is None else fitted.unionByName(own)
+    counts = ("true_negatives", "false_positives", "false_negatives", "true_positives")
+    before = evaluate.confusion(fitted, ["model_id"]).select("model_id", *[F.col(c).alias(f"b_{c}") for c in counts])
+    tn, fp, fn, tp = (F.col(c) for c in counts)
+    same = (F.col("b_true_negatives") == tn) & (F.col("b_false_positives") == fp) & (F.col("b_false_negatives") == fn) & (F.col("b_true_positives") == tp)
+    total = tn + fp + fn + tp
+    saved = F.col("prevented_fraud") - F.col("investigation_costs") - F.col("missed_fraud_cost")
+    adds_up = (F.abs(F.col("accuracy") * total - tp - tn) < 1e-6) & F.col("roc_auc").between(0, 1) & (F.abs(F.col("net_savings") - saved) < 1e-6)
+    return jobs.compare_stored(spark, f"{root}/runs", feats, tx).join(before, "model_id").select(
+        "model_id", total.alias("n_rows"), (tp + fn).alias("positives"), same.alias("as_fitted"), adds_up.alias("adds_up"),
+        (F.col("ms_per_row") > 0).alias("timed"),
+    )
+
+
 @query("tune_gbt")
 def _tune(spark, sf):
     rows = jobs.split_matrix(scored(spark, sf))

@@ -169,3 +169,10 @@ def test_constant_columns_scale_to_zero(spark):
     got = prep.scale(rows, ["a", "b", "c", "d"]).agg(F.min("a"), F.max("a"), F.min("b"), F.max("b"), F.avg("c"), F.stddev_pop("c"), F.count("d")).first()
     assert tuple(got)[:4] == (0.0, 0.0, 0.0, 0.0) and got[6] == 0
     assert abs(got[4]) < 1e-9 and abs(got[5] - 1) < 1e-9
+
+
+def test_nothing_registered_to_compare(spark, sf):
+    registry = scratch_dir(spark, "no-runs")
+    jobs.append_runs(spark.createDataFrame([("a", "failed")], "run_id string, status string"), registry)
+    feats = ml_queries.scored(spark, sf)
+    assert jobs.compare_stored(spark, registry, feats, ml_queries.views.transactions(spark, sf)).count() == 0
