@@ -114,6 +114,18 @@ def _profiles(spark, sf):
     return comparable(jobs.latest_by_key(read_table(spark, target), "user_id"), digits=4)
 
 
+@query("stream_user_stats", f"""WITH {TX}, {C.STATS} SELECT user_id, total_transactions,
+    {r('user_avg_amount')} AS user_avg_amount, {r('user_std_amount')} AS user_std_amount,
+    {r('median_amount')} AS median_amount, fraud_count, {r('fraud_rate_pct')} AS fraud_rate_pct FROM st""")
+def _stats_stream(spark, sf):
+    """User statistics kept as partials of several batches, folded, and merged once more."""
+    source, per_trigger = replay(spark, messages_of(views.transactions(spark, sf)))
+    stream = jobs.transaction_stream(spark, source, max_files=max(1, per_trigger // 2))
+    target, checkpoint, folded = folders(spark, "partials")
+    jobs.drain(jobs.start(stream, jobs.to_partials(target), checkpoint))
+    return comparable(history.stats_of_partials(read_table(spark, jobs.compact_partials(spark, target, folded))))
+
+
 @query("stream_dedup", f"WITH {TX} SELECT transaction_id, user_id, {r('amount')} AS amount, ts FROM tx")
 def _dedup(spark, sf):
     """Every message delivered twice within the watermark."""

@@ -26,7 +26,7 @@ from riskloom.operators import behaviour, features, history
 from riskloom.operators.joins import drop_processed, split_by_parent
 from riskloom.sources import messages
 from riskloom.sources.sinks import first_by_key, write_batch
-from riskloom.sources.tables import read_or_empty
+from riskloom.sources.tables import read_or_empty, read_table
 
 
 def start(
@@ -129,12 +129,32 @@ def stored_ids(spark: SparkSession, target: str, run: str, batch_id: int, key: s
     return read_or_empty(spark, target, schema).filter(~own).select(key)
 
 
+def partials_before(spark: SparkSession, table: str, run: str, batch_id: int) -> DataFrame:
+    """Mergeable user statistics of earlier batches: a replay sees what it saw first."""
+    schema = T.StructType.fromDDL(
+        "user_id string, total_transactions bigint, fraud_count bigint, amounts bigint, mean double, deviations double, sketch binary, run string, batch_id int"
+    )
+    return read_or_empty(spark, table, schema).filter((F.col("run") != run) | (F.col("batch_id") < batch_id))
+
+
+def to_partials(table: str) -> Callable[[DataFrame, int], None]:
+    """Sink function over transactions: the batch's mergeable statistics, one row per user of the batch."""
+    return per_batch(lambda batch, batch_id: write_batch(history.user_partials(batch), batch_id, table, run_of(batch)))
+
+
+def compact_partials(spark: SparkSession, table: str, into: str) -> str:
+    """Fold a table of partials to one row per user, in a new folder that streams with other checkpoints go on from."""
+    write_batch(history.merge_partials(read_table(spark, table)), 0, into, "compacted")
+    return into
+
+
 def score_batch(
-    stats: DataFrame, processed: DataFrame, parent: DataFrame | None, target: str, quarantine: str
+    stats: DataFrame | None, processed: DataFrame, parent: DataFrame | None, target: str, quarantine: str, partials: str | None = None
 ) -> Callable[[DataFrame, int], None]:
     """Sink function over raw messages: each good id is scored and stored once, the rest goes to quarantine.
 
-    Undecodable messages go to ``quarantine/messages``, rows without parent to ``quarantine/orphans``.
+    Undecodable messages go to ``quarantine/messages``, rows without parent to ``quarantine/orphans``. With ``partials``
+    the users' history is what earlier batches have left there, and this batch adds its own; otherwise it is ``stats``.
     """
 
     def work(batch: DataFrame, batch_id: int) -> None:
@@ -143,10 +163,13 @@ def score_batch(
         write_batch(bad, batch_id, f"{quarantine}/messages", run)
         unique = first_by_key(messages.as_transactions(good), "transaction_id", "ts", "amount")
         fresh = drop_processed(drop_processed(unique, processed), stored_ids(batch.sparkSession, target, run, batch_id))
-        scored = history.score(fresh, stats).persist()
+        known = stats if partials is None else history.stats_of_partials(partials_before(batch.sparkSession, partials, run, batch_id))
+        scored = history.score(fresh, known).persist()
         try:
             accepted, orphans = (scored, None) if parent is None else split_by_parent(scored, parent)
             write_batch(accepted, batch_id, target, run)
+            if partials is not None:
+                write_batch(history.user_partials(accepted), batch_id, partials, run)
             if orphans is not None:
                 write_batch(orphans, batch_id, f"{quarantine}/orphans", run)
         finally:
@@ -159,18 +182,21 @@ def run_scoring_stream(
     spark: SparkSession,
     source,
     *,
-    stats: DataFrame,
+    stats: DataFrame | None = None,
     processed: DataFrame,
     target: str,
     quarantine: str,
     checkpoint: str,
     parent: DataFrame | None = None,
+    partials: str | None = None,
     trigger: str | None = None,
     max_files: int | None = None,
 ) -> StreamingQuery:
     """Messages -> not yet processed, here or in an earlier batch -> enriched and scored -> typed table."""
     raw = messages.read_messages(spark, source, streaming=True, max_files=max_files)
-    return start(raw, score_batch(stats, processed, parent, target, quarantine), checkpoint, trigger=trigger)
+    if (stats is None) == (partials is None):
+        raise ValueError("give either stats or a table of partials")
+    return start(raw, score_batch(stats, processed, parent, target, quarantine, partials), checkpoint, trigger=trigger)
 
 
 def run_quarantine_stream(

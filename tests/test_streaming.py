@@ -73,6 +73,34 @@ def test_orphans_and_duplicates_in_scoring(spark):
     assert [r.transaction_id for r in spark.read.parquet(f"{bad}/orphans").collect()] == ["orphan"]
 
 
+def test_partials_merge_to_the_statistics_of_all_rows(spark):
+    from riskloom.operators.history import merge_partials, stats_of_partials, user_partials, user_stats
+
+    data = [(str(i), None if i % 50 == 0 else f"u{i % 7}", 1e6 + (i * 7919 % 1000) / 64, i) for i in range(700)]
+    data += [("n", "nan", float("nan"), 1), ("one", "single", 5.0, 2), ("i", "u1", float("inf"), 3)]
+    df = rows(spark, *data)
+    parts = [user_partials(df.filter(F.pmod(F.xxhash64("transaction_id"), F.lit(3)) == k)) for k in range(3)]
+    merged = merge_partials(parts[0].unionByName(parts[1])).unionByName(parts[2])
+    assert values(stats_of_partials(merged), key="user_id", digits=6) == values(user_stats(df), key="user_id", digits=6)
+    assert stats_of_partials(parts[0].limit(0)).count() == 0
+
+
+def test_scoring_with_its_own_statistics(spark):
+    """Each batch is scored by what earlier batches left; a replayed batch leaves the same."""
+    source, target, check, bad, kept = (scratch_dir(spark, n) for n in ("ps", "ps-out", "ps-check", "ps-bad", "ps-kept"))
+    nothing = rows(spark, ("a", "u", 1.0, 0)).limit(0)
+    for part in ([("a", "u", 10.0, 0), ("b", "u", 30.0, 1)], [("c", "u", 50.0, 2), ("d", "v", 1.0, 3)], [("e", "u", 1.0, 4)]):
+        put(spark, source, rows(spark, *part))
+        jobs.drain(jobs.run_scoring_stream(
+            spark, source, processed=nothing, target=target, quarantine=bad, checkpoint=check, partials=kept,
+        ))
+    seen = {r.transaction_id: r.user_avg_amount for r in spark.read.parquet(target).collect()}
+    assert {k: float(v) if v is not None else None for k, v in seen.items() if k in "ce"} == {"c": 20.0, "e": 30.0}
+    assert spark.read.parquet(kept).count() == 4
+    with pytest.raises(ValueError):
+        jobs.run_scoring_stream(spark, source, processed=nothing, target=target, quarantine=bad, checkpoint=check)
+
+
 def test_malformed_messages(spark):
     texts = [
         '{"transaction_id":"1","user_id":"u","amount":2.5,"timestamp":"2024-01-01T00:00:00.000001","merchant_category":"m","payment_method":"p","is_fraud":false}',
