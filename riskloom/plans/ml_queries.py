@@ -22,7 +22,7 @@ TX, RISK, WINDOWS = C.TX, C.RISK, C.WINDOWS
 
 # Small settings keep the registered training queries short; the jobs default to the full search.
 TREES = {"maxIter": 5, "maxDepth": 3}
-SEARCH = {"maxIter": [3, 5], "maxDepth": [2, 3], "stepSize": [0.1, 0.2], "ratio": [0.2, 0.3], "neighbours": [3, 5]}
+SEARCH = {**tune.GRID, "maxIter": [3, 5], "maxDepth": [2, 3], "stepSize": [0.1, 0.2], "minInfoGain": [0.0, 0.1]}
 
 
 def scored(spark, sf):
@@ -451,7 +451,7 @@ def _compare_stored(spark, sf):
 def _tune(spark, sf):
     rows = jobs.split_matrix(scored(spark, sf))
     train = tune.with_vector(rows.filter("split = 'train'"), _NAMES)
-    search = tune.random_search(train, grid=SEARCH, draws=2, folds=2)
+    search = tune.random_search(train, grid=SEARCH, draws=2, folds=5)
     found = [(i, float(m), json.dumps({p.name: v for p, v in params.items()}, sort_keys=True))
              for i, (m, params) in enumerate(zip(search.avgMetrics, search.getEstimatorParamMaps()))]
     return comparable(spark.createDataFrame(found, "draw int, cv_auc double, params string"))
@@ -461,7 +461,7 @@ def _tune(spark, sf):
 def _job(spark, sf):
     path = scratch_dir(spark, "train")
     feats = materialise(scored(spark, sf), "scored")
-    jobs.train_job(feats, model_dir=f"{path}/models", registry=f"{path}/runs", grid=SEARCH, draws=2, folds=2)
+    jobs.train_job(feats, model_dir=f"{path}/models", registry=f"{path}/runs", grid=SEARCH, draws=2, folds=5)
     runs = spark.read.schema(schemas.TRAINING_RUN).parquet(f"{path}/runs")
     return comparable(runs.select("model_name", "algorithm", "training_data_count", "training_fraud_count", "accuracy", "auc_roc", "status"))
 

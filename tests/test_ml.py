@@ -176,3 +176,25 @@ def test_nothing_registered_to_compare(spark, sf):
     jobs.append_runs(spark.createDataFrame([("a", "failed")], "run_id string, status string"), registry)
     feats = ml_queries.scored(spark, sf)
     assert jobs.compare_stored(spark, registry, feats, ml_queries.views.transactions(spark, sf)).count() == 0
+
+
+def test_a_fold_searches_its_neighbours_once(spark, sf, monkeypatch):
+    """Three draws with different k on two folds: one neighbour search per fold, and one for the final fit."""
+    from riskloom.ml import resample
+
+    searched, real = [], resample.nearest_neighbours
+    monkeypatch.setattr(resample, "nearest_neighbours", lambda points, k, **kw: searched.append(k) or real(points, k, **kw))
+    rows = jobs.split_matrix(ml_queries.scored(spark, sf))
+    grid = {"maxIter": [1], "maxDepth": [2], "ratio": [0.2, 0.4], "neighbours": [3, 5]}
+    search = tune.random_search(tune.with_vector(rows, ml_queries._NAMES), grid=grid, draws=3, folds=2)
+    assert len(search.avgMetrics) == 3 and len(searched) == 3
+
+
+def test_a_longer_neighbour_list_gives_the_same_rows(spark):
+    from riskloom.ml import resample
+
+    random.seed(5)
+    data = [(f"p{i}", [random.random(), random.random()], int(i % 6 == 0)) for i in range(240)]
+    df = spark.createDataFrame(data, "id string, x array<double>, label int")
+    near = resample.minority_neighbours(df.filter("label = 1"), 7)
+    assert sorted(map(str, smote(df, k=3, near=near).collect())) == sorted(map(str, smote(df, k=3).collect()))
