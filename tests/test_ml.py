@@ -7,7 +7,7 @@ import pytest
 from conftest import values
 from pyspark.sql import functions as F
 
-from riskloom.ml import evaluate, jobs, prep, tune
+from riskloom.ml import evaluate, jobs, neighbours, prep, tune
 from riskloom.ml.neighbours import nearest_neighbours
 from riskloom.ml.resample import smote
 from riskloom.plans import ml_queries
@@ -46,6 +46,32 @@ def test_neighbours_equal_brute_force(spark, kind, block_rows):
     assert got == brute(points, 3)
 
 
+def test_neighbours_in_many_dimensions_meet_in_few_tiles(spark, monkeypatch):
+    """Small cells don't meet one by one: 600 spread points in cells of 4 are 32 tiles at most, and results are exact."""
+    seen = []
+    tiles = neighbours._tiles
+    monkeypatch.setattr(neighbours, "_tiles", lambda *a: seen.append(tiles(*a)) or seen[0])
+    pick = random.Random(5)
+    points = [(f"p{i:03d}", [pick.gauss(0, 1) for _ in range(12)]) for i in range(600)]
+    df = spark.createDataFrame(points, "id string, x array<double>")
+    got = {}
+    for row in nearest_neighbours(df, 3, block_rows=8).orderBy("id", "rank").collect():
+        got.setdefault(row.id, []).append((row.nid, round(row.d, 9)))
+    assert got == brute(points, 3)
+    first, parts = seen[0]
+    assert 1 < (first + parts).max() <= 2 * neighbours.TILES
+
+
+def test_few_values_are_not_joined_by_value(spark):
+    """Rows stay where they are when strata and codes are joined: no task reads all rows of a class or category."""
+    rows = spark.range(0, 2000, 1, 4).select(
+        F.col("id").cast("string").alias("transaction_id"), (F.col("id") % 20 == 0).cast("int").alias("label"), (F.col("id") % 3).cast("string").alias("c")
+    )
+    for out in (prep.stratified_split(rows), prep.encode_category(rows, "c")):
+        held = out.groupBy(F.spark_partition_id()).count().collect()
+        assert len(held) == 4 and max(r["count"] for r in held) == 500
+
+
 def test_neighbours_of_nothing(spark):
     assert nearest_neighbours(spark.createDataFrame([], "id string, x array<double>"), 3).count() == 0
 
