@@ -39,12 +39,21 @@ def category_codes(df: DataFrame, column: str) -> DataFrame:
     return dense_codes(df.select(value.alias(column)), column, f"{column}_code")
 
 
+# Codes that are sent to every task; more than these spread over the partitions of a join.
+_SENT_CODES = 10000
+
+
 def encode_category(df: DataFrame, column: str, codes: DataFrame | None = None) -> DataFrame:
-    """Add the code of a category; values missing from ``codes`` get one code past the last."""
+    """Add the code of a category; values missing from ``codes`` get one code past the last.
+
+    A few codes are broadcast. Spark doesn't do so by itself: rows dealt by a few values leave most partitions empty, for which AQE
+    keeps the shuffled join, and one task reads all rows of a value.
+    """
     codes = category_codes(df, column) if codes is None else codes
+    few = codes.limit(_SENT_CODES + 1).count() <= _SENT_CODES
     top = codes.agg((F.max(f"{column}_code") + 1).alias("m")).scalar()
     filled = df.withColumn(column, F.coalesce(F.col(column), F.lit("unknown")))
-    joined = filled.join(codes, column, "left")
+    joined = filled.join(F.broadcast(codes) if few else codes, column, "left")
     return joined.withColumn(f"{column}_code", F.coalesce(F.col(f"{column}_code"), top).cast("int"))
 
 
@@ -158,7 +167,8 @@ def hash_parts(
     part = F.coalesce(
         missing + F.size(F.filter(F.col("__cuts"), lambda c: own > c)), F.lit(len(bounds))
     )
-    return df.withColumn("__stratum", stratum).join(thresholds, "__stratum", "left").withColumn(
+    # The hint is needed: rows dealt by a few strata leave most partitions empty, and AQE then keeps them in one task each.
+    return df.withColumn("__stratum", stratum).join(F.broadcast(thresholds), "__stratum", "left").withColumn(
         out, part.cast("int")
     ).drop("__stratum", "__cuts")
 
