@@ -1,7 +1,8 @@
 """Near copies by an exact rule: documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-SimHash can't find these pairs: at a similarity of 0.8 fingerprints differ in ten of 64 bits on average, and a
-search that far is no longer near-linear. Candidates come from a prefix filter instead, which misses none:
+The first candidates are those of SimHash: the sets' fingerprints that differ in two bits or fewer, found by the search of ``simhash``. What
+they link by the exact comparison needs no other candidate. SimHash can't find all pairs: at a similarity of 0.8 fingerprints differ in ten of
+64 bits on average, and a search that far is no longer near-linear. The rest comes from a prefix filter, which misses none:
 when all sets are sorted by one order, two sets this similar share a shingle among the first fifth (and one) of
 either. The order puts rare shingles first, by counts in a table of fixed size; any order is right, this one
 keeps common passages out of the prefixes. Equal word sequences are one node, folded before any prefix is made.
@@ -232,9 +233,10 @@ def most_common(a: np.ndarray, b: np.ndarray) -> int:
 def _sets(side: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for nodes, sets in _wanted(side, batches):
+            prints = np.array([simhash.majority(h) for h in sets], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes, pa.int64()), pa.array([sketch(h).tobytes() for h in sets], pa.binary()), pa.array([h.view(np.int64) for h in sets], pa.list_(pa.int64()))],
-                names=["node", "sketch", "shingles"],
+                [pa.array(nodes, pa.int64()), pa.array(prints), pa.array([sketch(h).tobytes() for h in sets], pa.binary()), pa.array([h.view(np.int64) for h in sets], pa.list_(pa.int64()))],
+                names=["node", "fp", "sketch", "shingles"],
             )
 
     return run
@@ -266,6 +268,15 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return materialise(with_both(possible, few, "shingles").filter(alike).select("a", "b"), "similar")
 
 
+def _simhash_pairs(sets: DataFrame) -> DataFrame:
+    """Candidates by SimHash: each node with the first one of its fingerprint, and the first ones of linked fingerprints."""
+    first = materialise(sets.groupBy("fp").agg(F.min("node").alias("first")), "fingerprints")
+    same = sets.select("node", "fp").join(first, "fp").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    x, y = (first.select(F.col("fp").alias(side), F.col("first").alias(name)) for side, name in (("a", "x"), ("b", "y")))
+    linked = simhash.link(first).join(x, "a").join(y, "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    return same.filter("a <> b").union(linked)
+
+
 def near_copies(docs: DataFrame) -> DataFrame:
     """Block and row, doc_id, component_id and kept for every row of ``store.placed``; a component's id is its smallest known doc_id."""
     # Every Python stage is written before this returns, so the setting holds for all of them.
@@ -284,8 +295,11 @@ def _near_copies(docs: DataFrame) -> DataFrame:
     shared = materialise(dealt.mapInArrow(_shared, "key bigint, node bigint, n int, pos int"), "shared")
     size = shared.count()
     side = store.write_packed(places.join(shared.select("node").distinct(), "node"), "shared-nodes")
-    sets = materialise(rows.select("text", store.BLOCK).mapInArrow(_sets(side), "node bigint, sketch binary, shingles array<bigint>"), "shingles")
+    sets = materialise(rows.select("text", store.BLOCK).mapInArrow(_sets(side), "node bigint, fp bigint, sketch binary, shingles array<bigint>"), "shingles")
     edges, labels, drawing, turn = None, None, True, 0
+    found = _compared(_simhash_pairs(sets).distinct(), sets)
+    if not found.isEmpty():
+        edges, labels = found, materialise(simhash.components(found), "labels")
     while True:
         if labels is None:
             open_rows = shared.withColumn("label", F.col("node"))

@@ -53,7 +53,11 @@ def fingerprint(text: str, words: int = SHINGLE_WORDS) -> int:
         shingles = [b" ".join(tokens)]
     else:
         shingles = map(b" ".join, zip(*(tokens[i:] for i in range(words)), strict=False))
-    hashes = np.array([xxhash.xxh64_intdigest(s, SEED) for s in shingles], np.uint64)
+    return majority(np.array([xxhash.xxh64_intdigest(s, SEED) for s in shingles], np.uint64))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes."""
     ones = np.zeros(BITS, np.int64)
     for start in range(0, len(hashes), _CHUNK):
         part = hashes[start : start + _CHUNK].astype("<u8").view(np.uint8).reshape(-1, 8)

@@ -70,3 +70,14 @@ def test_the_tables_near_copies(spark, sf):
     label, pairs = _components([r["text"] for r in found])
     assert any(found[i]["text"] != found[j]["text"] for i, j in pairs)
     assert {r["doc_id"] for r in corpus_pipeline.near_copies(spark, docs, sf).collect()} == {found[i]["doc_id"] for i in label}
+
+
+def test_simhash_gives_the_first_candidates(spark):
+    """Fingerprints within two bits are candidates, transitively, and equal ones; further ones aren't."""
+    prints = [(1, 0b0), (2, 0b11), (3, 0b1111), (4, 0b1111), (5, 2**40 - 1)]
+    pairs = resemblance._simhash_pairs(spark.createDataFrame(prints, "node bigint, fp bigint")).collect()
+    label = {n: n for n, _ in prints}
+    for _ in prints:
+        for r in pairs:
+            label[r.a] = label[r.b] = min(label[r.a], label[r.b])
+    assert label == {1: 1, 2: 1, 3: 1, 4: 1, 5: 5}
