@@ -5,7 +5,8 @@ they link by the exact comparison needs no other candidate. SimHash can't find a
 64 bits on average, and a search that far is no longer near-linear. The rest comes from a prefix filter, which misses none:
 when all sets are sorted by one order, two sets this similar share a shingle among the first fifth (and one) of
 either. The order puts rare shingles first, by counts in a table of fixed size; any order is right, this one
-keeps common passages out of the prefixes. Equal word sequences are one node, folded before any prefix is made.
+keeps common passages out of the prefixes. The table has 2 ** 24 slots, each with a fine level: a coarse one fills up with the input, and then rare
+and common shingles look alike. Equal word sequences are one node, folded before any prefix is made.
 Candidate pairs are first bounded by sketches: the numbers of shingles by the leading bits of their hashes, about four
 to a number; the smaller numbers of two sketches sum to no less than what the sets have in common. Only pairs that can still be similar
 are compared by their whole sets, so sets travel for few pairs.
@@ -23,6 +24,7 @@ are copies of each other; a null text has no words; very long texts are whole se
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,9 +38,13 @@ from riskloom.session import materialise
 WORDS = 5
 # Similarity 4 / 5, in whole numbers.
 PART, WHOLE = 4, 5
-# Pairs to compare for each row of the shared prefixes before documents are drawn.
+# Pairs to compare for each row of the prefixes that still meet others, before documents are drawn.
 MANY = 4
-_SLOTS = 17
+# Slots of the table of counts, as a power of two, and how many travel together.
+_SLOTS = 24
+_RANGE = 1 << 16
+# Rows of one key that are tried with each other before any set is read.
+_NEAR = 64
 # Shingles that a task hands on at once.
 _PORTION = 1 << 18
 ROW = store.ROW
@@ -77,24 +83,58 @@ def _node(tokens: list[bytes]) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(b" ".join(tokens))).astype(np.int64))
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Shingles by slot, one per document, up to 255: the slots' ranges that aren't empty, packed."""
+    counts, held, size = np.zeros(1 << _SLOTS, np.uint8), [], 0
+
+    def add() -> None:
+        slots, n = np.unique(np.concatenate(held), return_counts=True)
+        counts[slots] = np.minimum(counts[slots] + n, 255)
+
+    for batch in batches:
+        for text in store.texts_of(batch):
+            held.append(_slot(shingle_set(_words(text))))
+            size += len(held[-1])
+            if size > _PORTION:
+                add()
+                held, size = [], 0
+    if held:
+        add()
+    table = counts.reshape(-1, _RANGE)
+    for at in np.flatnonzero(table.any(axis=1)):
+        yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([zlib.compress(table[at], 1)])], names=["part", "counts"])
+
+
+def _levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by range: the sum of each range's counts, as sixteenths of its binary logarithm."""
+
+    def packed(part: int, total: np.ndarray) -> pa.RecordBatch:
+        level = np.minimum(np.round(16 * np.log2(1 + total)), 255).astype(np.uint8)
+        return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([level.tobytes()])], names=["part", "level"])
+
+    part, total = None, np.zeros(_RANGE, np.int64)
+    for batch in batches:
+        for at, counts in zip(batch.column("part").to_pylist(), batch.column("counts"), strict=True):
+            if at != part and part is not None:
+                yield packed(part, total)
+                total = np.zeros(_RANGE, np.int64)
+            part = at
+            total += np.frombuffer(zlib.decompress(counts.as_py()), np.uint8)
+    if part is not None:
+        yield packed(part, total)
+
+
 def rarity(rows: DataFrame) -> np.ndarray:
-    """For each slot of the hashes: the binary logarithm of its number of shingles, one per document."""
+    """For each slot of the hashes a level that grows with its number of shingles, one per document.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << _SLOTS, np.int64)
-        for batch in batches:
-            for text in store.texts_of(batch):
-                np.add.at(counts, _slot(shingle_set(_words(text))), 1)
-        slots = np.flatnonzero(counts)
-        for at in range(0, len(slots), 1 << 16):
-            part = slots[at : at + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(counts[part])], names=["slot", "n"])
-
-    table = rows.select("text").mapInArrow(run, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
-    levels = table.select(F.col("slot").cast("int").alias("slot"), F.floor(F.log2("n")).cast("byte").alias("level")).toArrow()
-    out = np.zeros(1 << _SLOTS, np.uint8)
-    out[levels.column("slot").to_numpy()] = levels.column("level").to_numpy()
-    return out
+    Levels are fine and slots many, so that a common shingle still shows among the rare ones of its slot.
+    """
+    counts = rows.select("text").mapInArrow(_counted, "part int, counts binary")
+    levels = counts.repartition("part").sortWithinPartitions("part").mapInArrow(_levels, "part int, level binary").toArrow()
+    out = np.zeros(((1 << _SLOTS) // _RANGE, _RANGE), np.uint8)
+    for at, level in zip(levels.column("part").to_pylist(), levels.column("level"), strict=True):
+        out[at] = np.frombuffer(level.as_py(), np.uint8)
+    return out.reshape(-1)
 
 
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,7 +192,7 @@ def _prefixes(levels, side: str):
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key and node: those of keys with several nodes, one per node."""
+    """Rows sorted by key and node: one per node, those that fit another node's row of their key."""
     held = None
     for batch in batches:
         table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
@@ -168,13 +208,30 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _several(table: pa.Table) -> list[pa.RecordBatch]:
-    key = table.column("key").to_numpy()
-    same = key[1:] == key[:-1]
-    return table.filter(pa.array((np.append(same, False) | np.append(False, same))[: len(key)])).combine_chunks().to_batches()
+    """Rows whose key has another row that fits; in a key with many rows, all of them."""
+    key, n, pos = (table.column(c).to_numpy() for c in ("key", "n", "pos"))
+    good, ahead = np.zeros(len(key), bool), 0
+    a = np.arange(len(key))
+    while len(a):
+        ahead += 1
+        a = a[a + ahead < len(key)]
+        a = a[key[a] == key[a + ahead]]
+        if ahead > _NEAR:
+            good |= np.isin(key, key[a])
+            break
+        fits = a[_may_fit(n[a], pos[a], n[a + ahead], pos[a + ahead])]
+        good[fits] = good[fits + ahead] = True
+    return table.filter(pa.array(good)).combine_chunks().to_batches()
 
 
-def _fits(n: Column, pos: Column, m: Column, at: Column) -> Column:
+def _may_fit(n: np.ndarray, pos: np.ndarray, m: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Whether sets of n and m shingles with a common one at these places can be similar enough."""
+    most = np.minimum(pos, at).astype(np.int64) + 1 + np.minimum(n - pos - 1, m - at - 1)
+    return (PART + WHOLE) * most >= PART * (n.astype(np.int64) + m)
+
+
+def _fits(n: Column, pos: Column, m: Column, at: Column) -> Column:
+    """The same on columns."""
     most = F.least(pos, at) + 1 + F.least(n - pos - 1, m - at - 1)
     return (PART + WHOLE) * most >= PART * (n + m)
 
@@ -210,8 +267,7 @@ def _cross_pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
         counts = (end - begin)[start:stop]
         a = np.repeat(row[start:stop], counts)
         b = np.arange(int(counts.sum())) + np.repeat(begin[start:stop] - (np.cumsum(counts) - counts), counts)
-        most = np.minimum(pos[a], pos[b]) + 1 + np.minimum(n[a] - pos[a] - 1, n[b] - pos[b] - 1)
-        good = (PART + WHOLE) * most.astype(np.int64) >= PART * (n[a].astype(np.int64) + n[b])
+        good = _may_fit(n[a], pos[a], n[b], pos[b])
         pairs = np.unique(np.sort(np.stack((node[a[good]], node[b[good]]), axis=1), axis=1), axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
         start = stop
@@ -293,22 +349,21 @@ def _near_copies(docs: DataFrame) -> DataFrame:
     entries = rows.select("text", store.BLOCK).mapInArrow(_prefixes(levels, side), "key bigint, node bigint, n int, pos int")
     dealt = entries.repartition("key").sortWithinPartitions("key", "node")
     shared = materialise(dealt.mapInArrow(_shared, "key bigint, node bigint, n int, pos int"), "shared")
-    size = shared.count()
     side = store.write_packed(places.join(shared.select("node").distinct(), "node"), "shared-nodes")
     sets = materialise(rows.select("text", store.BLOCK).mapInArrow(_sets(side), "node bigint, fp bigint, sketch binary, shingles array<bigint>"), "shingles")
-    edges, labels, drawing, turn = None, None, True, 0
+    labels, drawing, turn = None, True, 0
     found = _compared(_simhash_pairs(sets).distinct(), sets)
     if not found.isEmpty():
-        edges, labels = found, materialise(simhash.components(found), "labels")
+        labels = materialise(simhash.components(found), "labels")
     while True:
         if labels is None:
             open_rows = shared.withColumn("label", F.col("node"))
         else:
             open_rows = shared.join(labels.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").withColumn("label", F.coalesce("label", "node")).drop("of")
         runs = open_rows.groupBy("key", "label").agg(F.count("*").alias("c")).groupBy("key")
-        crossing = runs.agg(((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))) / 2).alias("pairs")).filter("pairs > 0")
+        crossing = runs.agg(F.sum("c").alias("c"), ((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))) / 2).alias("pairs")).filter("pairs > 0")
         crossing = materialise(crossing, "crossing")
-        pairs_left = crossing.agg(F.sum("pairs")).first()[0] or 0
+        pairs_left, size = crossing.agg(F.sum("pairs"), F.sum("c")).first()
         if not pairs_left:
             break
         open_rows = open_rows.join(crossing.select("key"), "key", "left_semi")
@@ -326,8 +381,9 @@ def _near_copies(docs: DataFrame) -> DataFrame:
         found = _compared(pairs.distinct(), sets)
         drawing, turn = not found.isEmpty(), turn + 1
         if drawing:
-            edges = found if edges is None else edges.union(found)
-            labels = materialise(simhash.components(edges), "labels")
+            # What was linked before goes in as its stars.
+            known = found if labels is None else found.union(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
+            labels = materialise(simhash.components(known), "labels")
         if last:
             break
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", store.BLOCK, ROW))

@@ -4,6 +4,7 @@ import random
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from riskloom.llm import resemblance, store
@@ -81,3 +82,22 @@ def test_simhash_gives_the_first_candidates(spark):
         for r in pairs:
             label[r.a] = label[r.b] = min(label[r.a], label[r.b])
     assert label == {1: 1, 2: 1, 3: 1, 4: 1, 5: 5}
+
+
+def test_rarity_tells_common_shingles_apart(spark):
+    """Levels are fine: 9 and 12 documents of a shingle differ, repeats in a document don't count, and slots without one are 0."""
+    texts = ["a b c d e"] * 9 + ["f g h i j f g h i j"] * 12
+    levels = resemblance.rarity(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3))
+    rare, common = (int(resemblance._slot(resemblance.shingle_set(t.encode().split()))[0]) for t in ("a b c d e", "f g h i j"))
+    assert 0 < levels[rare] < levels[common] and np.count_nonzero(levels) == 6
+
+
+def test_rows_without_a_fitting_partner_go():
+    """Rows of one key stay if another row of it fits; keys of many rows stay whole."""
+    rows = [(1, 10, 100, 0), (1, 11, 100, 0), (1, 12, 300, 0), (2, 10, 100, 30), (2, 11, 100, 0), (3, 10, 100, 1)]
+    rows += [(4, node, 100 * 2**node, 0) for node in range(8)]
+    table = pa.table(dict(zip(("key", "node", "n", "pos"), map(list, zip(*rows, strict=True)), strict=True)))
+    kept = [tuple(r.values()) for b in resemblance._several(table) for r in b.to_pylist()]
+    assert kept == rows[:2]
+    large = pa.table({"key": [7] * 70, "node": list(range(70)), "n": [10 * 2**i for i in range(35)] * 2, "pos": [0] * 70})
+    assert sum(len(b) for b in resemblance._several(large)) == 70
