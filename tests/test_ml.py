@@ -224,3 +224,16 @@ def test_a_longer_neighbour_list_gives_the_same_rows(spark):
     df = spark.createDataFrame(data, "id string, x array<double>, label int")
     near = resample.minority_neighbours(df.filter("label = 1"), 7)
     assert sorted(map(str, smote(df, k=3, near=near).collect())) == sorted(map(str, smote(df, k=3).collect()))
+
+
+def test_rows_of_a_fit_are_dealt_in_bounded_parts(spark, monkeypatch):
+    """Many rows in one partition are spread by id, a few stay; nothing is lost, and how they lay before doesn't matter."""
+    from riskloom.ml import tune
+
+    monkeypatch.setattr(tune, "TASK_ROWS", 100)
+    few, many = (spark.range(n).coalesce(1).selectExpr("cast(id as string) AS id", "id AS x") for n in (100, 2000))
+    assert tune.dealt(few).rdd.getNumPartitions() == 1
+    parts = tune.dealt(many).rdd.glom().collect()
+    sizes = list(map(len, parts))
+    assert sum(sizes) == 2000 and len(sizes) == 20 and max(sizes) < 200
+    assert tune.dealt(many.repartition(7)).rdd.glom().collect() == parts
