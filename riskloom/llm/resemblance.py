@@ -2,19 +2,24 @@
 
 The first candidates are those of SimHash: the sets' fingerprints that differ in two bits or fewer, found by the search of ``simhash``. What
 they link by the exact comparison needs no other candidate. SimHash can't find all pairs: at a similarity of 0.8 fingerprints differ in ten of
-64 bits on average, and a search that far is no longer near-linear. The rest comes from a prefix filter, which misses none:
-when all sets are sorted by one order, two sets this similar share a shingle among the first fifth (and one) of
-either. The order puts rare shingles first, by counts in a table of fixed size; any order is right, this one
-keeps common passages out of the prefixes. The table has 2 ** 24 slots, each with a fine level: a coarse one fills up with the input, and then rare
-and common shingles look alike. Equal word sequences are one node, folded before any prefix is made.
+64 bits on average, and a search that far is no longer near-linear. The rest comes from signatures, which miss none. A set
+is cut by the leading bits of its hashes into parts, one to two shingles to a part on average, and a part that isn't empty has a signature, that of all its
+shingles. Sets of n and m shingles that are similar enough differ in at most (n + m) / 9 shingles, so in no more parts, and all
+other parts are equal. The number of parts goes by the size class (a power of two) of the smaller set; a set that may be the larger one of a pair
+across classes is cut for the class below, too. Signatures have one order: of those that differ, at most a quarter of n comes before the first
+that is equal, so each set hands on that many and one, and two sets this similar meet in one. Unlike a single shingle, a part of several is hardly ever shared by chance,
+so the number of sets that meet grows with the copies in a table and not with the square of its rows. The order puts parts of several shingles first, by their rarest
+shingle, by counts in a table of fixed size; any order is right, this one keeps common passages away. The table has 2 ** 24 slots, each with a fine
+level: a coarse one fills up with the input, and then rare and common shingles look alike. Sets with too few parts for that proof (short ones, by
+chance) also hand on their rarest fifth (and one) of shingles, where others of their kind meet them. Equal word sequences are one node, folded before any signature is made.
 Candidate pairs are first bounded by sketches: the numbers of shingles by the leading bits of their hashes, about four
 to a number; the smaller numbers of two sketches sum to no less than what the sets have in common. Only pairs that can still be similar
 are compared by their whole sets, so sets travel for few pairs.
 
-A large group of near copies would have candidates in the square of its size. While there are many, each
-document is compared with two documents drawn from those that share its prefix, and what is linked needs no
-further comparison; then all pairs that share a prefix shingle and are not linked yet are compared. So the work
-grows with the square of a group only for documents that share a fifth of rare text and aren't near copies.
+A large group of near copies would have candidates in the square of its size. While there are many, and draws get rid of a tenth of them, each
+document is compared with up to eight documents drawn from those that it meets, and what is linked needs no
+further comparison; then all pairs that meet and are not linked yet are compared. So the work
+grows with the square of a group only for documents that share whole parts of rare text and aren't near copies.
 
 Texts are the same words as in ``simhash`` and shingles are known by 64-bit hashes. Rows are known by their place, not by
 doc_id: one row of each group is kept, that with the smallest doc_id (null last), of several the first by place. So rows without id
@@ -38,13 +43,17 @@ from riskloom.session import materialise
 WORDS = 5
 # Similarity 4 / 5, in whole numbers.
 PART, WHOLE = 4, 5
-# Pairs to compare for each row of the prefixes that still meet others, before documents are drawn.
+# Pairs to compare for each signature that still meets others, before documents are drawn.
 MANY = 4
 # Slots of the table of counts, as a power of two, and how many travel together.
 _SLOTS = 24
 _RANGE = 1 << 16
 # Rows of one key that are tried with each other before any set is read.
 _NEAR = 64
+# Documents that each document is compared with in a round of draws.
+_DRAWS = 8
+# What a part of one shingle adds to its level: it counts as 16 times more common.
+_SINGLE = 64
 # Shingles that a task hands on at once.
 _PORTION = 1 << 18
 ROW = store.ROW
@@ -173,20 +182,46 @@ def _wanted(side: str, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list
         yield nodes, sets
 
 
-def _prefixes(levels, side: str):
+def _mixed(values: np.ndarray, salt: int) -> np.ndarray:
+    h = (values + np.uint64(salt * _KEY & (1 << 64) - 1)) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
+
+
+def _classes(n: int) -> list[tuple[int, int]]:
+    """Bits of the parts that a set of n shingles is cut into, and in how many parts a similar set can differ at most.
+
+    The class of its own size, and that of the smallest similar set, for which this one is the larger.
+    """
+    own, below = n.bit_length() - 1, (-(-PART * n // WHOLE)).bit_length() - 1
+    return [(own, n // 4)] + ([(below, 2 * n // 9)] if below < own else [])
+
+
+def signatures(hashes: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """Keys of a set; similar sets share one or more."""
+    rare = level[_slot(hashes)].astype(np.int64)
+    keys = [np.zeros(0, np.uint64)]
+    for bits, differ in _classes(len(hashes)) if len(hashes) else []:
+        part = hashes >> np.uint64(64 - bits) if bits else np.zeros(len(hashes), np.uint64)
+        begin = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+        single = np.diff(np.append(begin, len(hashes))) == 1
+        key = _mixed(np.add.reduceat(hashes, begin), bits)
+        order = np.lexsort((key, np.minimum.reduceat(rare, begin) + _SINGLE * single))
+        keys.append(key[order[: differ + 1]])
+        if len(begin) <= differ:
+            n = len(hashes)
+            keys.append(_mixed(hashes[np.lexsort((hashes, rare))[: n - -(-PART * n // WHOLE) + 1]], 64 + bits))
+    return np.concatenate(keys)
+
+
+def _entries(levels, side: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = levels.value
         for nodes, sets in _wanted(side, batches):
-            keys = []
-            for hashes in sets:
-                n = len(hashes)
-                first = np.lexsort((hashes, level[_slot(hashes)]))[: n - -(-PART * n // WHOLE) + 1]
-                keys.append(hashes[first].view(np.int64))
+            keys = [signatures(h, level).view(np.int64) for h in sets]
             size = np.array([len(k) for k in keys], np.int64)
-            pos = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
             columns = [np.concatenate([np.zeros(0, np.int64), *keys]), np.repeat(np.array(nodes, np.int64), size)]
-            columns += [np.repeat(np.array([len(h) for h in sets], np.int32), size), pos.astype(np.int32)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "node", "n", "pos"])
+            columns += [np.repeat(np.array([len(h) for h in sets], np.int32), size)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "node", "n"])
 
     return run
 
@@ -209,7 +244,9 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _several(table: pa.Table) -> list[pa.RecordBatch]:
     """Rows whose key has another row that fits; in a key with many rows, all of them."""
-    key, n, pos = (table.column(c).to_numpy() for c in ("key", "n", "pos"))
+    key, n = (table.column(c).to_numpy() for c in ("key", "n"))
+    # Signatures have no place in their set: with a place of 0 the sizes alone decide.
+    pos = table.column("pos").to_numpy() if "pos" in table.column_names else np.zeros(len(key), np.int32)
     good, ahead = np.zeros(len(key), bool), 0
     a = np.arange(len(key))
     while len(a):
@@ -230,10 +267,9 @@ def _may_fit(n: np.ndarray, pos: np.ndarray, m: np.ndarray, at: np.ndarray) -> n
     return (PART + WHOLE) * most >= PART * (n.astype(np.int64) + m)
 
 
-def _fits(n: Column, pos: Column, m: Column, at: Column) -> Column:
-    """The same on columns."""
-    most = F.least(pos, at) + 1 + F.least(n - pos - 1, m - at - 1)
-    return (PART + WHOLE) * most >= PART * (n + m)
+def _fits(n: Column, m: Column) -> Column:
+    """Whether sets of n and m shingles can be similar enough."""
+    return (PART + WHOLE) * F.least(n, m) >= PART * (n + m)
 
 
 def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,7 +286,7 @@ def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _cross_pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
-    key, label, node, n, pos = (table.column(c).to_numpy() for c in ("key", "label", "node", "n", "pos"))
+    key, label, node, n = (table.column(c).to_numpy() for c in ("key", "label", "node", "n"))
     size = len(key)
     if not size:
         return
@@ -267,7 +303,7 @@ def _cross_pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
         counts = (end - begin)[start:stop]
         a = np.repeat(row[start:stop], counts)
         b = np.arange(int(counts.sum())) + np.repeat(begin[start:stop] - (np.cumsum(counts) - counts), counts)
-        good = _may_fit(n[a], pos[a], n[b], pos[b])
+        good = _may_fit(n[a], 0, n[b], 0)
         pairs = np.unique(np.sort(np.stack((node[a[good]], node[b[good]]), axis=1), axis=1), axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
         start = stop
@@ -346,12 +382,12 @@ def _near_copies(docs: DataFrame) -> DataFrame:
     table = materialise(rows.mapInArrow(_nodes, f"doc_id bigint, {store.BLOCK} bigint, {ROW} bigint, node bigint"), "rows")
     places = materialise(table.groupBy("node").agg(F.min(store.BLOCK).alias(store.BLOCK)), "places")
     side = store.write_packed(places, "nodes")
-    entries = rows.select("text", store.BLOCK).mapInArrow(_prefixes(levels, side), "key bigint, node bigint, n int, pos int")
+    entries = rows.select("text", store.BLOCK).mapInArrow(_entries(levels, side), "key bigint, node bigint, n int")
     dealt = entries.repartition("key").sortWithinPartitions("key", "node")
-    shared = materialise(dealt.mapInArrow(_shared, "key bigint, node bigint, n int, pos int"), "shared")
+    shared = materialise(dealt.mapInArrow(_shared, "key bigint, node bigint, n int"), "shared")
     side = store.write_packed(places.join(shared.select("node").distinct(), "node"), "shared-nodes")
     sets = materialise(rows.select("text", store.BLOCK).mapInArrow(_sets(side), "node bigint, fp bigint, sketch binary, shingles array<bigint>"), "shingles")
-    labels, drawing, turn = None, True, 0
+    labels, drawing, turn, before = None, True, 0, None
     found = _compared(_simhash_pairs(sets).distinct(), sets)
     if not found.isEmpty():
         labels = materialise(simhash.components(found), "labels")
@@ -367,17 +403,19 @@ def _near_copies(docs: DataFrame) -> DataFrame:
         if not pairs_left:
             break
         open_rows = open_rows.join(crossing.select("key"), "key", "left_semi")
-        last = not drawing or pairs_left <= MANY * size
+        # Another round of draws is worth its while if the last one has linked a tenth of what was left.
+        drawing = drawing and (before is None or 10 * pairs_left <= 9 * before)
+        last, before = not drawing or pairs_left <= MANY * size, pairs_left
         if last:
             pairs = open_rows.repartition("key").sortWithinPartitions("key", "label").mapInArrow(_cross, "a bigint, b bigint")
         else:
-            drawn = F.min_by(F.struct("node", "n", "pos", "label"), F.xxhash64("key", "node", F.lit(turn))).alias("other")
+            drawn = F.min_by(F.struct("node", "n", "label"), F.xxhash64("key", "node", F.lit(turn))).alias("other")
             met = open_rows.join(open_rows.groupBy("key").agg(drawn), "key").filter("label <> other.label")
-            met = met.filter(_fits(F.col("n"), F.col("pos"), F.col("other.n"), F.col("other.pos")))
-            mixed = F.xxhash64("node", "other.node", F.lit(turn))
-            two = met.groupBy("node").agg(F.array(F.min_by("other.node", mixed), F.max_by("other.node", mixed)).alias("others"))
-            two = two.select("node", F.explode("others").alias("other"))
-            pairs = two.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+            met = met.filter(_fits(F.col("n"), F.col("other.n")))
+            mixed = [F.xxhash64("node", "other.node", F.lit(turn), F.lit(draw)) for draw in range(_DRAWS // 2)]
+            some = met.groupBy("node").agg(F.array(*[pick("other.node", m) for m in mixed for pick in (F.min_by, F.max_by)]).alias("others"))
+            some = some.select("node", F.explode("others").alias("other"))
+            pairs = some.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
         found = _compared(pairs.distinct(), sets)
         drawing, turn = not found.isEmpty(), turn + 1
         if drawing:

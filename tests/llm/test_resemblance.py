@@ -1,5 +1,6 @@
 """The near-copy stage against brute force: five-word shingles, Jaccard similarity of 0.8 or more."""
 
+import pathlib
 import random
 
 import corpus_pipeline
@@ -8,6 +9,7 @@ import pyarrow as pa
 import pytest
 
 from riskloom.llm import resemblance, store
+from riskloom.session import materialise
 
 
 def _texts():
@@ -101,3 +103,45 @@ def test_rows_without_a_fitting_partner_go():
     assert kept == rows[:2]
     large = pa.table({"key": [7] * 70, "node": list(range(70)), "n": [10 * 2**i for i in range(35)] * 2, "pos": [0] * 70})
     assert sum(len(b) for b in resemblance._several(large)) == 70
+
+
+def test_similar_sets_share_a_signature():
+    """Any two sets with a Jaccard similarity of 0.8 or more do, whatever their sizes and the order; a quarter of a set is handed on at most."""
+    rng = np.random.default_rng(5)
+    flat, rough = np.zeros(1 << resemblance._SLOTS, np.uint8), rng.integers(0, 255, 1 << resemblance._SLOTS, np.uint8)
+    for trial in range(6000):
+        union = int(rng.integers(1, 40) if trial % 3 else rng.integers(40, 1500))
+        common = int(rng.integers(-(-4 * union // 5), union + 1))
+        only = int(rng.integers(0, union - common + 1))
+        hashes = np.unique(rng.integers(0, 2**64, union, np.uint64))
+        mixed = rng.permutation(hashes)
+        a, b = np.sort(mixed[: common + only]), np.sort(np.concatenate((mixed[:common], mixed[common + only :])))
+        for level in (flat, rough):
+            x, y = resemblance.signatures(a, level), resemblance.signatures(b, level)
+            assert np.intersect1d(x, y).size, (len(a), len(b), common)
+    assert len(resemblance.signatures(np.unique(rng.integers(0, 2**64, 2000, np.uint64)), flat)) <= 2000 // 4 + 2 * 2000 // 9 + 2
+    assert resemblance.signatures(np.zeros(0, np.uint64), flat).size == 0
+
+
+def test_sets_that_share_rare_shingles_by_chance_do_not_meet(spark):
+    """Each two texts share a rare five-word phrase of their own: by single shingles all met, which grows with the square."""
+    texts = []
+    for i in range(40):
+        words = [f"t{i}w{k}" for k in range(1000)]
+        for j in range(40):
+            words[25 * j : 25 * j + 5] = [f"p{min(i, j)}q{max(i, j)}x{k}" for k in range(5)]
+        texts.append(" ".join(words))
+    sets = [resemblance.shingle_set(resemblance._words(t)) for t in texts]
+    assert all(len(np.intersect1d(sets[i], sets[j])) == 1 for i in range(40) for j in range(i))
+    level = resemblance.rarity(spark.createDataFrame([(t,) for t in texts], "text string"))
+    signed = [set(resemblance.signatures(s, level).tolist()) for s in sets]
+    assert sum(bool(signed[i] & signed[j]) for i in range(40) for j in range(i)) < 40
+
+
+def test_written_frames_leave_no_shuffle_files(spark):
+    """The files go when a frame is written; until the driver collected its garbage they took the pipeline's disk."""
+    folders = [pathlib.Path(f) for f in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()]
+    found = lambda: {f.name for folder in folders for f in folder.rglob("shuffle_*")}
+    before = found()
+    frame = materialise(spark.range(1000).repartition(8, "id"), "numbers")
+    assert not found() - before and frame.count() == 1000
