@@ -161,10 +161,13 @@ def score_batch(
         run = run_of(batch)
         good, bad = messages.decode_json(batch)
         write_batch(bad, batch_id, f"{quarantine}/messages", run)
-        unique = first_by_key(messages.as_transactions(good), "transaction_id", "ts", "amount")
-        fresh = drop_processed(drop_processed(unique, processed), stored_ids(batch.sparkSession, target, run, batch_id))
+        # Known ids go before anything is sorted: a message delivered again costs no more than the join.
+        unknown = drop_processed(drop_processed(messages.as_transactions(good), processed), stored_ids(batch.sparkSession, target, run, batch_id))
+        fresh = first_by_key(unknown, "transaction_id", "ts", "amount")
         known = stats if partials is None else history.stats_of_partials(partials_before(batch.sparkSession, partials, run, batch_id))
-        scored = history.score(fresh, known).persist()
+        scored, once = history.score(fresh, known), parent is None and partials is None
+        # What is written once needs no copy in memory.
+        scored = scored if once else scored.persist()
         try:
             accepted, orphans = (scored, None) if parent is None else split_by_parent(scored, parent)
             write_batch(accepted, batch_id, target, run)
@@ -173,7 +176,8 @@ def score_batch(
             if orphans is not None:
                 write_batch(orphans, batch_id, f"{quarantine}/orphans", run)
         finally:
-            scored.unpersist()
+            if not once:
+                scored.unpersist()
 
     return per_batch(work)
 

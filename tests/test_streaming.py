@@ -228,3 +228,25 @@ def test_sink_skips_empty_batches_and_persists_once(spark):
     sink(rows(spark, ("a", "u", 1.0, 0)), 1)
     sink(rows(spark, ("a", "u", 1.0, 0)), 1)
     assert spark.read.parquet(path).groupBy("batch_id").count().collect() == [(1, 1)]
+
+
+def test_known_ids_go_before_rows_are_sorted(spark, monkeypatch):
+    """A message delivered again in a later batch is left out before the ranking by id, which sorts."""
+    source, target, bad, check = (scratch_dir(spark, n) for n in ("known", "known-out", "known-bad", "known-check"))
+    seen, first = [], jobs.first_by_key
+
+    def ranked(df, *columns):
+        seen.append(sorted(r.transaction_id for r in df.select("transaction_id").collect()))
+        return first(df, *columns)
+
+    monkeypatch.setattr(jobs, "first_by_key", ranked)
+    nothing = rows(spark, ("z", "u", 1.0, 0)).limit(0)
+    from riskloom.operators.history import user_stats
+
+    for part in ([("a", "u", 1.0, 0), ("a", "u", 2.0, 0)], [("a", "u", 1.0, 0), ("b", "u", 1.0, 1), ("done", "u", 1.0, 2)]):
+        put(spark, source, rows(spark, *part))
+        jobs.drain(jobs.run_scoring_stream(
+            spark, source, stats=user_stats(nothing), processed=rows(spark, ("done", "u", 1.0, 0)), target=target, quarantine=bad, checkpoint=check,
+        ))
+    assert seen == [["a", "a"], ["b"]]
+    assert sorted((r.transaction_id, float(r.amount)) for r in spark.read.parquet(target).collect()) == [("a", 1.0), ("b", 1.0)]
