@@ -12,7 +12,8 @@ leaves out what it can't decode.
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,9 @@ from riskloom.sources import messages
 from riskloom.sources.sinks import first_by_key, write_batch
 from riskloom.sources.tables import read_or_empty, read_table
 
+# Rows of a batch to a shuffle partition where windows with 30 days of history follow.
+BATCH_ROWS = 20_000
+
 
 def start(
     stream: DataFrame,
@@ -63,6 +67,21 @@ def per_batch(work: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, in
     return write
 
 
+@contextmanager
+def partitions_by_rows(batch: DataFrame) -> Iterator[None]:
+    """Shuffles of what runs inside get a partition for every BATCH_ROWS of the batch, and no fewer than configured.
+
+    Windows are dealt to a fixed number of partitions, which AQE does not split: without this a task's memory grows with the batch.
+    """
+    conf, key = batch.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(key)
+    conf.set(key, str(max(int(before), -(-batch.count() // BATCH_ROWS))))
+    try:
+        yield
+    finally:
+        conf.set(key, before)
+
+
 def run_of(batch: DataFrame) -> str:
     """The query's id, which its checkpoint keeps over restarts."""
     return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
@@ -318,7 +337,8 @@ def run_behaviour_stream(
         run = run_of(batch)
         # Own batches from this one on don't count, so a replayed batch sees what it saw the first time.
         past = read_or_empty(batch.sparkSession, store, schema).filter((F.col("run") != run) | (F.col("batch_id") < batch_id))
-        write_batch(behaviour_of_batch(batch, past), batch_id, target, run)
+        with partitions_by_rows(batch):
+            write_batch(behaviour_of_batch(batch, past), batch_id, target, run)
         write_batch(batch, batch_id, store, run)
 
     return start(stream, per_batch(work), checkpoint, trigger=trigger)

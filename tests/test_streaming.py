@@ -250,3 +250,22 @@ def test_known_ids_go_before_rows_are_sorted(spark, monkeypatch):
         ))
     assert seen == [["a", "a"], ["b"]]
     assert sorted((r.transaction_id, float(r.amount)) for r in spark.read.parquet(target).collect()) == [("a", 1.0), ("b", 1.0)]
+
+
+def test_partitions_of_the_behaviour_stream_follow_the_batch(spark, monkeypatch):
+    key = "spark.sql.shuffle.partitions"
+    source, target, store, check = (scratch_dir(spark, n) for n in ("wide", "wide-out", "wide-store", "wide-check"))
+    seen, work = [], jobs.behaviour_of_batch
+
+    def told(batch, past):
+        seen.append(int(batch.sparkSession.conf.get(key)))
+        return work(batch, past)
+
+    monkeypatch.setattr(jobs, "behaviour_of_batch", told)
+    monkeypatch.setattr(jobs, "BATCH_ROWS", 2)
+    for size in (40, 2):
+        put(spark, source, rows(spark, *((f"{size}-{i}", f"u{i % 3}", 1.0, 100 - size + i) for i in range(size))))
+    jobs.drain(jobs.run_behaviour_stream(jobs.transaction_stream(spark, source, max_files=1), store=store, target=target, checkpoint=check))
+    configured = int(spark.conf.get(key))
+    assert seen == [max(20, configured), configured]
+    assert spark.read.parquet(target).count() == 42
