@@ -16,9 +16,11 @@ Candidate pairs are first bounded by sketches: the numbers of shingles by the le
 to a number; the smaller numbers of two sketches sum to no less than what the sets have in common. Only pairs that can still be similar
 are compared by their whole sets, so sets travel for few pairs.
 
-A large group of near copies would have candidates in the square of its size. While there are many, and draws get rid of a tenth of them, each
+A large group of near copies would have candidates in the square of its size. Signatures with few pairs to a row give them all in the first
+round and are done with. In the others, while draws get rid of a tenth of the pairs, each
 document is compared with up to eight documents drawn from those that it meets, and what is linked needs no
-further comparison; then all pairs that meet and are not linked yet are compared. So the work
+further comparison; then all pairs that meet there and are not linked yet are compared. A signature whose documents are all linked leaves the
+rows for good, so rounds only read what is open. So the work
 grows with the square of a group only for documents that share whole parts of rare text and aren't near copies.
 
 Texts are the same words as in ``simhash`` and shingles are known by 64-bit hashes. Rows are known by their place, not by
@@ -43,7 +45,7 @@ from riskloom.session import materialise
 WORDS = 5
 # Similarity 4 / 5, in whole numbers.
 PART, WHOLE = 4, 5
-# Pairs to compare for each signature that still meets others, before documents are drawn.
+# Pairs to compare for each row of a signature; where it has more, documents are drawn first.
 MANY = 4
 # Slots of the table of counts, as a power of two, and how many travel together.
 _SLOTS = 24
@@ -272,17 +274,43 @@ def _fits(n: Column, m: Column) -> Column:
     return (PART + WHOLE) * F.least(n, m) >= PART * (n + m)
 
 
-def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key and label: pairs of nodes with one key and different labels that can be similar enough."""
+def _whole_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by key, cut so that no key is in two tables."""
     held = None
     for batch in batches:
         table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
         key = table.column("key").to_numpy()
+        # The last group may go on in the next batch.
         whole = int(np.searchsorted(key, key[-1])) if len(key) else 0
-        yield from _cross_pairs(table.slice(0, whole))
+        if whole:
+            yield table.slice(0, whole)
         held = table.slice(whole).combine_chunks()
-    if held is not None:
-        yield from _cross_pairs(held)
+    if held is not None and len(held):
+        yield held
+
+
+def _unsettled(many: int):
+    """Rows sorted by key and label: those whose key has several labels, and whether it has over ``many`` pairs of them to a row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_keys(batches):
+            key, label = table.column("key").to_numpy(), table.column("label").to_numpy()
+            fresh = key[1:] != key[:-1]
+            first = np.flatnonzero(np.append(True, fresh))
+            rows = np.diff(np.append(first, len(key)))
+            run = np.diff(np.flatnonzero(np.append(np.append(True, fresh | (label[1:] != label[:-1])), True)))
+            others = np.repeat(rows, rows) - np.repeat(run, run)
+            pairs = np.add.reduceat(others, first) // 2
+            table = table.append_column("others", pa.array(others)).append_column("many", pa.array(np.repeat(pairs > many * rows, rows)))
+            yield from table.filter(pa.array(others > 0)).combine_chunks().to_batches()
+
+    return run
+
+
+def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by key and label: pairs of nodes with one key and different labels that can be similar enough."""
+    for table in _whole_keys(batches):
+        yield from _cross_pairs(table)
 
 
 def _cross_pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -357,18 +385,38 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     few = sets.join(asked, "node", "left_semi")
     common = F.size(F.array_intersect("x", "y"))
     alike = (PART + WHOLE) * common >= PART * (F.size("x") + F.size("y"))
-    return materialise(with_both(possible, few, "shingles").filter(alike).select("a", "b"), "similar")
+    # Two whole sets weigh like some 25 narrow rows.
+    return materialise(with_both(possible, few, "shingles").filter(alike).select("a", "b"), "similar", 25 * possible.count())
 
 
-def _simhash_pairs(sets: DataFrame) -> DataFrame:
+def _simhash_pairs(sets: DataFrame, rows: int | None = None) -> DataFrame:
     """Candidates by SimHash: each node with the first one of its fingerprint, and the first ones of linked fingerprints."""
-    first = materialise(sets.groupBy("fp").agg(F.min("node").alias("first")), "fingerprints")
+    first = materialise(sets.groupBy("fp").agg(F.min("node").alias("first")), "fingerprints", rows)
     same = sets.select("node", "fp").join(first, "fp").select(F.col("first").alias("a"), F.col("node").alias("b"))
     x, y = (first.select(F.col("fp").alias(side), F.col("first").alias(name)) for side, name in (("a", "x"), ("b", "y")))
     linked = simhash.link(first).join(x, "a").join(y, "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     return same.filter("a <> b").union(linked)
 
 
+def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Rows with the label of their node; a node without one is its own."""
+    if labels is None:
+        return rows.withColumn("label", F.col("node"))
+    known = labels.select(F.col("node").alias("of"), F.col("label").alias("known"))
+    return rows.join(known, F.col("node") == F.col("of"), "left").withColumn("label", F.coalesce("known", "node"))
+
+
+def _drawn(open_rows: DataFrame, turn: int) -> DataFrame:
+    """Each document with up to eight others, drawn from those that were drawn for its keys."""
+    drawn = F.min_by(F.struct("node", "n", "label"), F.xxhash64("key", "node", F.lit(turn))).alias("other")
+    met = open_rows.select("key", "node", "n", "label").join(open_rows.groupBy("key").agg(drawn), "key").filter("label <> other.label")
+    met = met.filter(_fits(F.col("n"), F.col("other.n")))
+    mixed = [F.xxhash64("node", "other.node", F.lit(turn), F.lit(draw)) for draw in range(_DRAWS // 2)]
+    some = met.groupBy("node").agg(F.array(*[pick("other.node", m) for m in mixed for pick in (F.min_by, F.max_by)]).alias("others"))
+    some = some.select("node", F.explode("others").alias("other"))
+    return some.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+
+
 def near_copies(docs: DataFrame) -> DataFrame:
     """Block and row, doc_id, component_id and kept for every row of ``store.placed``; a component's id is its smallest known doc_id."""
     # Every Python stage is written before this returns, so the setting holds for all of them.
@@ -380,57 +428,46 @@ def _near_copies(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc.doc_id").cast("long").alias("doc_id"), F.col("doc.text").cast("string").alias("text"), store.BLOCK, ROW)
     levels = docs.sparkSession.sparkContext.broadcast(rarity(rows))
     table = materialise(rows.mapInArrow(_nodes, f"doc_id bigint, {store.BLOCK} bigint, {ROW} bigint, node bigint"), "rows")
-    places = materialise(table.groupBy("node").agg(F.min(store.BLOCK).alias(store.BLOCK)), "places")
+    known = table.count()
+    places = materialise(table.groupBy("node").agg(F.min(store.BLOCK).alias(store.BLOCK)), "places", known)
     side = store.write_packed(places, "nodes")
     entries = rows.select("text", store.BLOCK).mapInArrow(_entries(levels, side), "key bigint, node bigint, n int")
     dealt = entries.repartition("key").sortWithinPartitions("key", "node")
     shared = materialise(dealt.mapInArrow(_shared, "key bigint, node bigint, n int"), "shared")
     side = store.write_packed(places.join(shared.select("node").distinct(), "node"), "shared-nodes")
     sets = materialise(rows.select("text", store.BLOCK).mapInArrow(_sets(side), "node bigint, fp bigint, sketch binary, shingles array<bigint>"), "shingles")
-    labels, drawing, turn, before = None, True, 0, None
-    found = _compared(_simhash_pairs(sets).distinct(), sets)
-    if not found.isEmpty():
-        labels = materialise(simhash.components(found), "labels")
+    labels, turn, before = None, 0, None
+    found = _compared(_simhash_pairs(sets, sets.count()).distinct(), sets)
+    if size := found.count():
+        labels = materialise(simhash.components(found, size), "labels", 2 * size)
+    open_rows, size = shared, shared.count()
     while True:
-        if labels is None:
-            open_rows = shared.withColumn("label", F.col("node"))
-        else:
-            open_rows = shared.join(labels.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").withColumn("label", F.coalesce("label", "node")).drop("of")
-        runs = open_rows.groupBy("key", "label").agg(F.count("*").alias("c")).groupBy("key")
-        crossing = runs.agg(F.sum("c").alias("c"), ((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))) / 2).alias("pairs")).filter("pairs > 0")
-        crossing = materialise(crossing, "crossing")
-        pairs_left, size = crossing.agg(F.sum("pairs"), F.sum("c")).first()
-        if not pairs_left:
+        open_rows = _labelled(open_rows, labels).select("key", "node", "n", "label").repartition("key").sortWithinPartitions("key", "label")
+        open_rows = open_rows.mapInArrow(_unsettled(MANY), "key bigint, node bigint, n int, label bigint, others bigint, many boolean")
+        # Rows whose key is settled never come back, as labels only merge.
+        open_rows = materialise(open_rows, "open", size)
+        size, many = open_rows.agg(F.count("*"), F.sum(F.when(F.col("many"), F.col("others")))).first()
+        if not size:
             break
-        open_rows = open_rows.join(crossing.select("key"), "key", "left_semi")
         # Another round of draws is worth its while if the last one has linked a tenth of what was left.
-        drawing = drawing and (before is None or 10 * pairs_left <= 9 * before)
-        last, before = not drawing or pairs_left <= MANY * size, pairs_left
-        if last:
-            pairs = open_rows.repartition("key").sortWithinPartitions("key", "label").mapInArrow(_cross, "a bigint, b bigint")
-        else:
-            drawn = F.min_by(F.struct("node", "n", "label"), F.xxhash64("key", "node", F.lit(turn))).alias("other")
-            met = open_rows.join(open_rows.groupBy("key").agg(drawn), "key").filter("label <> other.label")
-            met = met.filter(_fits(F.col("n"), F.col("other.n")))
-            mixed = [F.xxhash64("node", "other.node", F.lit(turn), F.lit(draw)) for draw in range(_DRAWS // 2)]
-            some = met.groupBy("node").agg(F.array(*[pick("other.node", m) for m in mixed for pick in (F.min_by, F.max_by)]).alias("others"))
-            some = some.select("node", F.explode("others").alias("other"))
-            pairs = some.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
-        found = _compared(pairs.distinct(), sets)
-        drawing, turn = not found.isEmpty(), turn + 1
-        if drawing:
+        last = not many or turn > 0 and (not linked or 10 * many > 9 * before)
+        pairs = open_rows if last else open_rows.filter("not many")
+        pairs = pairs.select("key", "node", "n", "label").repartition("key").sortWithinPartitions("key", "label").mapInArrow(_cross, "a bigint, b bigint")
+        if not last:
+            # All pairs of a key with few are compared now, and it is done with; only those with many go on.
+            open_rows, before = open_rows.filter("many"), many
+            pairs = pairs.union(_drawn(open_rows, turn))
+        found, turn = _compared(pairs.distinct(), sets), turn + 1
+        if linked := found.count():
             # What was linked before goes in as its stars.
-            known = found if labels is None else found.union(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
-            labels = materialise(simhash.components(known), "labels")
+            edges = found if labels is None else found.union(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
+            linked += 0 if labels is None else labels.count()
+            labels = materialise(simhash.components(edges, linked), "labels", 2 * linked)
         if last:
             break
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", store.BLOCK, ROW))
     nodes = table.groupBy("node").agg(first.alias("first"))
-    if labels is None:
-        nodes = nodes.withColumn("label", F.col("node"))
-    else:
-        nodes = nodes.join(labels.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select("node", "first", F.coalesce("label", "node").alias("label"))
-    nodes = materialise(nodes, "nodes")
+    nodes = materialise(_labelled(nodes, labels).select("node", "first", "label"), "nodes", known)
     member = nodes.join(nodes.groupBy("label").agg(F.min("first").alias("best")), "label").select("node", "best")
     found = table.join(member, "node")
     kept = (F.col(store.BLOCK) == F.col(f"best.{store.BLOCK}")) & (F.col(ROW) == F.col(f"best.{ROW}"))

@@ -215,25 +215,27 @@ def link(distinct: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> Dat
     return dealt.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(compare, "a bigint, b bigint")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """node, label (smallest node reachable) for the nodes of the edges a-b.
+def components(edges: DataFrame, rows: int | None = None) -> DataFrame:
+    """node, label (smallest node reachable) for the nodes of the edges a-b; there are no more than ``rows`` edges, if that is known.
 
     Each round: every node learns the smallest label around it, then labels point to labels' labels.
     """
-    edges = materialise(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    edges = materialise(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges", rows)
     # Edges are distinct, so their number and the exclusive or of their hashes tell whether a round has changed any.
-    state = F.struct(F.count("*"), F.bit_xor(F.xxhash64("a", "b")))
+    state = F.struct(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b"))).alias("state")
     before = edges.agg(state).first()
     while True:
+        # A star has no more edges than there were, the next ones one for each node besides.
+        n = before["state"]["n"]
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         # Large star: neighbours above a node are tied to the smallest one around it.
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         # Small star: neighbours below a node, and the node, are tied to the smallest of them.
-        large = materialise(large.distinct(), "edges")
+        large = materialise(large.distinct(), "edges", n)
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = materialise(small.union(least.select("a", F.col("m").alias("b"))).distinct(), "edges")
+        edges = materialise(small.union(least.select("a", F.col("m").alias("b"))).distinct(), "edges", 2 * n)
         after = edges.agg(state).first()
         if after == before:
             break

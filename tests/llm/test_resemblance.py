@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from riskloom.llm import resemblance, store
+from riskloom.llm import resemblance, simhash, store
 from riskloom.session import materialise
 
 
@@ -145,3 +145,61 @@ def test_written_frames_leave_no_shuffle_files(spark):
     before = found()
     frame = materialise(spark.range(1000).repartition(8, "id"), "numbers")
     assert not found() - before and frame.count() == 1000
+
+
+def test_settled_signatures_leave_the_rows():
+    """A key goes once its rows have one label; keys with more pairs of labels than so many to a row are marked."""
+    rows = [(1, 10, 5), (1, 11, 5), (2, 10, 5), (2, 12, 6), *((3, n, n) for n in range(20, 26)), (4, 30, 7), (4, 31, 7), (4, 32, 8)]
+    table = pa.table({"key": [r[0] for r in rows], "node": [r[1] for r in rows], "n": pa.array([9] * len(rows), pa.int32()), "label": [r[2] for r in rows]})
+    for size in (1, 4, 100):
+        got = [tuple(r.values()) for b in resemblance._unsettled(2)(iter(table.to_batches(max_chunksize=size))) for r in b.to_pylist()]
+        assert got == [(k, n, 9, label, 5 if k == 3 else 2 if n == 32 else 1, k == 3) for k, n, label in rows if k != 1]
+    assert list(resemblance._unsettled(2)(iter([]))) == []
+
+
+def test_rounds_read_only_what_is_open(spark, monkeypatch):
+    """Pairs that meet in a few signatures are compared once: the next round has at most the rows of signatures with many pairs."""
+    rng = random.Random(7)
+    texts = []
+    for base in range(30):
+        words = [f"p{base}w{k}" for k in range(120)]
+        texts += [" ".join(words), " ".join(words[:70] + [f"q{base}w{k}" for k in range(50)])]
+    words = [f"h{k}" for k in range(200)]
+    for _ in range(60):
+        copy = list(words)
+        for at in rng.sample(range(200), 7):
+            copy[at] = f"e{rng.randrange(10**6)}"
+        texts.append(" ".join(copy))
+    opened, write = [], resemblance.materialise
+
+    def seen(df, purpose, *rows):
+        out = write(df, purpose, *rows)
+        if purpose == "open":
+            opened.append((out.count(), out.filter("many").count()))
+        return out
+
+    monkeypatch.setattr(resemblance, "materialise", seen)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    found = resemblance.near_copies(store.placed(docs)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == dict(enumerate(_components(texts)[0]))
+    assert len(opened) > 1 and 0 < opened[0][1] < opened[0][0]
+    assert all(after[0] <= before[1] for before, after in zip(opened, opened[1:]))
+
+
+def test_few_edges_are_few_files(spark, monkeypatch):
+    """Rounds on a few edges write a file each, not one for each shuffle partition."""
+    frames, write = [], simhash.materialise
+    monkeypatch.setattr(simhash, "materialise", lambda *a: frames.append(write(*a)) or frames[-1])
+    conf = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        edges = spark.createDataFrame([(i, i + 1) for i in range(100) if i % 10 != 9], "a bigint, b bigint")
+        got = {r["node"]: r["label"] for r in simhash.components(edges, 90).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    # The smallest node of a component is its own label.
+    assert got == {i: i - i % 10 for i in range(100) if i % 10}
+    assert len(frames) > 2 and all(len(f.inputFiles()) == 1 for f in frames)
