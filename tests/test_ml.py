@@ -237,3 +237,32 @@ def test_rows_of_a_fit_are_dealt_in_bounded_parts(spark, monkeypatch):
     sizes = list(map(len, parts))
     assert sum(sizes) == 2000 and len(sizes) == 20 and max(sizes) < 200
     assert tune.dealt(many.repartition(7)).rdd.glom().collect() == parts
+
+
+class Asked(Exception):
+    """The search that a query asks for, instead of its fits."""
+
+
+def asked(spark, monkeypatch, query, folder):
+    """The search of a query over 1,200 own events, as (draws by name, folds); nothing is fitted."""
+
+    def stop(search, dataset):
+        raise Asked([{p.name: v for p, v in draw.items()} for draw in search.getEstimatorParamMaps()], search.getNumFolds())
+
+    events = spark.range(1200).selectExpr(
+        "id AS event_id", "id % 40 AS user_id", "timestamp_seconds(1704067200 + id * 600) AS ts",
+        "element_at(array('click', 'view', 'signup', 'purchase', 'error'), cast(id % 5 AS int) + 1) AS event_type",
+        "20.0D + id * 37 % 400 AS value", "concat('{\"k\": ', id * 7 % 90, '}') AS props",
+    )
+    events.write.parquet(f"{folder}/events.parquet")
+    monkeypatch.setattr(tune.CrossValidator, "fit", stop)
+    with pytest.raises(Asked) as found:
+        query(spark, str(folder))
+    return found.value.args
+
+
+def test_training_query_searches_the_whole_grid(spark, monkeypatch, tmp_path):
+    draws, folds = asked(spark, monkeypatch, ml_queries._job, tmp_path)
+    whole = tune.draw_params(tune.ResampledTrees(), tune.GRID, 50, 42)
+    assert folds == 5 and draws == [{p.name: v for p, v in d.items()} for d in whole]
+    assert {name: {d[name] for d in draws} for name in tune.GRID} == {name: set(values) for name, values in tune.GRID.items()}
