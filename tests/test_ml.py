@@ -261,8 +261,9 @@ def asked(spark, monkeypatch, query, folder):
     return found.value.args
 
 
-def test_training_query_searches_the_whole_grid(spark, monkeypatch, tmp_path):
-    draws, folds = asked(spark, monkeypatch, ml_queries._job, tmp_path)
+@pytest.mark.parametrize("query", [ml_queries._job, ml_queries._tune])
+def test_training_query_searches_the_whole_grid(spark, monkeypatch, tmp_path, query):
+    draws, folds = asked(spark, monkeypatch, query, tmp_path)
     whole = tune.draw_params(tune.ResampledTrees(), tune.GRID, 50, 42)
     assert folds == 5 and draws == [{p.name: v for p, v in d.items()} for d in whole]
     assert {name: {d[name] for d in draws} for name in tune.GRID} == {name: set(values) for name, values in tune.GRID.items()}
