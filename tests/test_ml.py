@@ -267,3 +267,9 @@ def test_training_query_searches_the_whole_grid(spark, monkeypatch, tmp_path, qu
     whole = tune.draw_params(tune.ResampledTrees(), tune.GRID, 50, 42)
     assert folds == 5 and draws == [{p.name: v for p, v in d.items()} for d in whole]
     assert {name: {d[name] for d in draws} for name in tune.GRID} == {name: set(values) for name, values in tune.GRID.items()}
+
+
+def test_behaviour_query_searches_its_whole_grid(spark, monkeypatch, tmp_path):
+    draws, folds = asked(spark, monkeypatch, ml_queries._job_behaviour, tmp_path)
+    whole = tune.draw_params(tune.ResampledTrees(), tune.GRID_BEHAVIOUR, 20, 42)
+    assert folds == 3 and len(draws) == 20 and draws == [{p.name: v for p, v in d.items()} for d in whole]
