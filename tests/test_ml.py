@@ -1,5 +1,6 @@
 """Neighbours against brute force, resampling, splits, ranking metrics, training."""
 
+import os
 import random
 
 import numpy as np
@@ -273,3 +274,38 @@ def test_behaviour_query_searches_its_whole_grid(spark, monkeypatch, tmp_path):
     draws, folds = asked(spark, monkeypatch, ml_queries._job_behaviour, tmp_path)
     whole = tune.draw_params(tune.ResampledTrees(), tune.GRID_BEHAVIOUR, 20, 42)
     assert folds == 3 and len(draws) == 20 and draws == [{p.name: v for p, v in d.items()} for d in whole]
+
+
+def test_draws_with_one_resampling_share_its_rows(spark, monkeypatch):
+    """Four draws, two resamplings: on each of two folds two frames, and one for the final fit; the shared ones are gone in the end."""
+    random.seed(4)
+    data = [(f"t{i:03d}", random.random(), random.random(), int(i % 6 == 0)) for i in range(180)]
+    rows = tune.with_vector(spark.createDataFrame(data, "transaction_id string, a double, b double, label int"), ["a", "b"])
+    made, gone, real, discard = [], [], tune.smote, tune.discard
+    monkeypatch.setattr(tune, "smote", lambda df, **kw: made.append(kw["ratio"]) or real(df, **kw))
+    monkeypatch.setattr(tune, "discard", lambda frame: gone.append(frame.inputFiles()[0]) or discard(frame))
+    draws = [(0.3, 1), (0.5, 1), (0.3, 2), (0.5, 2)]
+    monkeypatch.setattr(tune, "draw_params", lambda estimator, *_: [
+        {estimator.ratio: ratio, estimator.maxDepth: depth, estimator.maxIter: 1} for ratio, depth in draws
+    ])
+    search = tune.random_search(rows, draws=4, folds=2)
+    assert len(search.avgMetrics) == 4 and min(search.avgMetrics) > 0
+    assert sorted(made[:-1]) == [0.3, 0.3, 0.5, 0.5] and len(gone) == 4
+    assert not any(os.path.exists(os.path.dirname(file.removeprefix("file://"))) for file in gone)
+
+
+def test_shared_rows_are_those_of_the_resampling(spark):
+    random.seed(6)
+    data = [(f"p{i:03d}", [random.random(), random.random()], int(i % 9 == 0)) for i in range(270)]
+    df = spark.createDataFrame(data, "id string, x array<double>, label int").repartition(5)
+    whole = smote(df, ratio=0.4, k=3).select("id", "x", "label")
+    shared = tune.SharedRows(lambda i: smote(df, ratio=0.4, k=3), [(0.4, 3)] * 2)
+    with shared.of(0) as rows, shared.of(1) as again:
+        assert again is rows and rows.rdd.getNumPartitions() == 1
+        assert sorted(map(str, rows.collect())) == sorted(map(str, whole.collect())) and rows.count() > 270
+
+
+def test_long_fits_begin_early_and_a_resampling_stays_together():
+    grid = [(100, 3, 0.0, 0.1), (500, 8, 0.2, 0.2), (300, 8, 0.0, 0.3), (200, 4, 0.0, 0.1), (100, 3, 0.1, 0.3)]
+    draws = [tune.ResampledTrees(maxIter=n, maxDepth=d, minInfoGain=g, ratio=r) for n, d, g, r in grid]
+    assert tune.longest_first(draws, [(r,) for *_, r in grid]) == [2, 4, 3, 0, 1]
